@@ -30,7 +30,7 @@ def one_decimal_half_even(value: Column) -> Column:
 
 def primary_current(secondary: Column) -> Column:
     """Whole amperes on the primary side, truncated in single precision."""
-    return (secondary.cast("float") * F.lit(CURRENT_RATIO)).cast("int")
+    return (secondary.cast("float") * F.lit(CURRENT_RATIO).cast("float")).cast("int")
 
 
 def short_circuit_current(voltage: Column) -> Column:

@@ -3,8 +3,8 @@
 One high-accuracy ``percentile_approx`` would send a large sketch per task to a
 single reducer. Here a coarse sketch only brackets each quantile; counting the
 rows around the bracket tells which side the quantile lies on, and the bracket
-shrinks until the sketch of what is left is exact. Every pass reads one column
-and returns one short row.
+shrinks until few enough rows are left for ``percentile_disc``, which keeps
+every different value. Every pass reads one column and returns one short row.
 """
 
 from dataclasses import dataclass
@@ -13,6 +13,8 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.numbers import as_number
+
 SKETCH_ACCURACY = 1_000
 EXACT_ROWS = 10_000
 
@@ -44,15 +46,24 @@ class _Search:
     def exact(self) -> bool:
         return self.inside <= self.exact_rows
 
-    def sketch(self, x: Column) -> Column:
-        target = (self.rank - self.below - 0.5) / self.inside
-        margin = 0.0 if self.exact else 2 / self.accuracy
-        kept = F.when(x.between(F.lit(self.low), F.lit(self.high)), x)
-        return F.percentile_approx(
-            kept,
-            [max(0.0, target - margin), min(1.0, target + margin)],
-            self.exact_rows if self.exact else self.accuracy,
-        )
+    @property
+    def share(self) -> float:
+        """Middle of the answer's place among the rows in the bracket."""
+        return (self.rank - self.below - 0.5) / self.inside
+
+    def kept(self, x: Column) -> Column:
+        return F.when(x.between(F.lit(self.low), F.lit(self.high)), x)
+
+    def guess(self, name: str) -> Column:
+        """Two values around the answer, or twice the answer itself."""
+        if self.exact:
+            answer = F.expr(
+                f"percentile_disc({self.share:.17f}) WITHIN GROUP (ORDER BY {name})"
+            )
+            return F.array(answer, answer)
+        margin = 2 / self.accuracy
+        ends = [max(0.0, self.share - margin), min(1.0, self.share + margin)]
+        return F.percentile_approx(name, ends, self.accuracy)
 
     @staticmethod
     def surroundings(x: Column, a: float, b: float) -> Column:
@@ -96,7 +107,7 @@ def quantiles(
     Null and NaN are ignored; with no values left the answers are ``None``.
     """
     x = F.col("x")
-    values = df.select(F.col(name).cast("double").alias("x"))
+    values = df.select(as_number(F.col(name)).alias("x"))
     values = values.where(x.isNotNull() & ~F.isnan(x))
     size, low, high = values.agg(F.count(x), F.min(x), F.max(x)).first()
     if size == 0:
@@ -107,7 +118,12 @@ def quantiles(
     ]
     pending = searches
     while pending:
-        guesses = values.agg(*(s.sketch(x) for s in pending)).first()
+        kept = {f"x{i}": search.kept(x) for i, search in enumerate(pending)}
+        guesses = (
+            values.select(*(column.alias(name) for name, column in kept.items()))
+            .agg(*(search.guess(name) for name, search in zip(kept, pending)))
+            .first()
+        )
         wide = []
         for search, (a, b) in zip(pending, guesses):
             if search.exact:

@@ -1,11 +1,15 @@
 """Gap-free global row numbers without a single-task sort.
 
-Rows are range-partitioned and sorted on a total order, and each gets the
-number of its partition and its position in it. That table is written once:
-range bounds come from a sample, so planning the same step twice could place
-rows differently, while the written table cannot change under the two reads
-that follow. The number of rows before each partition, one short row per
-partition, then turns positions into global numbers.
+Rows are range-partitioned and sorted, and each gets the number of its
+partition and its position in it. That table is written once: range bounds come
+from a sample, so planning the same step twice could place rows differently,
+while the written table cannot change under the two reads that follow. The
+number of rows before each partition, one short row per partition, then turns
+positions into global numbers.
+
+Equal rows are interchangeable, but equal sort keys cannot be split over
+partitions. A running id from the input is therefore the last sort key, so that
+a reading repeated very often still spreads out.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,18 +36,21 @@ def with_row_index(
 ) -> DataFrame:
     """Number the rows in the order given, starting at ``first``.
 
-    ``order_by`` must be unique up to equal rows; a unique last column also
-    keeps a heavily repeated leading value from filling one partition. With
-    ``kind``, rows outside ``kinds`` are dropped and each kind is numbered on
-    its own. ``total`` names a column for the number of rows (of the kind).
+    ``order_by`` must tell unequal rows apart. ``df`` should come straight from
+    a scan or a staged table, whose rows keep their places when a task is run
+    again. With ``kind``, rows outside ``kinds`` are dropped and each kind is
+    numbered on its own. ``total`` names a column for the number of rows (of
+    the kind).
     """
     keys = [kind] if kind else []
     if kind:
         df = df.where(F.col(kind).isin(*kinds))
-    order = _as_columns([*keys, *order_by])
+    order = [*_as_columns([*keys, *order_by]), F.col("_copy")]
     placed = stage(
-        df.repartitionByRange(*order)
+        df.withColumn("_copy", F.monotonically_increasing_id())
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .drop("_copy")
         .withColumn("_slot", F.monotonically_increasing_id()),
         "rowindex",
     )

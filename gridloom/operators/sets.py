@@ -1,6 +1,10 @@
 """Union, dedupe and the append-and-dedupe history of the facts."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def union_by_name(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -26,5 +30,16 @@ def history_merge(
 
 
 def rows_not_in(new: DataFrame, history: DataFrame) -> DataFrame:
-    """Different rows of ``new`` that the history does not hold; nulls compare equal."""
-    return new.subtract(history.select(*new.columns))
+    """Different rows of ``new`` that the history does not hold; nulls compare equal.
+
+    New rows are deduplicated first, so many copies of one row meet the join as
+    a single row.
+    """
+    same = [
+        F.col(f"n.{name}").eqNullSafe(F.col(f"h.{name}")) for name in new.columns
+    ]
+    return (
+        new.dropDuplicates()
+        .alias("n")
+        .join(history.alias("h"), reduce(and_, same), "left_anti")
+    )

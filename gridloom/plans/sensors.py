@@ -5,6 +5,9 @@ the instant they must tell unequal rows apart; a unique id does, and without
 one every column of the telemetry does.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,25 +54,23 @@ def current_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
     """
     kind, value = F.col("valueType"), F.col("value")
     numeric = keep_numeric(telemetry, "value")
-    complete = numeric.where(
-        (kind != AMPERE)
-        | F.forall(
-            F.array(*(F.col(name).isNotNull() for name in telemetry.columns)),
-            lambda known: known,
-        )
-    )
+    known = [F.col(name).isNotNull() for name in telemetry.columns]
+    complete = numeric.where((kind != AMPERE) | reduce(and_, known))
     rounded = complete.withColumn(
         "value",
         F.when(kind == AMPERE, value).otherwise(numbers.one_decimal_half_up(value)),
     )
+    highest_first = F.when(F.isnan(value), F.lit(float("-inf"))).otherwise(-value)
     ranked = with_row_index(
         rounded,
-        [F.when(kind == VOLTS, -value), "instant", *tie],
+        [F.when(kind == VOLTS, highest_first), "instant", *tie],
         name="id",
         kind="valueType",
         kinds=(AMPERE, VOLTS, POWER_FACTOR, CELSIUS),
     )
-    current = replace_value(equals(ranked, "valueType", AMPERE), "valueType", AMPERE, AMPERE_TRUSTED)
+    current = replace_value(
+        equals(ranked, "valueType", AMPERE), "valueType", AMPERE, AMPERE_TRUSTED
+    )
     partners = {"voltage": VOLTS, "power_factor": POWER_FACTOR, "temperature": CELSIUS}
     others = [
         equals(ranked, "valueType", kind).select("id", F.col("value").alias(name))

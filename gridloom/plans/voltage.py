@@ -13,7 +13,7 @@ from gridloom.operators.aggregates import (
     mean_by,
     sum_by,
 )
-from gridloom.operators.filters import above, up_to
+from gridloom.operators.filters import above, keep_numeric, up_to
 from gridloom.schemas import VOLTAGE_TRUSTED
 
 RENAMES = {
@@ -60,9 +60,10 @@ def voltage_trusted(raw: DataFrame, cutoff: datetime | None = None) -> DataFrame
 
 
 def normal_voltage(telemetry: DataFrame) -> DataFrame:
-    """Voltage readings under the normal scenario."""
-    return telemetry.where(
-        (F.col("valueType") == VOLTS) & (F.col("scenery") == NORMAL)
+    """Numeric voltage readings under the normal scenario."""
+    return keep_numeric(
+        telemetry.where((F.col("valueType") == VOLTS) & (F.col("scenery") == NORMAL)),
+        "value",
     )
 
 
