@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.sql import two
-from checks.tables import INSTANT, TS_TEXT, Tables
+from checks.tables import Tables, instant_text, ts_text
 from gridloom import constants as c
 from gridloom.functions import dates, flags, numbers, text
 from gridloom.operators import columns
@@ -155,10 +155,10 @@ def weather_event_label(t: Tables):
 def parse_timestamp(t: Tables):
     kind = F.col("event_type")
     written = (
-        F.when(kind == "click", INSTANT)
-        .when(kind == "view", F.substring(TS_TEXT, 1, 10))
+        F.when(kind == "click", instant_text())
+        .when(kind == "view", F.substring(ts_text(), 1, 10))
         .when(kind == "error", F.col("props"))
-        .otherwise(TS_TEXT)
+        .otherwise(ts_text())
     )
     return t.events.select("event_id", dates.parse_timestamp(written).alias("at"))
 
@@ -191,9 +191,9 @@ def hour_bucket(t: Tables):
 def split_iso_instant(t: Tables):
     kind = F.col("event_type")
     instant = (
-        F.when(kind == "click", F.concat(INSTANT, F.lit("Z")))
-        .when(kind == "view", F.substring(TS_TEXT, 1, 10))
-        .otherwise(INSTANT)
+        F.when(kind == "click", F.concat(instant_text(), F.lit("Z")))
+        .when(kind == "view", F.substring(ts_text(), 1, 10))
+        .otherwise(instant_text())
     )
     return t.events.select(
         "event_id",
@@ -207,8 +207,8 @@ def split_iso_instant(t: Tables):
        WHEN 'click' THEN CAST(ts AS VARCHAR) ELSE substr(CAST(ts AS VARCHAR), 1, 19) END,
        '.', 1) AS instant FROM events""")
 def truncate_fraction(t: Tables):
-    instant = F.when(F.col("event_type") == "click", TS_TEXT).otherwise(
-        F.substring(TS_TEXT, 1, 19)
+    instant = F.when(F.col("event_type") == "click", ts_text()).otherwise(
+        F.substring(ts_text(), 1, 19)
     )
     return t.events.select(
         "event_id", dates.truncate_fraction(instant).alias("instant")

@@ -3,7 +3,6 @@
 from datetime import datetime
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from checks.job_queries import COMPLAINTS_SQL
 from checks.registry import query
@@ -12,7 +11,7 @@ from gridloom import schemas
 from gridloom.plans import external, facts
 from gridloom.sources import scans, sinks
 from gridloom.staging import new_folder
-from gridloom.streaming.refresh import landed_parquet, refresh
+from gridloom.streaming.refresh import landed_parquet, read_fact, refresh
 
 EVENTS_SQL = """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props
        FROM events"""
@@ -116,17 +115,14 @@ def incremental_refresh(t: Tables):
     landing, fact, checkpoint = (
         new_folder(spark, label) for label in ("landing", "fact", "checkpoint")
     )
-    schema = StructType([*schemas.FACT_COMPLAINTS, StructField("ANO_MES", StringType())])
+    schema, month = schemas.STORED_COMPLAINTS, "ANO_MES_RECLAMACAO"
+    raw = t.complaints_raw
 
-    def rows(raw):
-        trusted = facts.fact_complaints(external.complaints_trusted(raw))
-        month = F.substring(F.col("DATA_RECLAMACAO").cast("string"), 1, 7)
-        return trusted.withColumn("ANO_MES", month)
+    def rows(batch):
+        return facts.complaints_rows(external.complaints_trusted(batch))
 
-    raw = t.complaints_raw
     for load in (raw.where(F.col("Avaliação") < "3"), raw.where(F.col("Avaliação") > "1")):
         load.write.mode("append").parquet(landing)
-        refresh(
-            landed_parquet(spark, landing, raw.schema), rows, fact, schema, "ANO_MES", checkpoint
-        )
-    return spark.read.schema(schema).parquet(fact).drop("ANO_MES")
+        landed = landed_parquet(spark, landing, raw.schema)
+        refresh(landed, rows, fact, schema, month, checkpoint)
+    return read_fact(spark, fact, schema).drop(month)

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.sql import harmonics, voltage
-from checks.tables import CUTOFF, HIGHEST, LOWEST, SCENERY, ZONE, Tables
-from gridloom import constants as c
+from checks.tables import CUTOFF, HIGHEST, LOWEST, Tables
 from gridloom.functions import numbers
 from gridloom.operators import aggregates, filters, sets, sorts
 from gridloom.operators.quantiles import quantiles

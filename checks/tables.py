@@ -27,10 +27,20 @@ def pick(names: tuple[str, ...], key: Column) -> Column:
     return F.get(names, (key % F.size(names)).cast("int"))
 
 
-ZONE = pick(c.ZONES, F.col("user_id"))
-SCENERY = pick((c.NORMAL, c.EXCEPTIONAL, c.TERRIBLE), F.col("user_id"))
-TS_TEXT = F.col("ts").cast("string")
-INSTANT = F.replace(TS_TEXT, F.lit(" "), F.lit("T"))
+def zone() -> Column:
+    return pick(c.ZONES, F.col("user_id"))
+
+
+def scenery() -> Column:
+    return pick((c.NORMAL, c.EXCEPTIONAL, c.TERRIBLE), F.col("user_id"))
+
+
+def ts_text() -> Column:
+    return F.col("ts").cast("string")
+
+
+def instant_text() -> Column:
+    return F.replace(ts_text(), F.lit(" "), F.lit("T"))
 
 
 class Tables:
@@ -67,7 +77,7 @@ class Tables:
         value, kind = F.col("value"), F.col("event_type")
         return self.events.select(
             "event_id",
-            INSTANT.alias("instant"),
+            instant_text().alias("instant"),
             F.when(value < 1, F.col("props"))
             .when(value < 2, F.lit(None))
             .otherwise(value.cast("string"))
@@ -78,8 +88,8 @@ class Tables:
             .when(kind == "error", c.PERCENT)
             .otherwise(c.CELSIUS)
             .alias("valueType"),
-            ZONE.alias("zone"),
-            SCENERY.alias("scenery"),
+            zone().alias("zone"),
+            scenery().alias("scenery"),
         )
 
     @cached_property
@@ -93,16 +103,16 @@ class Tables:
                 instant.alias("instant"),
                 reading.cast("string").alias("value"),
                 F.lit(kind).alias("valueType"),
-                ZONE.alias("zone"),
-                SCENERY.alias("scenery"),
+                zone().alias("zone"),
+                scenery().alias("scenery"),
             )
 
         return (
-            readings(c.VOLTS, INSTANT, value)
-            .union(readings(c.AMPERE, INSTANT, user / 4))
-            .union(readings(c.POWER_FACTOR, INSTANT, value / 8))
-            .union(readings(c.PERCENT, INSTANT, value / 16))
-            .union(readings(c.CELSIUS, F.substring(INSTANT, 1, 19), user / 8))
+            readings(c.VOLTS, instant_text(), value)
+            .union(readings(c.AMPERE, instant_text(), user / 4))
+            .union(readings(c.POWER_FACTOR, instant_text(), value / 8))
+            .union(readings(c.PERCENT, instant_text(), value / 16))
+            .union(readings(c.CELSIUS, F.substring(instant_text(), 1, 19), user / 8))
         )
 
     @cached_property
@@ -110,8 +120,8 @@ class Tables:
         """Clicks as voltages read every ten minutes; low values have no zone."""
         return self.events.where(F.col("event_type") == "click").select(
             F.col("value").alias("valor"),
-            F.when(F.col("value") >= 1, ZONE).alias("zona"),
-            F.concat(F.substring(TS_TEXT, 1, 15), F.lit("0:00")).alias("timestamp"),
+            F.when(F.col("value") >= 1, zone()).alias("zona"),
+            F.concat(F.substring(ts_text(), 1, 15), F.lit("0:00")).alias("timestamp"),
         )
 
     @cached_property

@@ -6,6 +6,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Combining marks that are removed after canonical decomposition.
 FIRST_MARK, LAST_MARK = 0x0300, 0x036F
@@ -48,7 +49,7 @@ def strip_accents_upper(text: Column) -> Column:
     return F.upper(F.translate(text, accented, plain))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_accents_upper_any_script(text: pd.Series) -> pd.Series:
     """As ``strip_accents_upper``, decomposing every script; slower."""
     return text.map(_without_marks, na_action="ignore").str.upper()

@@ -60,5 +60,13 @@ def fact_consumption(trusted: DataFrame, history: DataFrame | None = None) -> Da
     )
 
 
+def complaints_rows(trusted: DataFrame) -> DataFrame:
+    """Complaints with the month they are stored under."""
+    month = F.substring(F.col("DATA_RECLAMACAO").cast("string"), 1, 7)
+    return trusted.withColumn("ANO_MES_RECLAMACAO", month).select(
+        *schemas.STORED_COMPLAINTS.names
+    )
+
+
 def fact_complaints(trusted: DataFrame, history: DataFrame | None = None) -> DataFrame:
     return history_merge(history, trusted, schemas.FACT_COMPLAINTS.names)

@@ -149,3 +149,8 @@ FACT_COMPLAINTS = T.StructType(
         T.StructField("AVALIACAO", T.StringType()),
     ]
 )
+
+# Stored with the month its files are partitioned by.
+STORED_COMPLAINTS = T.StructType(
+    [*FACT_COMPLAINTS, T.StructField("ANO_MES_RECLAMACAO", T.StringType())]
+)

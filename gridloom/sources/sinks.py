@@ -86,24 +86,32 @@ def write_csv(
     )
 
 
+WRITERS = {"csv": write_csv, "json": write_json, "json_array": write_json_array}
+
+
 def publish(
     df: DataFrame,
     zone: str,
     name: str,
     stamp: datetime | None = None,
     partition_by: str | None = None,
+    fmt: str = "parquet",
 ) -> str:
     """Write a table below ``<zone>/<name>`` in a folder of its own run.
 
     ``name`` may carry a prefix (``consumo/Fato_Consumo``). Earlier runs stay,
     and readers pick the newest. With ``partition_by``, rows are rebalanced by
     that column, so few files are written per value and a value holding much of
-    the table is still spread over several tasks.
+    the table is still spread over several tasks. ``fmt`` may also name one of
+    the text sinks, which are not partitioned.
     """
     run = (stamp or datetime.now()).strftime("%Y%m%dT%H%M%S%f")
     path = f"{zone}/{name}/run={run}"
-    if partition_by is None:
-        df.write.parquet(path)
+    if fmt in WRITERS:
+        WRITERS[fmt](df, path)
+    elif partition_by is None:
+        df.write.format(fmt).save(path)
     else:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        rows = df.hint("rebalance", partition_by)
+        rows.write.format(fmt).partitionBy(partition_by).save(path)
     return path

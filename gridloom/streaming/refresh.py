@@ -31,20 +31,23 @@ def _touched(history: DataFrame, batch: DataFrame, month: str) -> DataFrame:
     return history.where(touched)
 
 
+def read_fact(spark: SparkSession, fact_path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(fact_path).select(*schema.names)
+
+
 def append_new_rows(
     new: DataFrame, fact_path: str, schema: StructType, month: str
 ) -> None:
     """Append the different rows of ``new`` that the stored fact lacks."""
     spark = new.sparkSession
-    rows = new.select(*schema.names).persist()
+    rows = new.select(*schema.names).dropDuplicates().persist()
     try:
-        # An empty partitioned write makes the folder on the first run.
-        spark.createDataFrame([], schema).write.mode("append").partitionBy(
-            month
-        ).parquet(fact_path)
-        history = spark.read.schema(schema).parquet(fact_path).select(*schema.names)
+        # An empty write makes the folder on the first run and adds no file later.
+        nothing = spark.createDataFrame([], schema)
+        nothing.write.mode("append").partitionBy(month).parquet(fact_path)
+        history = _touched(read_fact(spark, fact_path, schema), rows, month)
         (
-            rows_not_in(rows, _touched(history, rows, month))
+            rows_not_in(rows, history)
             .hint("rebalance", month)
             .write.mode("append")
             .partitionBy(month)
