@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.sql import harmonics, voltage
 from checks.tables import CUTOFF, HIGHEST, LOWEST, Tables
+from gridloom.constants import SINE_STEP
 from gridloom.functions import numbers
 from gridloom.operators import aggregates, filters, sets, sorts
 from gridloom.operators.quantiles import quantiles
@@ -77,6 +78,17 @@ def row_index(t: Tables):
     return with_row_index(picked, ["o_orderdate", "o_orderkey"])
 
 
+@query("sine_wave", """SELECT event_id,
+       round(value * sin(2 * pi() * user_id * (i * CAST(0.01 AS DOUBLE))), 6) + 0.0 AS wave
+       FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS i FROM events)""")
+def sine_wave(t: Tables):
+    """Each event's value on a wave whose time runs with the rank of the event."""
+    ranked = with_row_index(t.events, ["ts", "event_id"], name="rank", first=0)
+    seconds = F.col("rank") * SINE_STEP
+    wave = numbers.sine_voltage(F.col("value"), F.col("user_id"), seconds)
+    return ranked.select("event_id", F.round(wave, 6).alias("wave"))
+
+
 @query("mean_by_zone_instant", "SELECT zone, CAST(moment AS VARCHAR) AS moment, volts FROM ("
        + voltage("2024-01-20") + ")", "voltage_raw")
 def mean_by_zone_instant(t: Tables):

@@ -62,3 +62,20 @@ TRUSTED_CONSUMPTION = "trusted_generation"
 FACT_VOLTAGE_WEATHER = "tensao_clima/Fato_Tensao_Clima"
 FACT_CONSUMPTION = "consumo/Fato_Consumo"
 FACT_COMPLAINTS = "reclamacao_cliente/Fato_Reclamacao"
+
+# Names of the sensor tables.
+TRUSTED_TEMPERATURE = "trusted_ºC"
+TRUSTED_POWER_FACTOR = "trusted_fator"
+TRUSTED_CURRENT = "trusted_Ampere"
+TRUSTED_FREQUENCY = "trusted_Hz"
+TRUSTED_HARMONICS = "trusted_all_sensors"
+TRUSTED_GENERATION = "trusted_eletricity-generation"
+CLIENT_CURRENT = "client_Ampere"
+CLIENT_POWER_FACTOR = "client_correlacoes_fator"
+CLIENT_HARMONICS_VOLTAGE = "client_tensao_x_harmonica"
+CLIENT_HARMONICS_CURRENT = "client_corrente_x_harmonica"
+CLIENT_HARMONICS_POWER = "client_potencia_x_harmonica"
+CLIENT_HARMONICS_TIME = "client_harmonicas_x_tempo"
+CLIENT_LATEST_HARMONIC = "client_ultimo_valor_harmonica_por_regiao"
+CLIENT_LIMITS = "limits_by_zone"
+CLIENT_PERIODS = "per_hour"

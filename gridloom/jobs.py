@@ -85,7 +85,7 @@ def generation_to_trusted(
 ) -> str:
     raw = scans.read_csv(spark, path, schemas.GENERATION, sep=",")
     return publish(
-        external.generation_trusted(raw), zones.trusted, "trusted_eletricity-generation", now
+        external.generation_trusted(raw), zones.trusted, c.TRUSTED_GENERATION, now
     )
 
 
@@ -107,29 +107,29 @@ def sensors_to_client(
     def to_client(name: str, table: DataFrame) -> None:
         written[name] = publish(table, zones.client, name, now)
 
-    temperature = to_trusted("trusted_ºC", sensors.temperature_trusted(telemetry))
-    factor = to_trusted("trusted_fator", sensors.power_factor_trusted(telemetry))
-    current = to_trusted("trusted_Ampere", sensors.current_trusted(telemetry))
-    to_trusted("trusted_Hz", sensors.frequency_trusted(telemetry))
-    percent = to_trusted("trusted_all_sensors", harmonics.harmonics_trusted(telemetry))
+    temperature = to_trusted(c.TRUSTED_TEMPERATURE, sensors.temperature_trusted(telemetry))
+    factor = to_trusted(c.TRUSTED_POWER_FACTOR, sensors.power_factor_trusted(telemetry))
+    current = to_trusted(c.TRUSTED_CURRENT, sensors.current_trusted(telemetry))
+    to_trusted(c.TRUSTED_FREQUENCY, sensors.frequency_trusted(telemetry))
+    percent = to_trusted(c.TRUSTED_HARMONICS, harmonics.harmonics_trusted(telemetry))
 
-    to_client("client_Ampere", sensors.current_client(current))
+    to_client(c.CLIENT_CURRENT, sensors.current_client(current))
     to_client(
-        "client_correlacoes_fator",
+        c.CLIENT_POWER_FACTOR,
         sensors.power_factor_client(factor, temperature, current),
     )
     to_client(
-        "client_tensao_x_harmonica", harmonics.harmonics_vs_voltage(percent, telemetry)
+        c.CLIENT_HARMONICS_VOLTAGE, harmonics.harmonics_vs_voltage(percent, telemetry)
     )
     to_client(
-        "client_corrente_x_harmonica", harmonics.harmonics_vs_current(percent, telemetry)
+        c.CLIENT_HARMONICS_CURRENT, harmonics.harmonics_vs_current(percent, telemetry)
     )
     to_client(
-        "client_potencia_x_harmonica", harmonics.harmonics_vs_power(percent, telemetry)
+        c.CLIENT_HARMONICS_POWER, harmonics.harmonics_vs_power(percent, telemetry)
     )
-    to_client("client_harmonicas_x_tempo", harmonics.harmonics_over_time(percent))
+    to_client(c.CLIENT_HARMONICS_TIME, harmonics.harmonics_over_time(percent))
     to_client(
-        "client_ultimo_valor_harmonica_por_regiao",
+        c.CLIENT_LATEST_HARMONIC,
         harmonics.latest_harmonic_per_zone(percent),
     )
     return written
@@ -142,8 +142,8 @@ def voltage_reports(
     readings = scans.read_json_lines(spark, telemetry, schemas.TELEMETRY)
     people = scans.read_csv(spark, population, schemas.ZONE_POPULATION, sep=",")
     reports = {
-        "limits_by_zone": voltage.limits_by_zone(readings, people),
-        "per_hour": voltage.overvoltage_by_day_period(readings),
+        c.CLIENT_LIMITS: voltage.limits_by_zone(readings, people),
+        c.CLIENT_PERIODS: voltage.overvoltage_by_day_period(readings),
     }
     return {
         name: publish(table, zones.client, name, now, fmt="csv")

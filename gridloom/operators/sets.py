@@ -29,17 +29,20 @@ def history_merge(
     return rows.dropDuplicates()
 
 
+def _match(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in left.columns]
+    return left.alias("l").join(right.alias("r"), reduce(and_, same), how)
+
+
 def rows_not_in(new: DataFrame, history: DataFrame) -> DataFrame:
     """Different rows of ``new`` that the history does not hold; nulls compare equal.
 
     New rows are deduplicated first, so many copies of one row meet the join as
     a single row.
     """
-    same = [
-        F.col(f"n.{name}").eqNullSafe(F.col(f"h.{name}")) for name in new.columns
-    ]
-    return (
-        new.dropDuplicates()
-        .alias("n")
-        .join(history.alias("h"), reduce(and_, same), "left_anti")
-    )
+    return _match(new.dropDuplicates(), history, "left_anti")
+
+
+def rows_also_in(history: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of the history that ``new`` holds too; nulls compare equal."""
+    return _match(history, new, "left_semi")

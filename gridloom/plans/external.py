@@ -10,6 +10,7 @@ from gridloom.operators.filters import keep_numeric
 from gridloom.schemas import COMPLAINTS_TRUSTED, CONSUMPTION_TRUSTED
 from gridloom.sources.weather import hourly_rows
 
+# Landed names and their trusted names.
 WEATHER_RENAMES = {
     "time": "DATA_HORA_CLIMA",
     "temperature_2m": "CLIMA_TEMPERATURA",

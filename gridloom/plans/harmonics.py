@@ -14,7 +14,7 @@ from gridloom.constants import (
 )
 from gridloom.operators.aggregates import latest_per_zone
 from gridloom.operators.filters import equals, scenario_by_position
-from gridloom.plans.sensors import TIE, clean_sensor
+from gridloom.plans.sensors import TIE, clean_sensor, format_value, numeric_sensor
 
 # Share of the readings up to which each scenario is expected,
 # and the scenario after the last share.
@@ -24,13 +24,14 @@ LAST_SCENARIO = NORMAL
 
 def harmonics_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
     """Harmonic readings that match the scenario expected at their position."""
-    return scenario_by_position(
-        clean_sensor(telemetry, PERCENT),
+    kept = scenario_by_position(
+        numeric_sensor(telemetry, PERCENT),
         ["instant", *tie],
         "scenery",
         SCENARIO_SHARES,
         LAST_SCENARIO,
     )
+    return format_value(kept)
 
 
 def labelled(telemetry: DataFrame, kind: str, label: str, *keys: str) -> DataFrame:

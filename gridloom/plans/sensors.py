@@ -30,18 +30,31 @@ from gridloom.operators.sorts import sort_desc
 TIE = ["zone", "scenery", "value"]
 
 
+def numeric_sensor(telemetry: DataFrame, kind: str) -> DataFrame:
+    """Complete numeric readings of one kind."""
+    return keep_numeric(equals(drop_null_rows(telemetry), "valueType", kind), "value")
+
+
+def format_value(readings: DataFrame) -> DataFrame:
+    return readings.withColumn("value", numbers.two_decimals(F.col("value")))
+
+
 def clean_sensor(telemetry: DataFrame, kind: str) -> DataFrame:
     """Complete numeric readings of one kind, with two decimals."""
-    readings = keep_numeric(equals(drop_null_rows(telemetry), "valueType", kind), "value")
-    return readings.withColumn("value", numbers.two_decimals(F.col("value")))
+    return format_value(numeric_sensor(telemetry, kind))
+
+
+def _latest_first(telemetry: DataFrame, kind: str, tie: list[str]) -> DataFrame:
+    # A sort reads its input twice, once for a sample; format after it, once.
+    return format_value(sort_desc(numeric_sensor(telemetry, kind), "instant", *tie))
 
 
 def temperature_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
-    return sort_desc(clean_sensor(telemetry, CELSIUS), "instant", *tie)
+    return _latest_first(telemetry, CELSIUS, tie)
 
 
 def power_factor_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
-    return sort_desc(clean_sensor(telemetry, POWER_FACTOR), "instant", *tie)
+    return _latest_first(telemetry, POWER_FACTOR, tie)
 
 
 def current_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:

@@ -16,6 +16,7 @@ from gridloom.operators.aggregates import (
 from gridloom.operators.filters import above, keep_numeric, up_to
 from gridloom.schemas import VOLTAGE_TRUSTED
 
+# Landed names and their trusted names.
 RENAMES = {
     "valor": "TENSAO_VALOR",
     "zona": "ZONA_GERACAO",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gridloom.constants import CONSUMPTION_KINDS, CONSUMPTION_STATE, CONSUMPTION_YEAR
 
+# Columns of the consumption table.
 COLUMNS = ("ano", "mes", "sigla_uf", "tipo_consumo", "numero_consumidores", "consumo")
 
 

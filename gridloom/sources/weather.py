@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The parallel arrays of a weather document.
 HOURLY_FIELDS = ("time", "temperature_2m", "rain", "wind_speed_10m")
 
 

@@ -1,10 +1,11 @@
 """Pick up newly landed files and append what the fact does not hold yet.
 
 The stored fact is partitioned by a month column. A batch reads only the months
-it touches, and files already written are never rewritten, so the work follows
-the size of the batch and not of the history. A batch that is replayed, also
-one that failed half way through its write, finds its own rows in the history
-and appends only the rest.
+it touches, and files already written are never rewritten. A batch counted to
+be small is sent to the history, which then is scanned but not shuffled; a
+larger one meets it in a sort-merge join. A batch that is replayed, also one
+that failed half way through its write, finds its own rows in the history and
+appends only the rest.
 """
 
 from collections.abc import Callable
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridloom.operators.sets import rows_not_in
+from gridloom.operators.joins import broadcast_if_small
+from gridloom.operators.sets import rows_also_in, rows_not_in
 
 # Above this many months in one batch the whole history is compared instead.
 MAX_PRUNED_MONTHS = 1_000
@@ -31,6 +33,12 @@ def _touched(history: DataFrame, batch: DataFrame, month: str) -> DataFrame:
     return history.where(touched)
 
 
+def _held(history: DataFrame, rows: DataFrame) -> DataFrame:
+    """The part of the history a comparison with the new rows needs."""
+    small = broadcast_if_small(rows)
+    return history if small is rows else rows_also_in(history, small)
+
+
 def read_fact(spark: SparkSession, fact_path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(fact_path).select(*schema.names)
 
@@ -47,7 +55,7 @@ def append_new_rows(
         nothing.write.mode("append").partitionBy(month).parquet(fact_path)
         history = _touched(read_fact(spark, fact_path, schema), rows, month)
         (
-            rows_not_in(rows, history)
+            rows_not_in(rows, _held(history, rows))
             .hint("rebalance", month)
             .write.mode("append")
             .partitionBy(month)
