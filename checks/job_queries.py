@@ -16,6 +16,7 @@ from checks.tables import (
     Tables,
 )
 from gridloom import constants as c
+from gridloom.functions.dates import wall_clock
 from gridloom.operators import joins
 from gridloom.operators.columns import replace_value
 from gridloom.plans import external, facts, harmonics, sensors, voltage
@@ -109,7 +110,7 @@ def left_join_hourly_weather(t: Tables):
        "voltage", "early_voltage", "weather", "early_weather", "complaints")
 def fact_voltage_weather(t: Tables):
     """The history was written before the later weather had landed."""
-    known = F.col("DATA_HORA_CLIMA") < F.lit(EARLIER_WEATHER).cast("timestamp_ntz")
+    known = F.col("DATA_HORA_CLIMA") < wall_clock(EARLIER_WEATHER)
     weather, complaints = _weather(t), _complaints(t)
     history = facts.fact_voltage_weather(
         _voltage(t, EARLIER_CUTOFF), weather.where(known), complaints

@@ -9,6 +9,7 @@ from checks.sql import harmonics, voltage
 from checks.tables import CUTOFF, HIGHEST, LOWEST, Tables
 from gridloom.constants import SINE_STEP
 from gridloom.functions import numbers
+from gridloom.functions.dates import wall_clock
 from gridloom.operators import aggregates, filters, sets, sorts
 from gridloom.operators.quantiles import quantiles
 from gridloom.operators.rowindex import with_row_index
@@ -185,8 +186,8 @@ def top_k(t: Tables):
 def _slice(t: Tables, start: int, end: int):
     days = F.col("o_orderdate")
     return t.orders.where(
-        (days >= F.lit(datetime(start, 1, 1)).cast("timestamp_ntz"))
-        & (days < F.lit(datetime(end, 1, 1)).cast("timestamp_ntz"))
+        (days >= wall_clock(datetime(start, 1, 1)))
+        & (days < wall_clock(datetime(end, 1, 1)))
     )
 
 

@@ -5,12 +5,19 @@ session time zone, which shifts times inside a daylight-saving gap. The text
 parts here are cut from the zone-free text form instead.
 """
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gridloom.constants import DAY_PERIODS
 
 
+def wall_clock(moment: datetime) -> Column:
+    """A Python date-time as a literal that no session time zone shifts."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_timestamp(text: Column) -> Column:
     """Text to wall-clock timestamp; unreadable text becomes null."""
     return text.try_cast("timestamp_ntz")

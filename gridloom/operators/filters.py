@@ -6,6 +6,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.dates import wall_clock
 from gridloom.functions.numbers import as_number
 from gridloom.operators.quantiles import quantiles
 from gridloom.operators.rowindex import with_row_index
@@ -38,7 +39,7 @@ def keep_numeric(df: DataFrame, *names: str) -> DataFrame:
 
 def up_to(df: DataFrame, name: str, cutoff: datetime | None = None) -> DataFrame:
     """Drop rows stamped after the cut-off, by default the current wall clock."""
-    limit = F.localtimestamp() if cutoff is None else F.lit(cutoff).cast("timestamp_ntz")
+    limit = F.localtimestamp() if cutoff is None else wall_clock(cutoff)
     return df.where(F.col(name) <= limit)
 
 
@@ -50,8 +51,7 @@ def last_day(df: DataFrame, name: str, day: date) -> DataFrame:
     start = datetime.combine(day - timedelta(days=1), datetime.min.time())
     end = datetime.combine(day + timedelta(days=1), datetime.min.time())
     return df.where(
-        (F.col(name) >= F.lit(start).cast("timestamp_ntz"))
-        & (F.col(name) < F.lit(end).cast("timestamp_ntz"))
+        (F.col(name) >= wall_clock(start)) & (F.col(name) < wall_clock(end))
     )
 
 

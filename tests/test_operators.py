@@ -50,6 +50,20 @@ def test_time_filters(spark):
     assert filters.up_to(future, "ts").isEmpty()
 
 
+@pytest.mark.parametrize("zone", ["America/Sao_Paulo", "Asia/Tokyo"])
+def test_time_filters_do_not_depend_on_the_session_time_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.range(96).selectExpr(
+            "timestamp_ntz'2024-01-13 00:00:00' + make_interval(0, 0, 0, 0, id, 0, 0) as ts"
+        )
+        assert filters.up_to(df, "ts", datetime(2024, 1, 14)).count() == 25
+        assert filters.last_day(df, "ts", date(2024, 1, 15)).count() == 48
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_above_ignores_nan(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double")
     assert rows(filters.above(df, "x", 2)) == [(3.0,)]
