@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.sql import two
 from checks.tables import Tables, instant_text, ts_text
-from gridloom import constants as c
 from gridloom.functions import dates, flags, numbers, text
 from gridloom.operators import columns
 

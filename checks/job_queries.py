@@ -123,24 +123,24 @@ def consumption_trusted(t: Tables):
     return external.consumption_trusted(_queried(t))
 
 
-@query("fact_consumption", """SELECT "TIPO_CONSUMO", "NUMERO_CONSUMIDORES", "CONSUMO",
-       CAST("ANO" AS VARCHAR) || '-' || lpad(CAST("MES" AS VARCHAR), 2, '0') AS "ANO_MES_COLETA"
-       FROM consumption_trusted
-       UNION SELECT "TIPO_CONSUMO", "NUMERO_CONSUMIDORES" + 1, "CONSUMO",
-       CAST("ANO" AS VARCHAR) || '-' || lpad(CAST("MES" AS VARCHAR), 2, '0')
-       FROM consumption_trusted WHERE "MES" < 7
-       UNION SELECT "TIPO_CONSUMO", "NUMERO_CONSUMIDORES", "CONSUMO",
-       CAST("ANO" AS VARCHAR) || '-' || lpad(CAST("MES" AS VARCHAR), 2, '0')
-       FROM consumption_trusted WHERE "MES" > 3""", "consumption_trusted")
+_MONTH = """CAST("ANO" AS VARCHAR) || '-' || lpad(CAST("MES" AS VARCHAR), 2, '0')
+       AS "ANO_MES_COLETA" FROM consumption_trusted"""
+
+
+@query("fact_consumption", f"""SELECT "TIPO_CONSUMO", "NUMERO_CONSUMIDORES", "CONSUMO", {_MONTH}
+       UNION SELECT "TIPO_CONSUMO",
+       "NUMERO_CONSUMIDORES" + CASE WHEN "MES" < 4 THEN 1 ELSE 0 END, "CONSUMO", {_MONTH}
+       WHERE "MES" < 7""", "consumption_trusted")
 def fact_consumption(t: Tables):
-    """The history holds revised figures up to June and the same ones from April."""
+    """The history ends in June; its figures up to March were revised since."""
     trusted = external.consumption_trusted(_queried(t))
-    rows = facts.consumption_rows(trusted)
     month = F.substring("ANO_MES_COLETA", 6, 2)
-    revised = rows.where(month < "07").withColumn(
-        "NUMERO_CONSUMIDORES", F.col("NUMERO_CONSUMIDORES") + 1
+    revision = F.when(month < "04", 1).otherwise(0)
+    history = (
+        facts.consumption_rows(trusted)
+        .where(month < "07")
+        .withColumn("NUMERO_CONSUMIDORES", F.col("NUMERO_CONSUMIDORES") + revision)
     )
-    history = revised.unionByName(rows.where(month > "03"))
     return facts.fact_consumption(trusted, history)
 
 

@@ -81,8 +81,8 @@ def year_month_key(year: Column, month: Column) -> Column:
 
 
 def day_period(hour: Column) -> Column:
-    """Name of the period of the day an hour (0-23) falls into."""
-    label = F.lit(DAY_PERIODS[-1][1])
+    """Name of the period of the day an hour (0-23) falls into; null without one."""
+    label = F.when(hour.isNotNull(), F.lit(DAY_PERIODS[-1][1]))
     for end, name in reversed(DAY_PERIODS[:-1]):
         label = F.when(hour < end, F.lit(name)).otherwise(label)
     return label

@@ -5,6 +5,7 @@ are published as a new run; facts are partitioned by month and only ever
 appended to.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -18,7 +19,7 @@ from gridloom.operators.filters import last_day
 from gridloom.sources import scans
 from gridloom.sources.consumption import consumption_query
 from gridloom.sources.sinks import publish
-from gridloom.streaming.refresh import append_new_rows, read_fact
+from gridloom.streaming.refresh import append_new_rows, landed_parquet, read_fact, refresh
 
 
 @dataclass(frozen=True)
@@ -151,33 +152,114 @@ def voltage_reports(
     }
 
 
+@dataclass(frozen=True)
+class Fact:
+    """Where a fact is stored and how its files are split and ordered."""
+
+    path: str
+    schema: StructType
+    month: str
+    latest_first: str
+
+    def append(self, rows: DataFrame, zones: Zones) -> None:
+        path = f"{zones.client}/{self.path}"
+        append_new_rows(rows, path, self.schema, self.month, self.latest_first)
+
+    def read(self, spark: SparkSession, zones: Zones) -> DataFrame:
+        return read_fact(spark, f"{zones.client}/{self.path}", self.schema)
+
+    def refresh(
+        self,
+        spark: SparkSession,
+        zones: Zones,
+        trusted: str,
+        schema: StructType,
+        to_rows: Callable[[DataFrame], DataFrame],
+        checkpoint: str,
+    ) -> None:
+        """Append every trusted run not taken in before."""
+        runs = landed_parquet(spark, f"{zones.trusted}/{trusted}*/run=*", schema)
+        path = f"{zones.client}/{self.path}"
+        refresh(runs, to_rows, path, self.schema, self.month, checkpoint, self.latest_first)
+
+
+VOLTAGE_WEATHER = Fact(
+    c.FACT_VOLTAGE_WEATHER,
+    schemas.FACT_VOLTAGE_WEATHER,
+    "ANO_MES_GERACAO",
+    "DATA_HORA_GERACAO",
+)
+CONSUMPTION = Fact(
+    c.FACT_CONSUMPTION, schemas.FACT_CONSUMPTION, "ANO_MES_COLETA", "ANO_MES_COLETA"
+)
+COMPLAINTS = Fact(
+    c.FACT_COMPLAINTS,
+    schemas.STORED_COMPLAINTS,
+    "ANO_MES_RECLAMACAO",
+    "DATA_HORA_RECLAMACAO",
+)
+
+
+def _voltage_weather_rows(
+    spark: SparkSession, zones: Zones
+) -> Callable[[DataFrame], DataFrame]:
+    weather = _trusted(spark, zones, c.TRUSTED_WEATHER, schemas.WEATHER_TRUSTED)
+    complaints = _trusted(
+        spark, zones, c.TRUSTED_COMPLAINTS, schemas.COMPLAINTS_TRUSTED
+    )
+    return lambda readings: facts.voltage_weather_rows(
+        readings, weather, complaints, count_small_sides=True
+    )
+
+
 def voltage_weather_to_client(spark: SparkSession, zones: Zones) -> DataFrame:
     """Append the newest trusted tables to the voltage-weather fact."""
-    rows = facts.voltage_weather_rows(
-        _trusted(spark, zones, c.TRUSTED_VOLTAGE, schemas.VOLTAGE_TRUSTED),
-        _trusted(spark, zones, c.TRUSTED_WEATHER, schemas.WEATHER_TRUSTED),
-        _trusted(spark, zones, c.TRUSTED_COMPLAINTS, schemas.COMPLAINTS_TRUSTED),
-        count_small_sides=True,
-    )
-    path = f"{zones.client}/{c.FACT_VOLTAGE_WEATHER}"
-    append_new_rows(rows, path, schemas.FACT_VOLTAGE_WEATHER, "ANO_MES_GERACAO")
-    return read_fact(spark, path, schemas.FACT_VOLTAGE_WEATHER)
+    readings = _trusted(spark, zones, c.TRUSTED_VOLTAGE, schemas.VOLTAGE_TRUSTED)
+    VOLTAGE_WEATHER.append(_voltage_weather_rows(spark, zones)(readings), zones)
+    return VOLTAGE_WEATHER.read(spark, zones)
 
 
 def consumption_to_client(spark: SparkSession, zones: Zones) -> DataFrame:
     trusted = _trusted(spark, zones, c.TRUSTED_CONSUMPTION, schemas.CONSUMPTION_TRUSTED)
-    path = f"{zones.client}/{c.FACT_CONSUMPTION}"
-    append_new_rows(
-        facts.consumption_rows(trusted), path, schemas.FACT_CONSUMPTION, "ANO_MES_COLETA"
-    )
-    return read_fact(spark, path, schemas.FACT_CONSUMPTION)
+    CONSUMPTION.append(facts.consumption_rows(trusted), zones)
+    return CONSUMPTION.read(spark, zones)
 
 
 def complaints_to_client(spark: SparkSession, zones: Zones) -> DataFrame:
     trusted = _trusted(spark, zones, c.TRUSTED_COMPLAINTS, schemas.COMPLAINTS_TRUSTED)
-    path = f"{zones.client}/{c.FACT_COMPLAINTS}"
-    month = "ANO_MES_RECLAMACAO"
-    append_new_rows(
-        facts.complaints_rows(trusted), path, schemas.STORED_COMPLAINTS, month
+    COMPLAINTS.append(facts.complaints_rows(trusted), zones)
+    return COMPLAINTS.read(spark, zones).drop(COMPLAINTS.month)
+
+
+def refresh_voltage_weather(spark: SparkSession, zones: Zones, checkpoint: str) -> None:
+    """All voltage runs not yet taken in, with the newest weather and complaints."""
+    VOLTAGE_WEATHER.refresh(
+        spark,
+        zones,
+        c.TRUSTED_VOLTAGE,
+        schemas.VOLTAGE_TRUSTED,
+        lambda batch: _voltage_weather_rows(spark, zones)(batch),
+        checkpoint,
+    )
+
+
+def refresh_consumption(spark: SparkSession, zones: Zones, checkpoint: str) -> None:
+    CONSUMPTION.refresh(
+        spark,
+        zones,
+        c.TRUSTED_CONSUMPTION,
+        schemas.CONSUMPTION_TRUSTED,
+        facts.consumption_rows,
+        checkpoint,
+    )
+
+
+def refresh_complaints(spark: SparkSession, zones: Zones, checkpoint: str) -> None:
+    COMPLAINTS.refresh(
+        spark,
+        zones,
+        c.TRUSTED_COMPLAINTS,
+        schemas.COMPLAINTS_TRUSTED,
+        facts.complaints_rows,
+        checkpoint,
     )
-    return read_fact(spark, path, schemas.STORED_COMPLAINTS).drop(month)

@@ -6,9 +6,13 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.sources.scans import TIMESTAMP_FORMAT
 
+# Lines of a JSON array file; each holds one Arrow batch of records.
+LINES_PER_FILE = 50
+
 
 def first_rows(
     df: DataFrame, limit: int | None, order_by: list[Column] | None
@@ -33,15 +37,21 @@ def write_json(
     )
 
 
-def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    lead = "["
+def _as_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One line per batch of records; every ``LINES_PER_FILE`` lines form an array."""
+    held, lines = None, 0
     for batch in batches:
-        for start in range(0, len(batch), 10_000):
-            records = batch["value"].iloc[start : start + 10_000]
-            yield pd.DataFrame({"value": [lead + ",\n".join(records)]})
-            lead = ","
-    if lead == ",":
-        yield pd.DataFrame({"value": ["]"]})
+        if batch.empty:
+            continue
+        if held is not None:
+            yield pd.DataFrame({"value": [held]})
+        lead = "," if lines % LINES_PER_FILE else "["
+        lines += 1
+        end = "" if lines % LINES_PER_FILE else "]"
+        held = lead + ",\n".join(batch["value"]) + end
+    if held is not None:
+        end = "]" if lines % LINES_PER_FILE else ""
+        yield pd.DataFrame({"value": [held + end]})
 
 
 def write_json_array(
@@ -50,21 +60,23 @@ def write_json_array(
     limit: int | None = None,
     order_by: list[Column] | None = None,
 ) -> None:
-    """One JSON array per file, for readers that expect documents.
+    """JSON arrays, one per file, for readers that expect documents.
 
     Records are rendered by Spark; Python only puts brackets and commas between
-    them, batch by batch. Rebalancing keeps each file to an ordinary partition,
-    since such a file is later read by one task.
+    them, batch by batch. Such a file is later read by one task, so arrays end,
+    and files with them, after a fixed number of batches.
     """
     rows = first_rows(df, limit, order_by)
-    if not order_by:
-        rows = rows.hint("rebalance")
     records = rows.select(
         F.to_json(
             F.struct(*rows.columns), {"timestampNTZFormat": TIMESTAMP_FORMAT}
         ).alias("value")
     )
-    records.mapInPandas(_as_array, "value string").write.text(path)
+    (
+        records.mapInPandas(_as_arrays, StructType([StructField("value", StringType())]))
+        .write.option("maxRecordsPerFile", LINES_PER_FILE)
+        .text(path)
+    )
 
 
 def write_csv(

@@ -44,9 +44,17 @@ def read_fact(spark: SparkSession, fact_path: str, schema: StructType) -> DataFr
 
 
 def append_new_rows(
-    new: DataFrame, fact_path: str, schema: StructType, month: str
+    new: DataFrame,
+    fact_path: str,
+    schema: StructType,
+    month: str,
+    latest_first: str | None = None,
 ) -> None:
-    """Append the different rows of ``new`` that the stored fact lacks."""
+    """Append the different rows of ``new`` that the stored fact lacks.
+
+    Files are written in descending order of ``latest_first``.
+    """
+    order = [F.col(month), *([F.desc(latest_first)] if latest_first else [])]
     spark = new.sparkSession
     rows = new.select(*schema.names).dropDuplicates().persist()
     try:
@@ -57,6 +65,7 @@ def append_new_rows(
         (
             rows_not_in(rows, _held(history, rows))
             .hint("rebalance", month)
+            .sortWithinPartitions(*order)
             .write.mode("append")
             .partitionBy(month)
             .parquet(fact_path)
@@ -72,6 +81,7 @@ def refresh(
     schema: StructType,
     month: str,
     checkpoint: str,
+    latest_first: str | None = None,
 ) -> None:
     """Run every landed file not seen before through to the stored fact.
 
@@ -80,7 +90,7 @@ def refresh(
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        append_new_rows(to_fact_rows(batch), fact_path, schema, month)
+        append_new_rows(to_fact_rows(batch), fact_path, schema, month, latest_first)
 
     query = (
         landed.writeStream.foreachBatch(append)

@@ -48,7 +48,8 @@ def test_currents_truncate(spark):
 
 
 def test_day_periods_cover_the_day(spark):
-    got = values(spark, list(range(24)), "h int", dates.day_period(F.col("h")))
+    got = values(spark, [*range(24), None], "h int", dates.day_period(F.col("h")))
+    assert got.pop() is None
     assert got == (
         ["Madrugada"] * 5 + ["Manhã"] * 6 + ["Meio dia"] * 3
         + ["Início da tarde"] * 2 + ["Fim da tarde"] * 2 + ["Noite"] * 6

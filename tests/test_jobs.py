@@ -7,6 +7,7 @@ from pathlib import Path
 from gridloom import constants as c
 from gridloom import jobs, schemas
 from gridloom.sources import scans
+from gridloom.sources.sinks import publish
 
 NOW = datetime(2024, 1, 3)
 
@@ -65,6 +66,35 @@ def test_live_jobs_end_to_end_and_again(spark, folder):
         ]
 
 
+def test_refresh_takes_in_every_run_once(spark, folder):
+    zones = jobs.Zones(*(f"{folder}/{n}" for n in ("raw", "trusted", "client")))
+    when = datetime(2024, 1, 1, 5, 10)
+    first = (when.date(), "05:10", "2024-01", "SUL", when, 1.0)
+    second = (when.date(), "05:10", "2024-01", "NORTE", when, 2.0)
+    said = ("3", when, when.date(), "05:10:00")
+    hour = (datetime(2024, 1, 1, 5), 20.0, 30.0, 0.0)
+
+    def trusted(name, rows, schema, run):
+        publish(spark.createDataFrame(rows, schema), zones.trusted, name + "1", run)
+
+    trusted(c.TRUSTED_WEATHER, [hour], schemas.WEATHER_TRUSTED, NOW)
+    trusted(c.TRUSTED_COMPLAINTS, [said], schemas.COMPLAINTS_TRUSTED, NOW)
+    use = (2023, 5, "SP", "COMERCIAL", 10, 1.5)
+    trusted(c.TRUSTED_CONSUMPTION, [use, use], schemas.CONSUMPTION_TRUSTED, NOW)
+    for day, rows in ((4, [first]), (5, [first, second])):
+        trusted(c.TRUSTED_VOLTAGE, rows, schemas.VOLTAGE_TRUSTED, datetime(2024, 1, day))
+        for _ in range(2):
+            jobs.refresh_voltage_weather(spark, zones, f"{folder}/checkpoints/voltage")
+            jobs.refresh_consumption(spark, zones, f"{folder}/checkpoints/consumption")
+            jobs.refresh_complaints(spark, zones, f"{folder}/checkpoints/complaints")
+    fact = jobs.VOLTAGE_WEATHER.read(spark, zones)
+    assert sorted((r.ZONA_GERACAO, r.CLIMA_EVENTO, r.INDICE_APROVACAO) for r in fact.collect()) == [
+        ("NORTE", "CHUVA", "3"), ("SUL", "CHUVA", "3"),
+    ]
+    assert jobs.CONSUMPTION.read(spark, zones).count() == 1
+    assert jobs.COMPLAINTS.read(spark, zones).count() == 1
+
+
 def test_sensor_jobs_and_reports(spark, folder):
     zones = jobs.Zones(*(f"{folder}/{n}" for n in ("raw", "trusted", "client")))
     kinds = (c.VOLTS, c.AMPERE, c.POWER_FACTOR, c.CELSIUS, c.HERTZ, c.PERCENT)

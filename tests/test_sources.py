@@ -46,14 +46,18 @@ def test_json_arrays_are_valid_documents(spark, table, folder):
     assert sum(len(json.loads(p.read_text())) for p in files) == len(ROWS)
 
 
-def test_json_array_of_many_batches(spark, folder):
+@pytest.mark.parametrize("size", [0, 1, 349, 350, 351, 1000])
+def test_json_arrays_of_many_batches(spark, folder, size):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        sinks.write_json_array(spark.range(1000), f"{folder}/t")
+        sinks.write_json_array(spark.range(0, size, 1, 1), f"{folder}/t")
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     back = scans.read_json_documents(spark, f"{folder}/t", spark.range(1).schema)
-    assert sorted(r.id for r in back.collect()) == list(range(1000))
+    assert sorted(r.id for r in back.collect()) == list(range(size))
+    files = [p.read_text() for p in Path(folder, "t").glob("part-*") if p.stat().st_size]
+    assert len(files) == -(-size // (7 * sinks.LINES_PER_FILE))
+    assert sum(len(json.loads(text)) for text in files) == size
 
 
 def test_sinks_keep_all_rows_unless_told_otherwise(spark, folder):
