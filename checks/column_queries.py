@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.sql import two
+from checks.sql import single, two
 from checks.tables import Tables, instant_text, ts_text
 from gridloom.functions import dates, flags, numbers, text
 from gridloom.operators import columns
@@ -85,13 +85,14 @@ def fill_null_zero(t: Tables):
 
 
 @query("format_two_decimals", f"""SELECT event_id, {two('value / 16')} AS value,
-       {two('value * 1000')} AS thousands FROM events""")
+       {two('value * 1000')} AS thousands, {two(single('value / 10'))} AS tenth FROM events""")
 def format_two_decimals(t: Tables):
     value = F.col("value")
     return t.events.select(
         "event_id",
         numbers.two_decimals(value / 16).alias("value"),
         numbers.two_decimals(value * 1000).alias("thousands"),
+        numbers.two_decimals((value / 10).cast(numbers.SINGLE)).alias("tenth"),
     )
 
 

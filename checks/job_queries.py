@@ -183,7 +183,7 @@ def _frequency(frequency: str) -> str:
                     row_number() OVER (ORDER BY instant, event_id) - 1 AS i FROM telemetry
                     WHERE "valueType" = '{kind}' AND TRY_CAST(value AS DOUBLE) IS NOT NULL)"""
 
-    return f"""SELECT f.event_id, f.instant, {sql.two('f.x')} AS value, 'Hz' AS "valueType",
+    return f"""SELECT f.event_id, f.instant, {sql.two(sql.single('f.x'))} AS value, 'Hz' AS "valueType",
         f.zone, f.scenery,
         round(v.x * sin(2 * pi() * f.x * (i * CAST(0.01 AS DOUBLE))), 6) + 0.0 AS tensao_senoidal
         FROM {ranked(frequency)} f JOIN {ranked(c.VOLTS)} v USING (i)"""
@@ -277,7 +277,7 @@ def harmonics_over_time(t: Tables):
 
 
 @query("generation_trusted", "SELECT CAST(date AS VARCHAR) AS date, "
-       + ", ".join(f"{sql.two(name)} AS {name}" for name in c.GENERATION_SOURCES)
+       + ", ".join(f"{sql.two(sql.single(name))} AS {name}" for name in c.GENERATION_SOURCES)
        + " FROM generation WHERE "
        + " AND ".join(f"{name} IS NOT NULL" for name in c.GENERATION_SOURCES), "generation")
 def generation_trusted(t: Tables):

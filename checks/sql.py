@@ -17,13 +17,17 @@ def two(value: str) -> str:
     return f"CAST(printf('%.2f', {value}) AS DOUBLE)"
 
 
+def single(value: str) -> str:
+    return f"CAST(TRY_CAST({value} AS FLOAT) AS DOUBLE)"
+
+
 def half_up(value: str) -> str:
     return f"round(CAST({value} AS DOUBLE), 1)"
 
 
 def clean(source: str, kind: str) -> str:
     return f"""
-        SELECT event_id, instant, {two('TRY_CAST(value AS DOUBLE)')} AS value,
+        SELECT event_id, instant, {two(single('value'))} AS value,
                "valueType", zone, scenery
         FROM {source}
         WHERE "valueType" = '{kind}' AND TRY_CAST(value AS DOUBLE) IS NOT NULL"""
@@ -46,7 +50,7 @@ def current(source: str) -> str:
 
     arrival = "instant, event_id"
     return f"""
-        SELECT id, a.event_id, a.instant, a.value, 'Ampere' AS "valueType", a.zone, a.scenery,
+        SELECT id, a.event_id, a.instant, {single('a.value')} AS value, 'Ampere' AS "valueType", a.zone, a.scenery,
                v.tenth AS voltage, f.tenth AS power_factor, t.tenth AS temperature
         FROM {ranked(c.AMPERE, arrival)} a
         JOIN {ranked(c.VOLTS, 'tenth DESC, instant, event_id')} v USING (id)
@@ -141,8 +145,9 @@ VIEWS = {
                      max(user_id) AS user, max(value) AS high, min(value) AS low
               FROM events WHERE event_type = 'view' GROUP BY 1)""",
     "weather": f"""
-        SELECT CAST(time AS TIMESTAMP) AS moment, {two('temperature_2m')} AS temp,
-               {two('rain')} AS rain, {two('wind_speed_10m')} AS wind
+        SELECT CAST(time AS TIMESTAMP) AS moment, {two(single('temperature_2m'))} AS temp,
+               {two(single('rain'))} AS rain,
+               {two(single('wind_speed_10m'))} AS wind
         FROM weather_hours WHERE rain IS NOT NULL""",
     "early_weather": "SELECT * FROM weather WHERE moment < TIMESTAMP '2024-01-08'",
     "voltage": voltage("2024-01-20"),

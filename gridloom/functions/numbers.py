@@ -6,9 +6,14 @@ from pyspark.sql import functions as F
 from gridloom.constants import CURRENT_RATIO, LINE_IMPEDANCE
 
 
-def as_number(value: Column) -> Column:
-    """Text to double; junk becomes null instead of failing the job."""
-    return value.try_cast("double")
+# Measures of the sensor, weather and generation tables are read in single
+# precision: which way a half rounds, and a current truncates, depends on it.
+SINGLE = "float"
+
+
+def as_number(value: Column, number_type: str = "double") -> Column:
+    """Text to number; junk becomes null instead of failing the job."""
+    return value.try_cast(number_type)
 
 
 def nan_to_null(value: Column) -> Column:

@@ -44,9 +44,15 @@ def _letter_table() -> tuple[str, str]:
 
 
 def strip_accents_upper(text: Column) -> Column:
-    """Upper case without accents, for Latin, Greek and Cyrillic letters."""
+    """Upper case without accents, for Latin, Greek and Cyrillic letters.
+
+    Text of as many bytes as letters has no accents to look for.
+    """
     accented, plain = _letter_table()
-    return F.upper(F.translate(text, accented, plain))
+    bare = F.when(F.octet_length(text) == F.length(text), text).otherwise(
+        F.translate(text, accented, plain)
+    )
+    return F.upper(bare)
 
 
 @F.pandas_udf(StringType())

@@ -29,9 +29,13 @@ def drop_null_rows(df: DataFrame) -> DataFrame:
     return df.dropna("any")
 
 
-def keep_numeric(df: DataFrame, *names: str) -> DataFrame:
-    """Cast the columns to double and drop rows where one is not a number."""
-    numbers = df.withColumns({name: as_number(F.col(name)) for name in names})
+def keep_numeric(
+    df: DataFrame, *names: str, number_type: str = "double"
+) -> DataFrame:
+    """Cast the columns to numbers and drop rows where one is none."""
+    numbers = df.withColumns(
+        {name: as_number(F.col(name), number_type) for name in names}
+    )
     for name in names:
         numbers = numbers.where(F.col(name).isNotNull())
     return numbers

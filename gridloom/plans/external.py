@@ -22,7 +22,8 @@ WEATHER_MEASURES = ("temperature_2m", "rain", "wind_speed_10m")
 
 def clean_measures(df: DataFrame, *names: str) -> DataFrame:
     """Numeric rows only, each measure with two decimals."""
-    return keep_numeric(df, *names).withColumns(
+    numeric = keep_numeric(df, *names, number_type=numbers.SINGLE)
+    return numeric.withColumns(
         {name: numbers.two_decimals(F.col(name)) for name in names}
     )
 

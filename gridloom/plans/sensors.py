@@ -32,7 +32,8 @@ TIE = ["zone", "scenery", "value"]
 
 def numeric_sensor(telemetry: DataFrame, kind: str) -> DataFrame:
     """Complete numeric readings of one kind."""
-    return keep_numeric(equals(drop_null_rows(telemetry), "valueType", kind), "value")
+    readings = equals(drop_null_rows(telemetry), "valueType", kind)
+    return keep_numeric(readings, "value", number_type=numbers.SINGLE)
 
 
 def format_value(readings: DataFrame) -> DataFrame:
@@ -71,7 +72,9 @@ def current_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
     complete = numeric.where((kind != AMPERE) | reduce(and_, known))
     rounded = complete.withColumn(
         "value",
-        F.when(kind == AMPERE, value).otherwise(numbers.one_decimal_half_up(value)),
+        F.when(kind == AMPERE, value.cast(numbers.SINGLE)).otherwise(
+            numbers.one_decimal_half_up(value)
+        ),
     )
     highest_first = F.when(F.isnan(value), F.lit(float("-inf"))).otherwise(-value)
     ranked = with_row_index(
@@ -142,7 +145,7 @@ def frequency_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
     paired = (
         frequency.join(voltage, "_rank")
         .withColumn("tensao_senoidal", wave)
-        .withColumn("value", numbers.two_decimals(F.col("value")))
+        .withColumn("value", numbers.two_decimals(F.col("value").cast(numbers.SINGLE)))
         .drop("_rank", "_voltage")
     )
     return sort_desc(paired, "instant", *tie)

@@ -158,3 +158,9 @@ def test_accents(spark):
         values(spark, any_script, "x string", text.strip_accents_upper_any_script(F.col("x")))
         == expected
     )
+
+
+def test_halves_round_as_in_single_precision(spark):
+    single = numbers.as_number(F.col("x"), numbers.SINGLE)
+    got = values(spark, ["0.155", "0.145", "junk"], "x string", numbers.two_decimals(single))
+    assert got == [0.16, 0.14, None]

@@ -122,7 +122,7 @@ def aligned(spark):
 def test_current_pairs_by_rank(spark):
     trusted = sensors.current_trusted(aligned(spark))
     got = sorted(
-        (r.id, r.instant[-1], r.value, r.voltage, r.power_factor, r.temperature, r.valueType)
+        (r.id, r.instant[-1], round(r.value, 5), r.voltage, r.power_factor, r.temperature, r.valueType)
         for r in trusted.collect()
     )
     # the highest voltage has no zone but still counts; rows past the fourth lack a temperature
