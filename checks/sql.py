@@ -123,7 +123,7 @@ VIEWS = {
     ),
     "voltage_raw": f"""
         SELECT value AS valor, CASE WHEN value >= 1 THEN {ZONE} END AS zona,
-               substr(CAST(ts AS VARCHAR), 1, 15) || '0:00' AS timestamp
+               substr(CAST(ts AS VARCHAR), 1, 17) || '00' AS timestamp
         FROM events WHERE event_type = 'click'""",
     "complaints_raw": """
         SELECT CASE WHEN value < 1 THEN substr(moment, 1, 10) ELSE moment || 'Z' END AS instant,

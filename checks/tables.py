@@ -117,11 +117,11 @@ class Tables:
 
     @cached_property
     def voltage_raw(self) -> DataFrame:
-        """Clicks as voltages read every ten minutes; low values have no zone."""
+        """Clicks as voltages read every minute; low values have no zone."""
         return self.events.where(F.col("event_type") == "click").select(
             F.col("value").alias("valor"),
             F.when(F.col("value") >= 1, zone()).alias("zona"),
-            F.concat(F.substring(ts_text(), 1, 15), F.lit("0:00")).alias("timestamp"),
+            F.concat(F.substring(ts_text(), 1, 17), F.lit("00")).alias("timestamp"),
         )
 
     @cached_property

@@ -48,8 +48,11 @@ def _dated(name: str, now: datetime) -> str:
     return f"{name}{now:%Y%m%d}"
 
 
-def voltage_to_trusted(spark: SparkSession, zones: Zones, now: datetime) -> str:
-    path = _newest(spark, zones.raw, c.RAW_VOLTAGE)
+def voltage_to_trusted(
+    spark: SparkSession, zones: Zones, now: datetime, path: str | None = None
+) -> str:
+    """The newest landed file, or all files of the path given."""
+    path = path or _newest(spark, zones.raw, c.RAW_VOLTAGE)
     raw = scans.read_json_documents(spark, path, schemas.VOLTAGE_RAW)
     table = voltage.voltage_trusted(raw, now)
     return publish(table, zones.trusted, _dated(c.TRUSTED_VOLTAGE, now), now)
@@ -66,8 +69,11 @@ def weather_to_trusted(
     return publish(table, zones.trusted, _dated(c.TRUSTED_WEATHER, now), now)
 
 
-def complaints_to_trusted(spark: SparkSession, zones: Zones, now: datetime) -> str:
-    path = _newest(spark, zones.raw, c.RAW_COMPLAINTS)
+def complaints_to_trusted(
+    spark: SparkSession, zones: Zones, now: datetime, path: str | None = None
+) -> str:
+    """The newest landed file, or all files of the path given."""
+    path = path or _newest(spark, zones.raw, c.RAW_COMPLAINTS)
     table = external.complaints_trusted(
         scans.read_csv(spark, path, schemas.COMPLAINTS_RAW)
     )

@@ -32,9 +32,11 @@ def read_json_documents(
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, sep: str = ";"
 ) -> DataFrame:
+    """A file whose header names other columns than the schema is an error."""
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("sep", sep)
         .option("escape", '"')
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)

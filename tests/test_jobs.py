@@ -134,7 +134,7 @@ def test_sensor_jobs_and_reports(spark, folder):
     limits = scans.read_csv(
         spark,
         reports["limits_by_zone"],
-        spark.createDataFrame([], "zone string, low int, high int, people int").schema,
+        spark.createDataFrame([], "zone string, BaixaTensao int, AltaTensao int, PopulacaoTotal int").schema,
     )
     assert sorted(tuple(r) for r in limits.collect()) == [("NORTE", 0, 2, 7), ("SUL", 0, 2, 5)]
     generation = land(

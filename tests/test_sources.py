@@ -34,6 +34,12 @@ def test_csv_round_trip(spark, table, folder, sep):
     assert listed(scans.read_csv(spark, f"{folder}/t", table.schema, sep=sep)) == ROWS
 
 
+def test_csv_with_other_columns_is_an_error(spark, table, folder):
+    sinks.write_csv(table.select("text", "id", "x", "ts"), f"{folder}/t")
+    with pytest.raises(Exception, match="CSV header"):
+        scans.read_csv(spark, f"{folder}/t", table.schema).collect()
+
+
 def test_json_lines_round_trip(spark, table, folder):
     sinks.write_json(table, f"{folder}/t")
     assert listed(scans.read_json_lines(spark, f"{folder}/t", table.schema)) == ROWS
