@@ -92,7 +92,7 @@ def format_two_decimals(t: Tables):
         "event_id",
         numbers.two_decimals(value / 16).alias("value"),
         numbers.two_decimals(value * 1000).alias("thousands"),
-        numbers.two_decimals((value / 10).cast(numbers.SINGLE)).alias("tenth"),
+        numbers.two_decimals_single(value / 10).alias("tenth"),
     )
 
 

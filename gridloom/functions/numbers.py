@@ -25,12 +25,23 @@ def two_decimals(value: Column) -> Column:
     return F.replace(F.format_number(value, 2), F.lit(","), F.lit("")).try_cast("double")
 
 
+def two_decimals_single(value: Column) -> Column:
+    """As ``two_decimals`` of a value in single precision, without the text.
+
+    Such a value times 100 is exact in double precision, so rounding the product
+    to even is rounding the value itself.
+    """
+    x = value.cast(SINGLE).cast("double")
+    return F.when(~x.isin(float("inf"), float("-inf")), F.rint(x * 100.0) / 100.0)
+
+
 def one_decimal_half_up(value: Column) -> Column:
     return F.round(value, 1)
 
 
 def one_decimal_half_even(value: Column) -> Column:
-    return F.bround(value, 1)
+    """Ten times the value, rounded to even, as array libraries round."""
+    return F.rint(value * 10.0) / 10.0
 
 
 def primary_current(secondary: Column) -> Column:

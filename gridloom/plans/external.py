@@ -24,7 +24,7 @@ def clean_measures(df: DataFrame, *names: str) -> DataFrame:
     """Numeric rows only, each measure with two decimals."""
     numeric = keep_numeric(df, *names, number_type=numbers.SINGLE)
     return numeric.withColumns(
-        {name: numbers.two_decimals(F.col(name)) for name in names}
+        {name: numbers.two_decimals_single(F.col(name)) for name in names}
     )
 
 

@@ -37,7 +37,7 @@ def numeric_sensor(telemetry: DataFrame, kind: str) -> DataFrame:
 
 
 def format_value(readings: DataFrame) -> DataFrame:
-    return readings.withColumn("value", numbers.two_decimals(F.col("value")))
+    return readings.withColumn("value", numbers.two_decimals_single(F.col("value")))
 
 
 def clean_sensor(telemetry: DataFrame, kind: str) -> DataFrame:
@@ -145,7 +145,7 @@ def frequency_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
     paired = (
         frequency.join(voltage, "_rank")
         .withColumn("tensao_senoidal", wave)
-        .withColumn("value", numbers.two_decimals(F.col("value").cast(numbers.SINGLE)))
+        .withColumn("value", numbers.two_decimals_single(F.col("value")))
         .drop("_rank", "_voltage")
     )
     return sort_desc(paired, "instant", *tie)

@@ -1,6 +1,8 @@
+import random
 import unicodedata
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,5 +164,29 @@ def test_accents(spark):
 
 def test_halves_round_as_in_single_precision(spark):
     single = numbers.as_number(F.col("x"), numbers.SINGLE)
-    got = values(spark, ["0.155", "0.145", "junk"], "x string", numbers.two_decimals(single))
-    assert got == [0.16, 0.14, None]
+    for rounded in (numbers.two_decimals(single), numbers.two_decimals_single(single)):
+        got = values(spark, ["0.155", "0.145", "junk", "0.125", "-0.375"], "x string", rounded)
+        assert got == [0.16, 0.14, None, 0.12, -0.38]
+
+
+def test_single_precision_rounding_needs_no_text(spark):
+    rng = random.Random(7)
+    numbers_in = [rng.uniform(-1, 1) * 10 ** rng.randint(-4, 9) for _ in range(20_000)]
+    numbers_in += [round(rng.uniform(-500, 500), 3) for _ in range(20_000)]
+    numbers_in += [i / 8 for i in range(-4000, 4000)]
+    numbers_in += [float("inf"), float("-inf"), 0.0, -0.0, 3.4e38, 1e-40]
+    x = F.col("x").cast(numbers.SINGLE)
+    df = spark.createDataFrame([(v,) for v in numbers_in], "x double").select(
+        numbers.two_decimals(x).alias("text"), numbers.two_decimals_single(x).alias("number")
+    )
+    assert df.where(~F.col("text").eqNullSafe(F.col("number"))).collect() == []
+    nan = values(spark, [float("nan")], "x double", numbers.two_decimals_single(F.col("x")))
+    assert nan[0] != nan[0]
+
+
+def test_half_even_equals_array_rounding(spark):
+    rng = random.Random(11)
+    numbers_in = [round(rng.uniform(-30_000, 30_000), 2) for _ in range(20_000)]
+    numbers_in += [rng.uniform(-1e9, 1e9) for _ in range(5_000)]
+    got = values(spark, numbers_in, "x double", numbers.one_decimal_half_even(F.col("x")))
+    assert got == list(np.round(numbers_in, 1))
