@@ -29,6 +29,13 @@ def approx_quartiles(df: DataFrame, name: str, accuracy: int = 10_000) -> DataFr
     )
 
 
+def _sketch(name: str, share: float, accuracy: int) -> Column:
+    """Two values around the one at the share."""
+    margin = 2 / accuracy
+    ends = [max(0.0, share - margin), min(1.0, share + margin)]
+    return F.percentile_approx(name, ends, accuracy)
+
+
 @dataclass
 class _Search:
     """The value at 1-based ``rank`` lies in ``[low, high]``."""
@@ -40,6 +47,7 @@ class _Search:
     inside: int
     exact_rows: int
     accuracy: int
+    hint: tuple[float, float] | None = None
     found: float | None = None
 
     @property
@@ -61,9 +69,7 @@ class _Search:
                 f"percentile_disc({self.share:.17f}) WITHIN GROUP (ORDER BY {name})"
             )
             return F.array(answer, answer)
-        margin = 2 / self.accuracy
-        ends = [max(0.0, self.share - margin), min(1.0, self.share + margin)]
-        return F.percentile_approx(name, ends, self.accuracy)
+        return _sketch(name, self.share, self.accuracy)
 
     @staticmethod
     def surroundings(x: Column, a: float, b: float) -> Column:
@@ -109,30 +115,34 @@ def quantiles(
     x = F.col("x")
     values = df.select(as_number(F.col(name)).alias("x"))
     values = values.where(x.isNotNull() & ~F.isnan(x))
-    size, low, high = values.agg(F.count(x), F.min(x), F.max(x)).first()
+    size, low, high, *hints = values.agg(
+        F.count(x), F.min(x), F.max(x), *(_sketch("x", share, accuracy) for share in shares)
+    ).first()
     if size == 0:
         return [None] * len(shares)
     searches = [
-        _Search(max(1, ceil(share * size)), low, high, 0, size, exact_rows, accuracy)
-        for share in shares
+        _Search(max(1, ceil(share * size)), low, high, 0, size, exact_rows, accuracy, hint)
+        for share, hint in zip(shares, hints)
     ]
     pending = searches
     while pending:
-        kept = {f"x{i}": search.kept(x) for i, search in enumerate(pending)}
-        guesses = (
-            values.select(*(column.alias(name) for name, column in kept.items()))
-            .agg(*(search.guess(name) for name, search in zip(kept, pending)))
-            .first()
-        )
-        wide = []
-        for search, (a, b) in zip(pending, guesses):
-            if search.exact:
-                search.found = a
-            else:
-                wide.append((search, a, b))
+        asking = [s for s in pending if s.exact or s.hint is None]
+        if asking:
+            kept = {f"x{i}": search.kept(x) for i, search in enumerate(asking)}
+            answers = (
+                values.select(*(column.alias(name) for name, column in kept.items()))
+                .agg(*(search.guess(name) for name, search in zip(kept, asking)))
+                .first()
+            )
+            for search, answer in zip(asking, answers):
+                search.hint = tuple(answer)
+                if search.exact:
+                    search.found = answer[0]
+        wide = [s for s in pending if s.found is None]
         if wide:
-            around = values.agg(*(s.surroundings(x, a, b) for s, a, b in wide)).first()
-            for (search, a, b), counts in zip(wide, around):
-                search.narrow(a, b, counts)
+            around = values.agg(*(s.surroundings(x, *s.hint) for s in wide)).first()
+            for search, counts in zip(wide, around):
+                search.narrow(*search.hint, counts)
+                search.hint = None
         pending = [s for s in searches if s.found is None]
     return [s.found for s in searches]

@@ -27,7 +27,7 @@ def test_appends_only_what_is_missing(spark, folder, monkeypatch, most_months, m
     monkeypatch.setattr(r, "MAX_PRUNED_MONTHS", most_months)
     monkeypatch.setattr(r, "broadcast_if_small", partial(broadcast_if_small, max_rows=most_rows))
     path, schema = f"{folder}/fact", frame(spark, FIRST).schema
-    for rows in (FIRST, SECOND, SECOND, FIRST):
+    for rows in ([], FIRST, SECOND, [], SECOND, FIRST):
         r.append_new_rows(frame(spark, rows), path, schema, "m")
     assert listed(spark, path, schema) == BOTH
 
