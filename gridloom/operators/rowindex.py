@@ -33,6 +33,7 @@ def with_row_index(
     first: int = 1,
     kind: str | None = None,
     kinds: tuple[str, ...] = (),
+    after_sort: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Number the rows in the order given, starting at ``first``.
 
@@ -40,7 +41,8 @@ def with_row_index(
     a scan or a staged table, whose rows keep their places when a task is run
     again. With ``kind``, rows outside ``kinds`` are dropped and each kind is
     numbered on its own. ``total`` names a column for the number of rows (of
-    the kind).
+    the kind). ``after_sort`` replaces columns once they have served the order,
+    so that what is no longer needed is not written.
     """
     keys = [kind] if kind else []
     if kind:
@@ -51,7 +53,7 @@ def with_row_index(
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop("_copy")
-        .withColumn("_slot", F.monotonically_increasing_id()),
+        .withColumns({**(after_sort or {}), "_slot": F.monotonically_increasing_id()}),
         "rowindex",
     )
     placed = placed.withColumns(

@@ -8,7 +8,7 @@ one every column of the telemetry does.
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.constants import (
@@ -50,6 +50,15 @@ def _latest_first(telemetry: DataFrame, kind: str, tie: list[str]) -> DataFrame:
     return format_value(sort_desc(numeric_sensor(telemetry, kind), "instant", *tie))
 
 
+def _details_of(telemetry: DataFrame, kind: str) -> dict[str, Column]:
+    """All columns but kind and value, kept for one kind and null for the others."""
+    return {
+        name: F.when(F.col("valueType") == kind, F.col(name))
+        for name in telemetry.columns
+        if name not in ("valueType", "value")
+    }
+
+
 def temperature_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
     return _latest_first(telemetry, CELSIUS, tie)
 
@@ -83,6 +92,7 @@ def current_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
         name="id",
         kind="valueType",
         kinds=(AMPERE, VOLTS, POWER_FACTOR, CELSIUS),
+        after_sort=_details_of(telemetry, AMPERE),
     )
     current = replace_value(
         equals(ranked, "valueType", AMPERE), "valueType", AMPERE, AMPERE_TRUSTED
@@ -134,6 +144,7 @@ def frequency_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
         first=0,
         kind="valueType",
         kinds=(HERTZ, VOLTS),
+        after_sort=_details_of(telemetry, HERTZ),
     )
     frequency = equals(ranked, "valueType", HERTZ)
     voltage = equals(ranked, "valueType", VOLTS).select(
