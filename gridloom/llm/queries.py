@@ -2,9 +2,15 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridloom.llm import simhash
+from gridloom.llm import embeddings, exactdedup, languageid, mixing, packing, pii, quality, simhash, tokenfiles, toxicity
+from gridloom.llm.common import new_folder
+
+#: A file of the public tokenizers package.
+TOKENIZER = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,3 +31,88 @@ def _query(name: str):
 @_query("op1_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), words=4, max_bits=4)
+
+
+@_query("op5_exact_dedup")
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.exact_duplicates(_documents(spark, sf_dir))
+
+
+ORACLE["op5_exact_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h
+  FROM documents),
+g AS (
+  SELECT h, count(*) AS group_size,
+         min({'a': -n, 'b': doc_id}).b AS keep_id
+  FROM t GROUP BY h)
+SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, t.h AS text_sha256
+FROM t JOIN g USING (h)
+"""
+
+
+@_query("op9_source_mix")
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(_documents(spark, sf_dir))
+
+
+@_query("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
+@_query("op6_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    return tokenfiles.encoded(_documents(spark, sf_dir), folder, public_tokenizers.path(TOKENIZER))
+
+
+@_query("op10_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languageid.identified(_documents(spark, sf_dir))
+
+
+@_query("op2_quality_resampling")
+def quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    share = labels.agg(F.avg("quality")).first()[0] or 0.0
+    good = labels.where("quality = 1")
+    return quality.resampled(_documents(spark, sf_dir), good, share)
+
+
+@_query("op8_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.scored(_documents(spark, sf_dir), labels)
+
+
+@_query("op4_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE["op4_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+  WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT a AS vec_id,
+       (SELECT count(*) FROM l WHERE l.a = r.a) AS n_links,
+       min(b) AS component_id, min(b) = a AS kept
+FROM r GROUP BY a
+"""
+
+
+@_query("op3_pii_sanitisation")
+def pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return pii.found(_documents(spark, sf_dir)).select("doc_id", *counts, "base_sha256", "spans")

@@ -164,12 +164,17 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     )
 
 
-def with_clusters(rows: DataFrame, max_bits: int) -> DataFrame:
-    """``rows`` with the cluster of its fingerprint ``fp``, itself where nothing links."""
-    prints = checkpoint(rows.select("fp").distinct())
-    return rows.join(links(prints, max_bits), "fp", "left").withColumn(
-        "cluster", F.coalesce("cluster", "fp")
-    )
+def least_by_cluster(rows: DataFrame, max_bits: int, value: Column) -> DataFrame:
+    """``fp, least``: for each fingerprint of ``rows`` the smallest ``value`` of its component.
+
+    Copies meet by fingerprint first, so that a large group of them is one row in
+    all that follows.
+    """
+    prints = checkpoint(rows.groupBy("fp").agg(F.min(value).alias("least")))
+    linked = checkpoint(prints.join(links(prints.select("fp"), max_bits), "fp"))
+    shared = linked.groupBy("cluster").agg(F.min("least").alias("least"))
+    together = linked.select("fp", "cluster").join(shared, "cluster").select("fp", "least")
+    return prints.join(linked.select("fp"), "fp", "left_anti").union(together)
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
@@ -182,10 +187,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataF
     rows come back as often as they came; an empty table gives an empty table.
     """
     rows = checkpoint(with_fingerprints(docs, words, F.col("doc_id").cast("long").alias("doc_id")))
-    placed = checkpoint(with_clusters(rows, max_bits))
-    least = placed.groupBy("cluster").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(least, "cluster").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    least = least_by_cluster(rows, max_bits, F.col("doc_id"))
+    return rows.join(least, "fp").select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("least").alias("component_id"),
     )
 
 
@@ -197,6 +203,6 @@ def one_per_cluster(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataF
     """
     id_last = F.col("doc_id").isNull().alias("no_id")
     rows = checkpoint(with_fingerprints(docs, words, *row_key(docs), id_last))
-    placed = with_clusters(rows, max_bits)
-    best = placed.groupBy("cluster").agg(F.min(F.struct("no_id", *ROW_KEY)).alias("best"))
+    least = least_by_cluster(rows, max_bits, F.struct("no_id", *ROW_KEY))
+    best = least.select(F.col("least").alias("best")).distinct()
     return keep_rows(docs, best.select(*(F.col(f"best.{c}").alias(c) for c in ROW_KEY)))
