@@ -186,7 +186,7 @@ def _frequency(frequency: str) -> str:
     return f"""SELECT f.event_id, f.instant, {sql.two(sql.single('f.x'))} AS value, 'Hz' AS "valueType",
         f.zone, f.scenery,
         round(v.x * sin(2 * pi() * f.x * (i * CAST(0.01 AS DOUBLE))), 6) + 0.0 AS tensao_senoidal
-        FROM {ranked(frequency)} f JOIN {ranked(c.VOLTS)} v USING (i)"""
+        FROM {ranked(frequency)} f LEFT JOIN {ranked(c.VOLTS)} v USING (i)"""
 
 
 @query("frequency_trusted", _frequency(c.CELSIUS), "telemetry")
@@ -284,12 +284,15 @@ def generation_trusted(t: Tables):
     return external.generation_trusted(t.generation)
 
 
-@query("limits_by_zone", """SELECT zone, "BaixaTensao", "AltaTensao", "PopulacaoTotal"
+LIMITS_SQL = """SELECT zone, "BaixaTensao", "AltaTensao", "PopulacaoTotal"
        FROM (SELECT zone, count(*) FILTER (TRY_CAST(value AS DOUBLE) < 5) AS "BaixaTensao",
                     count(*) FILTER (TRY_CAST(value AS DOUBLE) > 100) AS "AltaTensao"
              FROM telemetry WHERE "valueType" = 'volts' AND scenery = 'NORMAL' GROUP BY zone)
        JOIN (SELECT upper(zona) AS zone, CAST(sum(populacao) AS BIGINT) AS "PopulacaoTotal"
-             FROM population GROUP BY 1) USING (zone)""", "telemetry", "population")
+             FROM population GROUP BY 1) USING (zone)"""
+
+
+@query("limits_by_zone", LIMITS_SQL, "telemetry", "population")
 def limits_by_zone(t: Tables):
     return voltage.limits_by_zone(t.telemetry, t.population, LOWEST, HIGHEST)
 

@@ -4,15 +4,21 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from checks.job_queries import COMPLAINTS_SQL
+from checks.job_queries import COMPLAINTS_SQL, LIMITS_SQL, consumption_trusted
 from checks.registry import query
-from checks.tables import Tables
+from checks.tables import CUTOFF, HIGHEST, LOWEST, Tables
 from gridloom import schemas
-from gridloom.plans import external, facts
+from gridloom.plans import external, facts, voltage
 from gridloom.sources import scans, sinks
 from gridloom.staging import new_folder
 from gridloom.streaming.refresh import landed_parquet, read_fact, refresh
 
+# Stands for null in CSV files that also hold empty text.
+NULL_TEXT = "\\N"
+
+FACT_CONSUMPTION_SQL = """SELECT DISTINCT "TIPO_CONSUMO", "NUMERO_CONSUMIDORES", "CONSUMO",
+       CAST("ANO" AS VARCHAR) || '-' || lpad(CAST("MES" AS VARCHAR), 2, '0') AS "ANO_MES_COLETA"
+       FROM consumption_trusted"""
 EVENTS_SQL = """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props
        FROM events"""
 ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -49,16 +55,64 @@ def scan_json_array(t: Tables):
 def scan_json_glob(t: Tables):
     """Two of three landed folders match the pattern."""
     folder = new_folder(t.spark, "landing")
-    for name, kind in (("generation_1", "click"), ("generation_2", "view"), ("other", "error")):
-        sinks.write_json(t.events.where(F.col("event_type") == kind), f"{folder}/{name}")
+    folders = {"generation_1": ("click",), "generation_2": ("view",), "other": ("error", "purchase", "signup")}
+    for name, kinds in folders.items():
+        sinks.write_json(t.events.where(F.col("event_type").isin(*kinds)), f"{folder}/{name}")
     return scans.read_json_lines(t.spark, f"{folder}/generation*", t.events.schema)
 
 
-@query("scan_csv_semicolon", EVENTS_SQL)
+@query("scan_csv_semicolon", """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value,
+       CASE event_id % 4 WHEN 0 THEN props || chr(10) || ';"' || event_type || '", ' || chr(10)
+            WHEN 1 THEN '' WHEN 2 THEN NULL ELSE props END AS props FROM events""")
 def scan_csv_semicolon(t: Tables):
+    """Text with line breaks, separators and quotes, empty text and null."""
+    path = new_folder(t.spark, "landing")
+    kind = F.col("event_id") % 4
+    broken = F.concat("props", F.lit('\n;"'), "event_type", F.lit('", \n'))
+    text = F.when(kind == 0, broken).when(kind == 1, "").when(kind == 3, F.col("props"))
+    events = t.events.withColumn("props", text)
+    sinks.write_csv(events, path, null_text=NULL_TEXT)
+    return scans.read_csv(t.spark, path, events.schema, free_text=True, null_text=NULL_TEXT)
+
+
+@query("voltage_from_files", """SELECT CAST(day AS VARCHAR) AS "DATA_GERACAO",
+       minute AS "HORA_MINUTO_GERACAO", month AS "ANO_MES_GERACAO", zone AS "ZONA_GERACAO",
+       CAST(moment AS VARCHAR) AS "DATA_HORA_GERACAO", volts AS "TENSAO_VALOR"
+       FROM voltage""", "voltage")
+def voltage_from_files(t: Tables):
+    """Voltage documents land as JSON arrays and are read from there."""
     path = new_folder(t.spark, "landing")
-    sinks.write_csv(t.events, path)
-    return scans.read_csv(t.spark, path, t.events.schema)
+    sinks.write_json_array(t.voltage_raw, path)
+    landed = scans.read_json_documents(t.spark, path, schemas.VOLTAGE_RAW)
+    return voltage.voltage_trusted(landed, CUTOFF)
+
+
+@query("limits_from_files", LIMITS_SQL, "telemetry", "population")
+def limits_from_files(t: Tables):
+    """Telemetry lands as JSON lines and the zones' population as CSV."""
+    telemetry, people = (new_folder(t.spark, "landing") for _ in range(2))
+    sinks.write_json(t.telemetry, telemetry)
+    sinks.write_csv(t.population, people, sep=",")
+    return voltage.limits_by_zone(
+        scans.read_json_lines(t.spark, telemetry, schemas.TELEMETRY),
+        scans.read_csv(t.spark, people, schemas.ZONE_POPULATION, sep=","),
+        LOWEST,
+        HIGHEST,
+    )
+
+
+@query("fact_consumption_csv", FACT_CONSUMPTION_SQL, "consumption_trusted")
+def fact_consumption_csv(t: Tables):
+    """The fact is stored as CSV without a cap and read back as the next run's history."""
+    trusted, zone = consumption_trusted(t), new_folder(t.spark, "zone")
+    schema, name = facts.consumption_rows(trusted).schema, "consumo/Fato_Consumo"
+    for run, rows in enumerate((trusted.where("MES < 7"), trusted, trusted), 1):
+        stored = scans.latest_table(t.spark, zone, name)
+        history = scans.read_table_or_empty(t.spark, stored, schema, sep=";")
+        fact = facts.fact_consumption(rows, history)
+        sinks.publish(fact, zone, name, datetime(2024, 1, run), fmt="csv")
+    path = scans.latest_table(t.spark, zone, name)
+    return scans.read_csv(t.spark, path, schema)
 
 
 @query("scan_csv_header", """SELECT CAST(date AS VARCHAR) AS date, hydroeletric, wind, nuclear,

@@ -74,8 +74,7 @@ def voltage(cutoff: str) -> str:
     return f"""
         SELECT CAST(moment AS DATE) AS day, strftime(moment, '%H:%M') AS minute,
                strftime(moment, '%Y-%m') AS month, zone, moment,
-               CAST(sum(CAST(round(round_even(valor, 1) * 10) AS BIGINT)) AS DOUBLE)
-                   / CAST(count(*) * 10 AS DOUBLE) AS volts
+               avg(CAST(round_even(valor, 1) AS DECIMAL(18, 1))) AS volts
         FROM (SELECT valor, zona AS zone, CAST(timestamp AS TIMESTAMP) AS moment FROM voltage_raw)
         WHERE moment <= TIMESTAMP '{cutoff}' AND zone IS NOT NULL
         GROUP BY ALL"""
@@ -179,8 +178,8 @@ VIEWS = {
         FROM customer GROUP BY c_nationkey""",
     "generation": "SELECT CAST(l_shipdate AS DATE) AS date, "
     + ", ".join(
-        f"sum(l_quantity) FILTER (l_linenumber = {line}) / 8 AS {name}"
-        for line, name in enumerate(c.GENERATION_SOURCES, 1)
+        f"sum(l_quantity) FILTER ((l_linenumber - 1) % 5 = {place}) / 8 AS {name}"
+        for place, name in enumerate(c.GENERATION_SOURCES)
     )
     + " FROM lineitem GROUP BY 1",
     "current": current("telemetry"),

@@ -11,7 +11,7 @@ from gridloom.constants import SINE_STEP
 from gridloom.functions import numbers
 from gridloom.functions.dates import wall_clock
 from gridloom.operators import aggregates, filters, sets, sorts
-from gridloom.operators.quantiles import quantiles
+from gridloom.operators.quantiles import approx_quartiles as quartiles
 from gridloom.operators.rowindex import with_row_index
 from gridloom.plans import harmonics as harmonic_plans
 from gridloom.plans import voltage as voltage_plans
@@ -26,9 +26,7 @@ def filter_equals(t: Tables):
 @query("drop_null_rows", """SELECT event_id, instant, value, "valueType", zone, scenery
        FROM telemetry WHERE value IS NOT NULL""", "telemetry")
 def drop_null_rows(t: Tables):
-    readings = filters.drop_null_rows(t.telemetry)
-    # Number text is engine-specific; compare the numbers and the junk apart.
-    return readings
+    return filters.drop_null_rows(t.telemetry)
 
 
 @query("keep_numeric", """SELECT event_id, TRY_CAST(value AS DOUBLE) AS value FROM telemetry
@@ -126,12 +124,13 @@ def limit_violations_by_zone(t: Tables):
        (SELECT quantile_disc(l_extendedprice, 0.75) FROM lineitem) AS lineitem_q3
        FROM events""")
 def approx_quartiles(t: Tables):
-    found = [
-        *quantiles(t.events, "value", (0.25, 0.75)),
-        *quantiles(t.lineitem, "l_extendedprice", (0.25, 0.75)),
-    ]
-    names = "events_q1 double, events_q3 double, lineitem_q1 double, lineitem_q3 double"
-    return t.spark.createDataFrame([tuple(found)], names)
+    prices = quartiles(t.lineitem, "l_extendedprice")
+    return (
+        quartiles(t.events, "value")
+        .withColumnsRenamed({"q1": "events_q1", "q3": "events_q3"})
+        .withColumn("lineitem_q1", prices.select("q1").scalar())
+        .withColumn("lineitem_q3", prices.select("q3").scalar())
+    )
 
 
 @query("last_value_overall", """SELECT value FROM events

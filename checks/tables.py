@@ -215,12 +215,14 @@ class Tables:
 
     @cached_property
     def generation(self) -> DataFrame:
-        """Quantity shipped per day, one line number per energy source."""
+        """Quantity shipped per day; line numbers go to the energy sources in turn."""
+        sources = len(c.GENERATION_SOURCES)
+        turn = (F.col("l_linenumber") - 1) % sources
         return self.lineitem.groupBy(F.to_date("l_shipdate").alias("date")).agg(
             *(
                 (
-                    F.sum(F.when(F.col("l_linenumber") == line, F.col("l_quantity"))) / 8
+                    F.sum(F.when(turn == place, F.col("l_quantity"))) / 8
                 ).alias(name)
-                for line, name in enumerate(c.GENERATION_SOURCES, 1)
+                for place, name in enumerate(c.GENERATION_SOURCES)
             )
         )

@@ -55,6 +55,7 @@ GENERATION_SOURCES = ("hydroeletric", "wind", "nuclear", "solar", "thermal")
 # Substrings and prefixes that name objects in the zones.
 RAW_VOLTAGE = "telemetry_"
 RAW_COMPLAINTS = "ReclameAqui_Raw_"
+QUARANTINE_COMPLAINTS = "quarantine/complaints"
 TRUSTED_VOLTAGE = "Tensao_TRUSTED_"
 TRUSTED_WEATHER = "TRUSTED_clima"
 TRUSTED_COMPLAINTS = "ReclameAqui_TRUSTED_"

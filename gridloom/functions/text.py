@@ -11,9 +11,8 @@ from pyspark.sql.types import StringType
 # Combining marks that are removed after canonical decomposition.
 FIRST_MARK, LAST_MARK = 0x0300, 0x036F
 
-# Blocks scanned for accented letters: Latin, Greek and Cyrillic with their
-# extensions.
-LETTER_BLOCKS = ((0x00C0, 0x0530), (0x1E00, 0x2000))
+# Points scanned for accented letters: the whole basic plane but surrogates.
+LETTER_BLOCKS = ((0x00C0, 0xD800), (0xE000, 0x10000))
 
 
 def _without_marks(text: str) -> str:
@@ -44,7 +43,7 @@ def _letter_table() -> tuple[str, str]:
 
 
 def strip_accents_upper(text: Column) -> Column:
-    """Upper case without accents, for Latin, Greek and Cyrillic letters.
+    """Upper case without accents, for letters of any script in the basic plane.
 
     Text of as many bytes as letters has no accents to look for.
     """

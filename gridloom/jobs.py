@@ -22,6 +22,10 @@ from gridloom.sources.sinks import publish
 from gridloom.streaming.refresh import append_new_rows, landed_parquet, read_fact, refresh
 
 
+# Fixed value: separator of the two voltage reports.
+REPORT_SEPARATOR = "|"
+
+
 @dataclass(frozen=True)
 class Zones:
     """Base paths of the three zones."""
@@ -31,13 +35,20 @@ class Zones:
     client: str
 
 
-def _newest(spark: SparkSession, zone: str, contains: str | None = None) -> str:
-    path = scans.latest_table(spark, zone, contains)
+def _found(path: str | None, zone: str, contains: str) -> str:
     if path is None:
         raise FileNotFoundError(f"nothing below {zone} is named like {contains}")
     return path
 
 
+def _newest(spark: SparkSession, zone: str, contains: str) -> str:
+    return _found(scans.latest_table(spark, zone, contains), zone, contains)
+
+
+def _newest_file(spark: SparkSession, zone: str, contains: str) -> str:
+    return _found(scans.latest_file(spark, zone, contains), zone, contains)
+
+
 def _trusted(
     spark: SparkSession, zones: Zones, contains: str, schema: StructType
 ) -> DataFrame:
@@ -52,7 +63,7 @@ def voltage_to_trusted(
     spark: SparkSession, zones: Zones, now: datetime, path: str | None = None
 ) -> str:
     """The newest landed file, or all files of the path given."""
-    path = path or _newest(spark, zones.raw, c.RAW_VOLTAGE)
+    path = path or _newest_file(spark, zones.raw, c.RAW_VOLTAGE)
     raw = scans.read_json_documents(spark, path, schemas.VOLTAGE_RAW)
     table = voltage.voltage_trusted(raw, now)
     return publish(table, zones.trusted, _dated(c.TRUSTED_VOLTAGE, now), now)
@@ -72,10 +83,20 @@ def weather_to_trusted(
 def complaints_to_trusted(
     spark: SparkSession, zones: Zones, now: datetime, path: str | None = None
 ) -> str:
-    """The newest landed file, or all files of the path given."""
-    path = path or _newest(spark, zones.raw, c.RAW_COMPLAINTS)
+    """The newest landed file, or all files of the path given.
+
+    Complaint text may hold line breaks. Lines that do not fit are stored below
+    ``c.QUARANTINE_COMPLAINTS`` of the raw zone.
+    """
+    path = path or _newest_file(spark, zones.raw, c.RAW_COMPLAINTS)
     table = external.complaints_trusted(
-        scans.read_csv(spark, path, schemas.COMPLAINTS_RAW)
+        scans.read_csv(
+            spark,
+            path,
+            schemas.COMPLAINTS_RAW,
+            free_text=True,
+            quarantine=f"{zones.raw}/{c.QUARANTINE_COMPLAINTS}",
+        )
     )
     return publish(table, zones.trusted, _dated(c.TRUSTED_COMPLAINTS, now), now)
 
@@ -153,7 +174,7 @@ def voltage_reports(
         c.CLIENT_PERIODS: voltage.overvoltage_by_day_period(readings),
     }
     return {
-        name: publish(table, zones.client, name, now, fmt="csv")
+        name: publish(table, zones.client, name, now, fmt="csv", sep=REPORT_SEPARATOR)
         for name, table in reports.items()
     }
 
@@ -213,9 +234,7 @@ def _voltage_weather_rows(
     complaints = _trusted(
         spark, zones, c.TRUSTED_COMPLAINTS, schemas.COMPLAINTS_TRUSTED
     )
-    return lambda readings: facts.voltage_weather_rows(
-        readings, weather, complaints, count_small_sides=True
-    )
+    return lambda readings: facts.voltage_weather_rows(readings, weather, complaints)
 
 
 def voltage_weather_to_client(spark: SparkSession, zones: Zones) -> DataFrame:

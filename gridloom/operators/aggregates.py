@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.constants import ZONES
-from gridloom.functions.dates import parse_timestamp
 
 
 def exact_mean_of_tenths(value: Column) -> Column:
@@ -71,17 +70,9 @@ def latest_per_zone(
 ) -> DataFrame:
     """Value at the last instant of each zone; a zone without rows is absent.
 
-    The last instants come from a hash aggregation, which a maximum of text
-    would not allow, so ISO text is parsed first. Only the rows at those
-    instants go on to the tie-break; the table itself is never sorted. The
-    broadcast side has one row per zone of the fixed list.
+    ISO instants order as text, so a malformed one takes its place among them and
+    loses no row. One pass: each task keeps one row per zone of the fixed list.
     """
-    rows = df.where(F.col("zone").isin(*zones)).withColumn(
-        "_at", parse_timestamp(F.col(instant))
-    )
-    latest = rows.groupBy("zone").agg(F.max("_at").alias("_at"))
-    return (
-        rows.join(F.broadcast(latest), ["zone", "_at"])
-        .groupBy("zone")
-        .agg(F.max_by(value, F.struct(*tie)).alias(value))
-    )
+    rows = df.where(F.col("zone").isin(*zones))
+    last = F.max_by(value, F.struct(instant, *(c for c in tie if c != instant)))
+    return rows.groupBy("zone").agg(last.alias(value))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.dates import wall_clock
 from gridloom.functions.numbers import as_number
-from gridloom.operators.quantiles import quantiles
+from gridloom.operators.quantiles import approx_quartiles
 from gridloom.operators.rowindex import with_row_index
 
 
@@ -16,10 +16,6 @@ def equals(df: DataFrame, name: str, value: Any) -> DataFrame:
     return df.where(F.col(name) == value)
 
 
-def is_in(df: DataFrame, name: str, values: tuple) -> DataFrame:
-    return df.where(F.col(name).isin(*values))
-
-
 def above(df: DataFrame, name: str, limit: float) -> DataFrame:
     """Values over the limit; NaN is not."""
     return df.where((F.col(name) > limit) & ~F.isnan(name))
@@ -62,14 +58,16 @@ def last_day(df: DataFrame, name: str, day: date) -> DataFrame:
 def within_quartiles(df: DataFrame, name: str) -> DataFrame:
     """Rows whose floor lies between the first and third quartile of the column.
 
-    Adds the floor under the two names the outlier report uses.
+    Adds the floor under the two names the outlier report uses. The quartiles are
+    scalar subqueries of one aggregate; nothing runs before the result does.
     """
-    first, third = quantiles(df, name, (0.25, 0.75))
+    bounds = approx_quartiles(df, name)
+    first, third = bounds.select("q1").scalar(), bounds.select("q3").scalar()
     floor = F.floor(name)
     flagged = df.withColumns(
         {f"floor_{name}_imputed": floor, f"outlier_{name}_imputed": floor}
     )
-    return flagged.where(floor.between(F.lit(first), F.lit(third)))
+    return flagged.where(floor.between(first, third))
 
 
 def scenario_by_position(

@@ -1,148 +1,19 @@
-"""Exact quantiles from small mergeable sketches.
+"""Quartiles from mergeable sketches."""
 
-One high-accuracy ``percentile_approx`` would send a large sketch per task to a
-single reducer. Here a coarse sketch only brackets each quantile; counting the
-rows around the bracket tells which side the quantile lies on, and the bracket
-shrinks until few enough rows are left for ``percentile_disc``, which keeps
-every different value. Every pass reads one column and returns one short row.
-"""
-
-from dataclasses import dataclass
-from math import ceil
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.numbers import as_number
 
-SKETCH_ACCURACY = 1_000
-EXACT_ROWS = 10_000
+# A quartile's rank is off by at most one in this many rows, so tables of fewer rows
+# get their exact quartiles.
+ACCURACY = 1_000_000
 
 
-def approx_quartiles(df: DataFrame, name: str, accuracy: int = 10_000) -> DataFrame:
-    """One row with the approximate quartiles, as Spark's sketch returns them."""
-    bounds = df.select(
-        F.percentile_approx(name, [0.25, 0.75], accuracy).alias("bounds")
-    )
+def approx_quartiles(df: DataFrame, name: str, accuracy: int = ACCURACY) -> DataFrame:
+    """One row with the first and third quartile; null and NaN do not count."""
+    number = F.nanvl(as_number(F.col(name)), F.lit(None))
+    bounds = df.select(F.percentile_approx(number, [0.25, 0.75], accuracy).alias("bounds"))
     return bounds.select(
         F.col("bounds")[0].alias("q1"), F.col("bounds")[1].alias("q3")
     )
-
-
-def _sketch(name: str, share: float, accuracy: int) -> Column:
-    """Two values around the one at the share."""
-    margin = 2 / accuracy
-    ends = [max(0.0, share - margin), min(1.0, share + margin)]
-    return F.percentile_approx(name, ends, accuracy)
-
-
-@dataclass
-class _Search:
-    """The value at 1-based ``rank`` lies in ``[low, high]``."""
-
-    rank: int
-    low: float
-    high: float
-    below: int
-    inside: int
-    exact_rows: int
-    accuracy: int
-    hint: tuple[float, float] | None = None
-    found: float | None = None
-
-    @property
-    def exact(self) -> bool:
-        return self.inside <= self.exact_rows
-
-    @property
-    def share(self) -> float:
-        """Middle of the answer's place among the rows in the bracket."""
-        return (self.rank - self.below - 0.5) / self.inside
-
-    def kept(self, x: Column) -> Column:
-        return F.when(x.between(F.lit(self.low), F.lit(self.high)), x)
-
-    def guess(self, name: str) -> Column:
-        """Two values around the answer, or twice the answer itself."""
-        if self.exact:
-            answer = F.expr(
-                f"percentile_disc({self.share:.17f}) WITHIN GROUP (ORDER BY {name})"
-            )
-            return F.array(answer, answer)
-        return _sketch(name, self.share, self.accuracy)
-
-    @staticmethod
-    def surroundings(x: Column, a: float, b: float) -> Column:
-        a, b = F.lit(a), F.lit(b)
-        return F.struct(
-            F.count_if(x < a),
-            F.count_if(x <= a),
-            F.count_if(x < b),
-            F.count_if(x <= b),
-            F.max(F.when(x < a, x)),
-            F.min(F.when(x > a, x)),
-            F.max(F.when(x < b, x)),
-            F.min(F.when(x > b, x)),
-        )
-
-    def narrow(self, a: float, b: float, around) -> None:
-        to_a, with_a, to_b, with_b, before_a, after_a, before_b, after_b = around
-        upto = self.below + self.inside
-        if self.rank <= to_a:
-            self.high, self.inside = before_a, to_a - self.below
-        elif self.rank <= with_a:
-            self.found = a
-        elif self.rank <= to_b:
-            self.low, self.high = after_a, before_b
-            self.below, self.inside = with_a, to_b - with_a
-        elif self.rank <= with_b:
-            self.found = b
-        else:
-            self.low, self.below, self.inside = after_b, with_b, upto - with_b
-
-
-def quantiles(
-    df: DataFrame,
-    name: str,
-    shares: tuple[float, ...],
-    exact_rows: int = EXACT_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
-) -> list[float | None]:
-    """The smallest values with at least each share of the rows at or below them.
-
-    Null and NaN are ignored; with no values left the answers are ``None``.
-    """
-    x = F.col("x")
-    values = df.select(as_number(F.col(name)).alias("x"))
-    values = values.where(x.isNotNull() & ~F.isnan(x))
-    size, low, high, *hints = values.agg(
-        F.count(x), F.min(x), F.max(x), *(_sketch("x", share, accuracy) for share in shares)
-    ).first()
-    if size == 0:
-        return [None] * len(shares)
-    searches = [
-        _Search(max(1, ceil(share * size)), low, high, 0, size, exact_rows, accuracy, hint)
-        for share, hint in zip(shares, hints)
-    ]
-    pending = searches
-    while pending:
-        asking = [s for s in pending if s.exact or s.hint is None]
-        if asking:
-            kept = {f"x{i}": search.kept(x) for i, search in enumerate(asking)}
-            answers = (
-                values.select(*(column.alias(name) for name, column in kept.items()))
-                .agg(*(search.guess(name) for name, search in zip(kept, asking)))
-                .first()
-            )
-            for search, answer in zip(asking, answers):
-                search.hint = tuple(answer)
-                if search.exact:
-                    search.found = answer[0]
-        wide = [s for s in pending if s.found is None]
-        if wide:
-            around = values.agg(*(s.surroundings(x, *s.hint) for s in wide)).first()
-            for search, counts in zip(wide, around):
-                search.narrow(*search.hint, counts)
-                search.hint = None
-        pending = [s for s in searches if s.found is None]
-    return [s.found for s in searches]

@@ -1,9 +1,9 @@
 """Gap-free global row numbers without a single-task sort.
 
 Rows are range-partitioned and sorted, and each gets the number of its
-partition and its position in it. That table is written once: range bounds come
+partition and its position in it. That table is checkpointed: range bounds come
 from a sample, so planning the same step twice could place rows differently,
-while the written table cannot change under the two reads that follow. The
+while the kept table cannot change under the two reads that follow. The
 number of rows before each partition, one short row per partition, then turns
 positions into global numbers.
 
@@ -37,6 +37,8 @@ def with_row_index(
 ) -> DataFrame:
     """Number the rows in the order given, starting at ``first``.
 
+    The call itself runs the sample, the sort and the checkpoint; the rest is lazy.
+
     ``order_by`` must tell unequal rows apart. ``df`` should come straight from
     a scan or a staged table, whose rows keep their places when a task is run
     again. With ``kind``, rows outside ``kinds`` are dropped and each kind is
@@ -53,8 +55,7 @@ def with_row_index(
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop("_copy")
-        .withColumns({**(after_sort or {}), "_slot": F.monotonically_increasing_id()}),
-        "rowindex",
+        .withColumns({**(after_sort or {}), "_slot": F.monotonically_increasing_id()})
     )
     placed = placed.withColumns(
         {

@@ -41,8 +41,3 @@ def rows_not_in(new: DataFrame, history: DataFrame) -> DataFrame:
     a single row.
     """
     return _match(new.dropDuplicates(), history, "left_anti")
-
-
-def rows_also_in(history: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of the history that ``new`` holds too; nulls compare equal."""
-    return _match(history, new, "left_semi")

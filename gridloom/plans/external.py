@@ -29,12 +29,12 @@ def clean_measures(df: DataFrame, *names: str) -> DataFrame:
 
 
 def weather_trusted(documents: DataFrame) -> DataFrame:
-    """Hourly weather, latest first."""
+    """Hourly weather, latest first, then by its measures."""
     hours = clean_measures(hourly_rows(documents), *WEATHER_MEASURES)
     named = hours.withColumnsRenamed(WEATHER_RENAMES)
     return named.withColumn(
         "DATA_HORA_CLIMA", dates.parse_timestamp(F.col("DATA_HORA_CLIMA"))
-    ).orderBy(F.desc("DATA_HORA_CLIMA"))
+    ).orderBy(F.desc("DATA_HORA_CLIMA"), "CLIMA_TEMPERATURA", "CLIMA_CHUVA", "CLIMA_VENTO")
 
 
 def split_instants(complaints: DataFrame) -> DataFrame:

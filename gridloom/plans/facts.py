@@ -10,25 +10,17 @@ from gridloom.operators.sets import history_merge
 
 
 def voltage_weather_rows(
-    voltage: DataFrame,
-    weather: DataFrame,
-    complaints: DataFrame,
-    count_small_sides: bool = False,
+    voltage: DataFrame, weather: DataFrame, complaints: DataFrame
 ) -> DataFrame:
     """Readings with the ratings of their day and the weather of their hour.
 
-    Every row is different from all others. With ``count_small_sides`` the two
-    side tables are counted first and broadcast when small, which keeps stored
-    readings from being shuffled by day; otherwise the planner decides on sizes
-    it knows or measures.
+    Every row is different from all others. The day and the date of a reading's
+    instant are one, so both sides meet first and the readings are joined once.
     """
-    ratings = joins.daily_ratings(complaints)
-    hours = joins.hourly_weather(weather)
-    if count_small_sides:
-        ratings = joins.broadcast_if_small(ratings)
-        hours = joins.broadcast_if_small(hours)
-    rated = joins.with_daily_rating(voltage, ratings)
-    return joins.with_hourly_weather(rated, hours).select(
+    around = joins.surroundings(
+        joins.daily_ratings(complaints), joins.hourly_weather(weather)
+    )
+    return joins.with_surroundings(voltage, around).select(
         *schemas.FACT_VOLTAGE_WEATHER.names
     )
 
@@ -38,9 +30,8 @@ def fact_voltage_weather(
     weather: DataFrame,
     complaints: DataFrame,
     history: DataFrame | None = None,
-    count_small_sides: bool = False,
 ) -> DataFrame:
-    rows = voltage_weather_rows(voltage, weather, complaints, count_small_sides)
+    rows = voltage_weather_rows(voltage, weather, complaints)
     if history is None:
         return rows
     return history_merge(history, rows, schemas.FACT_VOLTAGE_WEATHER.names)

@@ -44,6 +44,7 @@ def labelled(telemetry: DataFrame, kind: str, label: str, *keys: str) -> DataFra
 
 
 def _versus(harmonics: DataFrame, telemetry: DataFrame, kind: str, label: str) -> DataFrame:
+    """Every pair read at one instant in one scenario; bounded by the sensors that report at once."""
     keys = ["instant", "scenery"]
     return labelled(harmonics, PERCENT, "harmonicas", *keys).join(
         labelled(clean_sensor(telemetry, kind), kind, label, *keys), keys, "inner"

@@ -134,7 +134,8 @@ def frequency_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
 
     Every frequency reading is paired with the voltage reading of the same
     arrival rank, and its rank also gives the time on the wave. Pairing each
-    frequency with each voltage would grow with the square of the data.
+    frequency with each voltage would grow with the square of the data. A reading
+    beyond the last voltage is kept; its sine voltage is null.
     """
     complete = keep_numeric(drop_null_rows(telemetry), "value")
     ranked = with_row_index(
@@ -154,12 +155,13 @@ def frequency_trusted(telemetry: DataFrame, tie: list[str] = TIE) -> DataFrame:
         F.col("_voltage"), F.col("value"), F.col("_rank") * SINE_STEP
     )
     paired = (
-        frequency.join(voltage, "_rank")
+        frequency.join(voltage, "_rank", "left")
         .withColumn("tensao_senoidal", wave)
         .withColumn("value", numbers.two_decimals_single(F.col("value")))
-        .drop("_rank", "_voltage")
     )
-    return sort_desc(paired, "instant", *tie)
+    # The rank comes from the numbered table, so it spreads equal rows the same way every time.
+    order = [F.desc(c) for c in ("instant", *tie)]
+    return paired.orderBy(*order, "_rank").drop("_rank", "_voltage")
 
 
 def at_instant(readings: DataFrame, label: str) -> DataFrame:
@@ -174,7 +176,12 @@ def at_instant(readings: DataFrame, label: str) -> DataFrame:
 def power_factor_client(
     factor: DataFrame, temperature: DataFrame, current: DataFrame
 ) -> DataFrame:
-    """Power factor, temperature and current read in the same second."""
+    """Power factor, temperature and current read in the same second.
+
+    Every combination within a second is a row, as the correlation asks for, so
+    a second with n readings of each kind gives n cubed rows: its size is bounded
+    by how often a sensor reads in a second.
+    """
     return inner_join_all(
         [
             at_instant(factor, "fator"),

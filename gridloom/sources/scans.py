@@ -2,10 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Keep microseconds, and read instants with or without a fraction.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+# Holds the line of a CSV row that does not fit its schema.
+MALFORMED = "_malformed"
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -30,34 +32,64 @@ def read_json_documents(
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, sep: str = ";"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    sep: str = ";",
+    free_text: bool = False,
+    null_text: str = "",
+    quarantine: str | None = None,
 ) -> DataFrame:
-    """A file whose header names other columns than the schema is an error."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("sep", sep)
-        .option("escape", '"')
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
-        .csv(path)
-    )
+    """A file whose header names other columns than the schema is an error.
+
+    With ``free_text``, quoted text may hold line breaks; such a file cannot be
+    split, so land many of them. Unquoted ``null_text`` is null; where it is not
+    empty, empty text stays empty. Rows that do not fit the schema are null in what
+    does not fit; with ``quarantine`` they are left out and their lines stored there.
+    """
+    options = {
+        "header": True,
+        "enforceSchema": False,
+        "sep": sep,
+        "escape": '"',
+        "multiLine": free_text,
+        "nullValue": null_text,
+        "timestampNTZFormat": TIMESTAMP_FORMAT,
+    }
+    if quarantine is None:
+        return spark.read.options(**options).schema(schema).csv(path)
+    # With a column for malformed lines the header is checked here, not by the scan.
+    found = spark.read.options(**options).csv(path).columns
+    if found != schema.names:
+        raise ValueError(f"{path} has the columns {found}, not {schema.names}")
+    options |= {"enforceSchema": True, "columnNameOfCorruptRecord": MALFORMED}
+    marked = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+    rows = spark.read.options(**options).schema(marked).csv(path)
+    # The scan refuses plans that need the malformed lines alone, as a count would.
+    read = F.length(F.concat_ws("", F.col(schema.names[0]).cast("string"))) >= 0
+    bad = rows.where(read & F.col(MALFORMED).isNotNull()).select(MALFORMED)
+    bad.write.mode("append").text(quarantine)
+    return rows.where(read & F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Path and modification time of every file; contents are not read."""
+    """Path, key below the folder and modification time of every file; contents are not read."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = base.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    root = system.makeQualified(base).toString()
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(folder)
         .select("path", "modificationTime")
+        .withColumn("key", F.expr(f"substring(path, {len(root) + 2})"))
     )
 
 
 def newest_file(files: DataFrame, contains: str | None = None) -> DataFrame:
-    """One row with the newest path holding the text; null when none does."""
+    """One row with the newest path whose key holds the text; null when none does."""
     if contains is not None:
-        files = files.where(F.col("path").contains(contains))
+        files = files.where(F.col("key").contains(contains))
     return files.agg(
         F.max_by("path", F.struct("modificationTime", "path")).alias("path")
     )
@@ -77,25 +109,34 @@ def latest_file(
 def latest_table(
     spark: SparkSession, zone: str, contains: str
 ) -> str | None:
-    """Folder of the newest table published under a name holding the text.
+    """Folder of the newest finished run published under a name holding the text.
 
-    Published tables are folders named ``<name>/run=<stamp>``; partition
-    folders below them are cut off.
+    Published tables are folders ``<name>/run=<stamp>`` with a mark of success,
+    and a name has at most one prefix. Only names that hold the text are listed,
+    and of their runs only the marks; a run that is still being written has none.
     """
-    path = latest_file(spark, zone, contains)
-    if path is None:
-        return None
-    head, _, tail = path.rpartition("/run=")
-    return f"{head}/run={tail.split('/', 1)[0]}" if head else path
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    prefix, _, name = contains.rpartition("/")
+    depths = [f"*{prefix}/{name}*"] if prefix else [f"*{name}*", f"*/*{name}*", f"*{name}*/*"]
+    found = []
+    for depth in depths:
+        pattern = hadoop(f"{zone}/{depth}/run=*/_SUCCESS")
+        system = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        for status in system.globStatus(pattern) or []:
+            run = status.getPath().getParent()
+            found.append((status.getModificationTime(), run.getName(), run.toString()))
+    return max(found)[2] if found else None
 
 
 def read_table_or_empty(
-    spark: SparkSession, path: str | None, schema: StructType
+    spark: SparkSession, path: str | None, schema: StructType, sep: str | None = None
 ) -> DataFrame:
-    """The stored table, or no rows when there is none yet.
+    """The stored table, or no rows when there is none yet; with ``sep``, stored as CSV.
 
     Only the missing path means "start empty"; any other failure is raised.
     """
     if path is None:
         return spark.createDataFrame([], schema)
+    if sep is not None:
+        return read_csv(spark, path, schema, sep)
     return spark.read.schema(schema).parquet(path)

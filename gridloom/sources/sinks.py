@@ -10,8 +10,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.sources.scans import TIMESTAMP_FORMAT
 
-# Lines of a JSON array file; each holds one Arrow batch of records.
+# Lines of a JSON array file, and the most records that a line holds.
 LINES_PER_FILE = 50
+RECORDS_PER_LINE = 10_000
 
 
 def first_rows(
@@ -37,21 +38,35 @@ def write_json(
     )
 
 
-def _as_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One line per batch of records; every ``LINES_PER_FILE`` lines form an array."""
-    held, lines = None, 0
-    for batch in batches:
-        if batch.empty:
-            continue
-        if held is not None:
+def _arrays_of(records: int):
+    """One line per so many records; every ``LINES_PER_FILE`` lines form an array.
+
+    Lines fill up across batches, so files do not depend on how large batches are.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[str] = []
+        held, lines = None, 0
+        for batch in batches:
+            waiting.extend(batch["value"])
+            while len(waiting) > records:
+                if held is not None:
+                    yield pd.DataFrame({"value": [held]})
+                held, waiting = _line(waiting[:records], lines), waiting[records:]
+                lines += 1
+        if held is not None and waiting:
             yield pd.DataFrame({"value": [held]})
-        lead = "," if lines % LINES_PER_FILE else "["
-        lines += 1
-        end = "" if lines % LINES_PER_FILE else "]"
-        held = lead + ",\n".join(batch["value"]) + end
-    if held is not None:
-        end = "]" if lines % LINES_PER_FILE else ""
-        yield pd.DataFrame({"value": [held + end]})
+        if waiting:
+            end = "]" if (lines + 1) % LINES_PER_FILE else ""
+            yield pd.DataFrame({"value": [_line(waiting, lines) + end]})
+
+    return run
+
+
+def _line(records: list[str], lines: int) -> str:
+    lead = "," if lines % LINES_PER_FILE else "["
+    end = "" if (lines + 1) % LINES_PER_FILE else "]"
+    return lead + ",\n".join(records) + end
 
 
 def write_json_array(
@@ -59,12 +74,13 @@ def write_json_array(
     path: str,
     limit: int | None = None,
     order_by: list[Column] | None = None,
+    records_per_line: int = RECORDS_PER_LINE,
 ) -> None:
     """JSON arrays, one per file, for readers that expect documents.
 
     Records are rendered by Spark; Python only puts brackets and commas between
-    them, batch by batch. Such a file is later read by one task, so arrays end,
-    and files with them, after a fixed number of batches.
+    them, line by line. Such a file is later read by one task, so arrays end,
+    and files with them, after a fixed number of records.
     """
     rows = first_rows(df, limit, order_by)
     records = rows.select(
@@ -73,7 +89,9 @@ def write_json_array(
         ).alias("value")
     )
     (
-        records.mapInPandas(_as_arrays, StructType([StructField("value", StringType())]))
+        records.mapInPandas(
+            _arrays_of(records_per_line), StructType([StructField("value", StringType())])
+        )
         .write.option("maxRecordsPerFile", LINES_PER_FILE)
         .text(path)
     )
@@ -85,12 +103,16 @@ def write_csv(
     sep: str = ";",
     limit: int | None = None,
     order_by: list[Column] | None = None,
+    null_text: str = "",
 ) -> None:
+    """Empty text is quoted; null is ``null_text``, which :func:`read_csv` takes again."""
     (
         first_rows(df, limit, order_by)
         .write.option("header", True)
         .option("sep", sep)
         .option("escape", '"')
+        .option("nullValue", null_text)
+        .option("emptyValue", '""')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
@@ -98,7 +120,7 @@ def write_csv(
     )
 
 
-WRITERS = {"csv": write_csv, "json": write_json, "json_array": write_json_array}
+WRITERS = {"json": write_json, "json_array": write_json_array}
 
 
 def publish(
@@ -108,6 +130,7 @@ def publish(
     stamp: datetime | None = None,
     partition_by: str | None = None,
     fmt: str = "parquet",
+    sep: str = ";",
 ) -> str:
     """Write a table below ``<zone>/<name>`` in a folder of its own run.
 
@@ -115,11 +138,13 @@ def publish(
     and readers pick the newest. With ``partition_by``, rows are rebalanced by
     that column, so few files are written per value and a value holding much of
     the table is still spread over several tasks. ``fmt`` may also name one of
-    the text sinks, which are not partitioned.
+    the text sinks, which are not partitioned; ``sep`` separates columns of CSV.
     """
     run = (stamp or datetime.now()).strftime("%Y%m%dT%H%M%S%f")
     path = f"{zone}/{name}/run={run}"
-    if fmt in WRITERS:
+    if fmt == "csv":
+        write_csv(df, path, sep)
+    elif fmt in WRITERS:
         WRITERS[fmt](df, path)
     elif partition_by is None:
         df.write.format(fmt).save(path)

@@ -34,9 +34,13 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
-    spark = df.sparkSession
-    path = new_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` computed once, now, and kept by Spark's checkpoint.
+
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` its files go as soon as
+    nothing refers to the result any more.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint(eager=True)

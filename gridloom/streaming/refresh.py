@@ -1,9 +1,8 @@
 """Pick up newly landed files and append what the fact does not hold yet.
 
 The stored fact is partitioned by a month column. A batch reads only the months
-it touches, and files already written are never rewritten. A batch counted to
-be small is sent to the history, which then is scanned but not shuffled; a
-larger one meets it in a sort-merge join. A batch that is replayed, also one
+it touches, and files already written are never rewritten. How the batch meets
+those months is left to the planner, which goes by sizes. A batch that is replayed, also one
 that failed half way through its write, finds its own rows in the history and
 appends only the rest.
 """
@@ -14,31 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridloom.operators.joins import broadcast_if_small
-from gridloom.operators.sets import rows_also_in, rows_not_in
-
-# Above this many months in one batch the whole history is compared instead.
-MAX_PRUNED_MONTHS = 1_000
+from gridloom.operators.sets import rows_not_in
 
 
 def _touched(history: DataFrame, batch: DataFrame, month: str) -> DataFrame:
-    """The history restricted to the months of the batch."""
-    rows = batch.select(month).distinct().limit(MAX_PRUNED_MONTHS + 1).collect()
-    if len(rows) > MAX_PRUNED_MONTHS:
-        return history
-    months = [row[0] for row in rows]
+    """The history restricted to the months of the batch; one short text per month."""
+    months = [row[0] for row in batch.select(month).distinct().collect()]
     touched = F.col(month).isin(*(m for m in months if m is not None))
     if None in months:
         touched = touched | F.col(month).isNull()
     return history.where(touched)
 
 
-def _held(history: DataFrame, rows: DataFrame) -> DataFrame:
-    """The part of the history a comparison with the new rows needs."""
-    small = broadcast_if_small(rows)
-    return history if small is rows else rows_also_in(history, small)
-
-
 def read_fact(spark: SparkSession, fact_path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(fact_path).select(*schema.names)
 
@@ -63,7 +49,7 @@ def append_new_rows(
         nothing.write.mode("append").partitionBy(month).parquet(fact_path)
         history = _touched(read_fact(spark, fact_path, schema), rows, month)
         (
-            rows_not_in(rows, _held(history, rows))
+            rows_not_in(rows, history)
             .hint("rebalance", month)
             .sortWithinPartitions(*order)
             .write.mode("append")

@@ -135,6 +135,7 @@ def test_sensor_jobs_and_reports(spark, folder):
         spark,
         reports["limits_by_zone"],
         spark.createDataFrame([], "zone string, BaixaTensao int, AltaTensao int, PopulacaoTotal int").schema,
+        sep="|",
     )
     assert sorted(tuple(r) for r in limits.collect()) == [("NORTE", 0, 2, 7), ("SUL", 0, 2, 5)]
     generation = land(
@@ -144,3 +145,20 @@ def test_sensor_jobs_and_reports(spark, folder):
     )
     stored = jobs.generation_to_trusted(spark, zones, NOW, generation)
     assert spark.read.parquet(stored).count() == 1
+
+
+def test_complaints_with_line_breaks_stay_whole_and_malformed_rows_are_set_aside(spark, folder):
+    zones = jobs.Zones(*(f"{folder}/{n}" for n in ("raw", "trusted", "client")))
+    land(
+        folder,
+        "raw/ReclameAqui_Raw_1.csv",
+        'Reclamação;Data-hora;Avaliação\n"Sem luz;\ndesde ""ontem""";2024-01-01T10:11:12.500Z;3\n'
+        "a;2024-01-02T00:00:00Z;1;too;many\n",
+    )
+    path = jobs.complaints_to_trusted(spark, zones, NOW)
+    rows = spark.read.schema(schemas.COMPLAINTS_TRUSTED).parquet(path).collect()
+    assert [(r.AVALIACAO, r.HORA_RECLAMACAO) for r in rows] == [("3", "10:11:12")]
+    aside = spark.read.text(f"{zones.raw}/{c.QUARANTINE_COMPLAINTS}").collect()
+    assert [r.value for r in aside] == ["a;2024-01-02T00:00:00Z;1;too;many"]
+    # The quarantined lines are not taken for a newer landed file.
+    assert jobs._newest_file(spark, zones.raw, c.RAW_COMPLAINTS).endswith("ReclameAqui_Raw_1.csv")

@@ -66,7 +66,7 @@ def test_weather_join_flags_and_misses(spark):
         [(1, 5, 20.0, 25.0, 25.0), (1, 6, 20.0, 24.99, 25.0), (1, 6, 20.0, 24.99, 25.0)],
     )
     rows = facts.voltage_weather_rows(
-        readings(spark, VOLTAGE), w, complaints(spark, []), count_small_sides=True
+        readings(spark, VOLTAGE), w, complaints(spark, [])
     )
     got = {
         (r.DATA_HORA_GERACAO.day, r.DATA_HORA_GERACAO.hour): (
@@ -82,11 +82,17 @@ def test_weather_join_flags_and_misses(spark):
     assert rows.count() == 3
 
 
-@pytest.mark.parametrize("bound, marked", [(2, False), (3, True)])
-def test_broadcast_only_below_the_bound(spark, bound, marked):
-    small = spark.range(3)
-    plan = joins.broadcast_if_small(small, bound)._jdf.queryExecution().logical().toString()
-    assert ("ResolvedHint" in plan or "broadcast" in plan) == marked
+def test_one_join_equals_a_join_to_each_side(spark):
+    hot = [(1, h % 24, f"Z{h}", float(h)) for h in range(60)] + VOLTAGE
+    v, c = readings(spark, hot), complaints(spark, COMPLAINTS)
+    w = weather(spark, [(d, h, 1.0, float(h), None) for d in (1, 3) for h in (0, 5, 5, 23)])
+    one_by_one = joins.with_hourly_weather(
+        joins.with_daily_rating(v, joins.daily_ratings(c)), joins.hourly_weather(w)
+    )
+    names = schemas.FACT_VOLTAGE_WEATHER.names
+    got = facts.voltage_weather_rows(v, w, c)
+    assert as_set(got, names) == as_set(one_by_one, names)
+    assert got.count() == one_by_one.count()
 
 
 def test_result_is_the_same_without_any_broadcast(spark):

@@ -1,8 +1,3 @@
-from functools import partial
-
-import pytest
-
-from gridloom.operators.joins import broadcast_if_small
 from gridloom.streaming import refresh as r
 
 SCHEMA = "k int, x double, m string"
@@ -22,10 +17,7 @@ SECOND = [(1, 1.0, "2024-01"), (1, 2.0, "2024-01"), (2, None, None), (3, 0.0, "2
 BOTH = sorted([(1, 1.0, "2024-01"), (2, None, None), (1, 2.0, "2024-01"), (3, 0.0, "2024-02")], key=repr)
 
 
-@pytest.mark.parametrize("most_months, most_rows", [(1_000, 1_000), (1, 1_000), (1, 1)])
-def test_appends_only_what_is_missing(spark, folder, monkeypatch, most_months, most_rows):
-    monkeypatch.setattr(r, "MAX_PRUNED_MONTHS", most_months)
-    monkeypatch.setattr(r, "broadcast_if_small", partial(broadcast_if_small, max_rows=most_rows))
+def test_appends_only_what_is_missing(spark, folder):
     path, schema = f"{folder}/fact", frame(spark, FIRST).schema
     for rows in ([], FIRST, SECOND, [], SECOND, FIRST):
         r.append_new_rows(frame(spark, rows), path, schema, "m")

@@ -1,3 +1,8 @@
+import gc
+import time
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -44,6 +49,22 @@ def test_no_rows(spark):
     assert with_row_index(empty, ["k"], total="n").collect() == []
 
 
+def test_calls_leave_no_folder_behind(spark):
+    with_row_index(spark.range(10), ["id"]).count()
+    root = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    before = {p.name for p in root.iterdir()}
+    for _ in range(2):
+        assert with_row_index(spark.range(100), ["id"]).count() == 100
+    for _ in range(40):
+        gc.collect()
+        spark._jvm.System.gc()
+        left = {p.name for p in root.iterdir()} - before
+        if not left:
+            break
+        time.sleep(0.5)
+    assert not left
+
+
 def expected_scenarios(rows):
     n, kept = len(rows), []
     for i, row in enumerate(sorted(rows)):

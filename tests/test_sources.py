@@ -54,9 +54,9 @@ def test_json_arrays_are_valid_documents(spark, table, folder):
 
 @pytest.mark.parametrize("size", [0, 1, 349, 350, 351, 1000])
 def test_json_arrays_of_many_batches(spark, folder, size):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
     try:
-        sinks.write_json_array(spark.range(0, size, 1, 1), f"{folder}/t")
+        sinks.write_json_array(spark.range(0, size, 1, 1), f"{folder}/t", records_per_line=7)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     back = scans.read_json_documents(spark, f"{folder}/t", spark.range(1).schema)
@@ -78,15 +78,15 @@ def test_sinks_keep_all_rows_unless_told_otherwise(spark, folder):
 def test_newest_file(spark):
     files = spark.createDataFrame(
         [
-            ("zone/telemetry_1.json", datetime(2024, 1, 1)),
-            ("zone/telemetry_2.json", datetime(2024, 1, 3)),
-            ("zone/telemetry_3.json", datetime(2024, 1, 3)),
-            ("zone/other.json", datetime(2024, 1, 9)),
+            ("telemetry_1.json", datetime(2024, 1, 1)),
+            ("telemetry_2.json", datetime(2024, 1, 3)),
+            ("telemetry_3.json", datetime(2024, 1, 3)),
+            ("other.json", datetime(2024, 1, 9)),
         ],
-        "path string, modificationTime timestamp",
-    )
-    assert scans.newest_file(files, "telemetry_").first().path == "zone/telemetry_3.json"
-    assert scans.newest_file(files).first().path == "zone/other.json"
+        "key string, modificationTime timestamp",
+    ).withColumn("path", F.concat(F.lit("telemetry_zone/"), "key"))
+    assert scans.newest_file(files, "telemetry_").first().path == "telemetry_zone/telemetry_3.json"
+    assert scans.newest_file(files).first().path == "telemetry_zone/other.json"
     assert scans.newest_file(files, "nothing").first().path is None
 
 
@@ -105,6 +105,25 @@ def test_latest_file_and_table(spark, folder):
     assert scans.latest_table(spark, f"{folder}/zone", "missing") is None
 
 
+def test_newest_table_goes_by_its_own_name_and_finished_runs(spark, folder):
+    zone = f"{folder}/TRUSTED_clima_zone"
+    first = sinks.publish(spark.range(2), zone, "TRUSTED_clima1", datetime(2024, 1, 1))
+    sinks.publish(spark.range(3), zone, "Tensao_TRUSTED_1", datetime(2024, 1, 2))
+    half = sinks.publish(spark.range(4), zone, "TRUSTED_clima1", datetime(2024, 1, 3))
+    Path(half, "_SUCCESS").unlink()
+    assert scans.latest_table(spark, zone, "TRUSTED_clima").endswith(first)
+    newest = scans.latest_file(spark, zone, "TRUSTED_clima1")
+    assert "/TRUSTED_clima1/run=20240103" in newest
+
+
+def test_csv_keeps_line_breaks_quotes_empty_text_and_null(spark, folder):
+    rows = [(1, 'a\n;"b"\r\n'), (2, ""), (3, None), (4, "\\ N"), (5, '"'), (6, " x ")]
+    df = spark.createDataFrame(rows, "k int, t string")
+    sinks.write_csv(df, f"{folder}/t", null_text="\\N")
+    back = scans.read_csv(spark, f"{folder}/t", df.schema, free_text=True, null_text="\\N")
+    assert sorted(tuple(r) for r in back.collect()) == rows
+
+
 def test_missing_history_starts_empty_and_other_errors_stay(spark, folder):
     empty = scans.read_table_or_empty(spark, None, schemas.FACT_CONSUMPTION)
     assert empty.columns == schemas.FACT_CONSUMPTION.names and empty.isEmpty()
