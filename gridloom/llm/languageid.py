@@ -10,7 +10,7 @@ shortest code wins; the score is its share of the languages' probabilities.
 
 The fit uses at most ``SAMPLE_DOCS`` documents of each language, and keeps contexts
 met ``LEAST`` times or more. The model so grows with the number of languages
-alone. Scoring reads every byte of every text.
+alone, up to ``MOST_LANGUAGES``. Scoring reads every byte of every text.
 """
 
 from collections.abc import Iterator
@@ -27,6 +27,8 @@ ORDER = 3
 SAMPLE_DOCS = 400
 #: Times that a context must occur to be kept.
 LEAST = 4
+#: Languages learned, the most frequent ones: a tree takes a few MB.
+MOST_LANGUAGES = 1000
 #: Different bytes told apart; rarer ones share one symbol.
 SYMBOLS = 128
 #: What stands before the first byte of a text.
@@ -47,10 +49,10 @@ def crc_slot(parts: int) -> Column:
 def sample(docs: DataFrame, learn: Column, size: int = SAMPLE_DOCS) -> DataFrame:
     """``lang, body`` of at most ``size`` rows of each language that ``learn`` allows, by hash."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
     likely = (
-        rows.join(counts, "lang")
+        rows.join(F.broadcast(counts), "lang")
         .select("lang", F.col("text").alias("body"), draw.alias("draw"), "count")
         .where(F.col("draw") * F.col("count") < 2.0 * size)
     )

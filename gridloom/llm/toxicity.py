@@ -25,7 +25,7 @@ NGRAMS = (4, 5, 6)
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 8
-PASSAGE = 24
+PASSAGE = 6
 #: Labelled texts that the fit reads, at most, of each label.
 SAMPLE_TOXIC = 1500
 SAMPLE_CLEAN = 2500
@@ -34,6 +34,8 @@ SAMPLE_BYTES = 1 << 15
 EPOCHS, ROUNDS, BATCH, RATE = 8, 3, 128, 0.5
 #: Characters scored together.
 STRETCH = 1 << 19
+#: Weight of the penalty that keeps the slope of the final curve finite.
+RIDGE = 1e-5
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x100000001B3
@@ -181,7 +183,7 @@ def _calibrated(margins: np.ndarray, toxic: np.ndarray, weights: np.ndarray) ->
     center, spread = margins.mean(), margins.std() or 1.0
     x = np.column_stack([(margins - center) / spread, np.ones(len(margins))])
     theta = np.zeros(2)
-    ridge = np.diag([1e-2, 1e-6]) * weights.sum()
+    ridge = np.diag([RIDGE, 1e-6]) * weights.sum()
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ theta, -30, 30)))
         slope = x.T @ (weights * (p - toxic)) + ridge @ theta

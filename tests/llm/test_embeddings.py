@@ -1,0 +1,94 @@
+import numpy as np
+import pytest
+
+from gridloom.llm import embeddings
+from gridloom.llm.components import forest
+from gridloom.llm.hnsw import Graph
+
+
+def brute(vectors, threshold=0.9):
+    """Links and smallest reachable id, over (id, list) rows."""
+    usable = [
+        (i, np.array(v, float)) for i, v in vectors
+        if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    links, a, b = {i: 0 for i, _ in vectors}, [], []
+    for k, (i, x) in enumerate(usable):
+        for j, y in usable[:k]:
+            if len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                a.append(i)
+                b.append(j)
+    top = forest(a, b)
+    return {i: (links[i], top.get(i, i)) for i, _ in vectors}
+
+
+def table(spark, vectors):
+    rows = [(i, None if v is None else [None if x is None else float(x) for x in v], "x") for i, v in vectors]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, node string").repartition(4)
+
+
+def listed(df):
+    return {r.vec_id: (r.n_links, r.component_id) for r in df.collect()}
+
+
+def cloud(seed, n=400, families=6, size=25):
+    draw = np.random.default_rng(seed)
+    found = list(draw.normal(size=(n, 16)))
+    for _ in range(families):
+        center = draw.normal(size=16)
+        found += [center + draw.normal(scale=0.25, size=16) for _ in range(size)]
+    found += [found[3]] * 30 + [2.0 * found[4]]
+    order = draw.permutation(len(found))
+    return [(int(i), np.float32(found[k]).tolist()) for i, k in enumerate(order)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_links_of_families_copies_and_strangers(spark, seed):
+    vectors = cloud(seed)
+    assert listed(embeddings.near_duplicates(table(spark, vectors))) == brute(vectors)
+
+
+def test_graph_recall():
+    draw = np.random.default_rng(3)
+    vectors = draw.normal(size=(5000, 32)).astype("f4")
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    queries = vectors[:300] + draw.normal(scale=0.02, size=(300, 32)).astype("f4")
+    graph = Graph(vectors)
+    ids, _ = graph.search(queries, 64)
+    assert (ids[:, 0] == (queries @ vectors.T).argmax(axis=1)).mean() >= 0.98
+    again = Graph(vectors, graph.links)
+    assert (again.search(queries, 64)[0] == ids).all()
+
+
+def test_a_full_beam_widens(spark):
+    draw = np.random.default_rng(4)
+    tight = (draw.normal(size=(1, 24)) + draw.normal(scale=0.05, size=(900, 24))).astype("f4")
+    far = draw.normal(size=(900, 24)).astype("f4")
+    vectors = np.concatenate([tight, far])[draw.permutation(1800)]
+    shard = embeddings.Shard(np.arange(1800), np.ones(1800, np.int64), vectors)
+    links = sum(int(count.sum()) for _, count, _, _ in shard.links(np.arange(1800), vectors, 0.9))
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    wanted = int((unit @ unit.T >= 0.9).sum()) - 1800
+    assert wanted > 500_000 and links >= 0.995 * wanted
+
+
+def test_edge_rows(spark):
+    vectors = [
+        (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]),
+        (7, [float("inf"), 1.0]), (8, [None, 1.0]), (9, [1.0, 0.0, 0.0]), (10, [-1.0, -0.0]),
+        (11, [1e-30, 1e-32]), (12, [1e30, 0.0]), (13, [0.0, 2.0]), (14, [-0.0, 1.0]),
+    ]
+    rows = embeddings.near_duplicates(table(spark, vectors))
+    assert listed(rows) == brute(vectors)
+    assert {r.vec_id for r in rows.where("kept").collect()} == {1, 3, 4, 5, 6, 7, 8, 9, 10, 13}
+
+
+def test_null_and_repeated_ids_and_no_rows(spark):
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.1]), (5, [1.0, 0.0]), (5, [0.0, 1.0]), (None, None)]
+    got = embeddings.near_duplicates(table(spark, rows)).collect()
+    assert sorted((r.n_links, r.component_id or -1, r.kept) for r in got) == [
+        (0, -1, False), (0, 5, True), (2, 5, False), (2, 5, False), (2, 5, True),
+    ]
+    assert embeddings.near_duplicates(table(spark, rows[:0])).count() == 0

@@ -1,0 +1,106 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from edge_rows import EDGES, frame
+from gridloom.llm import pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def brute(text):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+
+    def luhn(s):
+        total = 0
+        for k, d in enumerate(reversed(s)):
+            v = int(d) * (1 + k % 2)
+            total += v - 9 * (v > 9)
+        return total % 10 == 0
+
+    checks = {
+        "email": (EMAIL, lambda m: True),
+        "ip": (IP, lambda m: all(int(p) <= 255 for p in m.split("."))),
+        "card": (CARD, lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        "phone": (PHONE, lambda m: 9 <= len(digits(m)) <= 15),
+    }
+    return [(k, *m.span()) for k, (p, ok) in checks.items() for m in p.finditer(text) if ok(m[0])]
+
+
+def test_base_spans_equal_the_patterns():
+    draw = random.Random(1)
+    parts = [
+        "a", "b.c", "@", ".", " ", "-", "+", "1", "23", "256", "4111 1111 1111 1111", "4242-4242-4242-4242",
+        "x@y.z", "@@", "..", "10.0.0.1", "(", ")", "+49 30 1234567", "é", "_", "%", "\n", "0007", "٣",
+    ]
+    for _ in range(4000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(1, 14)))
+        assert pii.base_spans(text) == brute(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 300_000, "a" * 300_000 + "@", "a@" * 100_000, "+1(" * 100_000, "1." * 100_000, "1 " * 150_000):
+        pii.base_spans(text)
+
+
+def corpus():
+    """ada@x.org stands beside 'zeppelin' in all its texts; 'common' stands everywhere."""
+    rows = [(i, f"filler{i} common write zeppelin to ada@x.org about item{i}", "en", "a") for i in range(5)]
+    rows += [(10 + i, f"common words and write number{i} of the rest", "en", "a") for i in range(60)]
+    rows += [(100 + i, "a copy zebra of one text to bob@x.org", "en", "a") for i in range(9)]
+    return rows
+
+
+def test_revealing_terms_are_marked_and_others_left(spark):
+    rows = corpus()
+    got = {r.doc_id: r for r in pii.found(frame(spark, rows)).collect()}
+    for i, text, *_ in rows:
+        spans = [tuple(s.split(":")) for s in got[i].spans.split(",") if s]
+        base = brute(text)
+        assert [(k, int(a), int(b)) for k, a, b in spans[: len(base)]] == base
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert got[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        terms = {text[int(a) : int(b)]: k for k, a, b in spans[len(base) :]}
+        # Words of copies of one text are no evidence, nor are words that stand anywhere.
+        assert terms == ({"zeppelin": "remove", "about": "remove"} if i < 5 else {})
+
+
+def test_sanitised_text(spark):
+    docs = frame(spark, corpus())
+    clean = pii.sanitised(docs)
+    assert clean.columns == docs.columns
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert texts[3] == "filler3 common write  to [EMAIL]  item3"
+    assert texts[12] == "common words and write number2 of the rest"
+    assert pii.redact("abcdef", "email:1:4,remove:2:6") == "a[EMAIL]"
+
+
+def test_counts_do_not_depend_on_the_filter(spark, monkeypatch):
+    docs = frame(spark, corpus())
+    terms = spark.createDataFrame([("common",), ("zeppelin",), ("absent",)], "term string")
+    wanted = {"common": 65, "zeppelin": 5}
+    for bits in (32, 1 << 12):
+        monkeypatch.setattr(pii, "FILTER_BITS", bits)
+        monkeypatch.setattr(pii, "HELD_TERMS", 10)
+        assert {r.term: r.n_t for r in pii.document_counts(docs, terms).collect()} == wanted
+
+
+def test_edge_rows(spark, edges, nothing):
+    got = pii.found(edges).collect()
+    assert len(got) == len(EDGES)
+    assert {(r.spans, r.base_sha256) for r in got} == {("", hashlib.sha256(b"").hexdigest())}
+    assert pii.sanitised(edges).count() == len(EDGES)
+    assert pii.found(nothing).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.5, 1.0])
+def test_an_entity_in_many_documents(spark, share):
+    rows = [(i, f"w{i} mail to all@x.org " + "now" * (i % 2), "en", "a") for i in range(40)]
+    rows = [r if r[0] < 40 * share else (r[0], f"w{r[0]}", "en", "a") for r in rows]
+    got = pii.found(frame(spark, rows)).collect()
+    assert sum(r.n_email for r in got) == 40 * share
