@@ -2,24 +2,27 @@
 
 The tokenizer works on pieces that never reach over a space or a line break, so
 the ids of a text are those of its space-separated words in turn. A task keeps
-the ids of words it has met, up to ``CACHED_WORDS``, and asks the library for the
-rest in batches. A word of plain letters with punctuation behind it is kept as
-its two pieces, lower-cased, as the tokenizer itself does.
+the ids of words it has met, up to ``CACHED_WORDS``. A new word of plain letters,
+with or without marks behind it, is what the library's normaliser lower-cases and
+its pre-tokenizer cuts into just these two pieces, so they go to the library's model
+directly; any other word goes through the whole library.
 """
 
 import os
 import re
-from collections.abc import Iterable
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 
 #: Words whose ids a task keeps; about 100 MB.
 CACHED_WORDS = 400_000
-#: A piece of punctuation that stands between words asked for together.
-SEPARATOR = "|"
-#: Letters and marks that normalisation only lower-cases, one code point each.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?]*)")
-ASKED_TOGETHER = 128
+#: Characters whose words are handled together.
+STRETCH = 1 << 20
+#: Marks that stand behind a word as a piece of their own.
+MARKS = ".,;:!?"
+#: Letters that normalisation only lower-cases, one code point each.
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*")
 
 
 class Encoder:
@@ -27,57 +30,85 @@ class Encoder:
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.kind, self.code = ("<u4", "I") if wide else ("<u2", "H")
         self.cached_words = cached_words
         self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {"": b""}
-        self.separator = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = filter(PLAIN.fullmatch, map(chr, range(256)))
+        self.spelling = {ord(c): spelled.pre_tokenize_str(c)[0][0] for c in letters}
+        # The short way holds where the library agrees on pieces of each kind.
+        probe = [*map(chr, self.spelling), *MARKS, "probe", "größe", "...", "ÀÉÿ"]
+        self.short = all(
+            self._piece(p.lower()) == ids for p, ids in zip(probe, self._whole(probe))
+        )
 
-    def _ask(self, texts: list[str]) -> list[np.ndarray]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _learn_pieces(self, pieces: Iterable[str]) -> None:
-        """Ids of pieces of letters or of marks; the separator keeps them apart."""
-        new = list(pieces)
-        groups = [new[k : k + ASKED_TOGETHER] for k in range(0, len(new), ASKED_TOGETHER)]
-        for group, ids in zip(groups, self._ask([f" {SEPARATOR} ".join(g) for g in groups])):
-            cuts = np.flatnonzero(ids == self.separator[0]).tolist()
-            for piece, a, b in zip(group, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]):
-                self.pieces[piece] = ids[a:b].tobytes()
+    def _piece(self, piece: str) -> bytes:
+        """The ids of lower-cased letters or of marks, which the library does not cut further."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else piece.translate(self.spelling)
+            ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self.pieces[piece] = ids
+        return ids
 
-    def _learn(self, words: Iterable[str]) -> None:
-        plain, other = {}, []
+    def _learn(self, words: set[str]) -> None:
+        other = []
         for word in words:
-            if match := PLAIN.fullmatch(word):
-                plain[word] = (match[1].lower(), match[2])
+            core = word.rstrip(MARKS)
+            if self.short and (core.isalpha() or not core if core.isascii() else PLAIN.fullmatch(core)):
+                ids = self._piece(core.lower())
+                if len(core) < len(word):
+                    ids += self._piece(word[len(core) :])
+                self.words[word] = ids
             else:
                 other.append(word)
-        if len(self.pieces) > self.cached_words:
-            self.pieces = {"": b""}
-        if len(self.separator) == 1:
-            self._learn_pieces({p for pair in plain.values() for p in pair} - self.pieces.keys())
-        else:
-            other, plain = [*other, *plain], {}
-        self.words.update((w, self.pieces[a] + self.pieces[b]) for w, (a, b) in plain.items())
-        self.words.update(zip(other, (ids.tobytes() for ids in self._ask(other))))
+        self.words.update(zip(other, self._whole(other)))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.cached_words:
             self.words = {"": b""}
+        if len(self.pieces) > self.cached_words:
+            self.pieces = {"": b""}
         parts = [text.replace("\n", " ").split(" ") for text in texts]
-        known = [list(map(self.words.get, words)) for words in parts]
-        new: set[str] = set()
-        for words, ids in zip(parts, known):
-            if None in ids:
-                new.update(w for w, found in zip(words, ids) if found is None)
+        new = set().union(*parts).difference(self.words)
         if new:
             self._learn(new)
-        return [
-            b"".join(map(self.words.__getitem__, words)) if None in ids else b"".join(ids)
-            for words, ids in zip(parts, known)
-        ]
+        ids = self.words.__getitem__
+        return [np.frombuffer(b"".join(map(ids, words)), self.kind).astype("<u4").tobytes() for words in parts]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        found: list[bytes] = []
+        held, size = [], 0
+        for text in texts:
+            if len(text) > STRETCH:
+                found += self._encode(held)
+                held, size = [], 0
+                found.append(b"".join(i for part in _stretches(text) for i in self._encode([part])))
+                continue
+            held.append(text)
+            size += len(text)
+            if size > STRETCH:
+                found += self._encode(held)
+                held, size = [], 0
+        return found + self._encode(held)
+
 
+def _stretches(text: str) -> Iterator[str]:
+    """Parts of about ``STRETCH`` characters, cut at spaces."""
+    first = 0
+    while first < len(text):
+        last = text.find(" ", first + STRETCH)
+        last = len(text) if last < 0 else last
+        yield text[first:last]
+        first = last
