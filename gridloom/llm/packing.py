@@ -1,10 +1,10 @@
 """Packing documents into sequences of fixed length by linear grouping.
 
 Large lengths are sorted, cut into groups of equal cardinality and rounded up to
-the longest of their group, which leaves few different sizes. Configurations of
-those sizes are chosen so that each fills a sequence as well as it can, and used
-as often as the groups allow. Then actual documents take the places of the
-rounded ones, and what is small goes best-fit into the room that is left.
+the longest of their group, which leaves few different sizes. A linear program
+over the configurations of those sizes that fit a sequence says how often to use
+each. Then actual documents take the places of the rounded ones, and what is
+small or left over goes best-fit into the room that remains.
 
 The pieces are dealt evenly into shards of bounded size, each packed by itself:
 a shard leaves about one sequence unfilled, whatever the lengths are.
@@ -26,8 +26,9 @@ from gridloom.llm.tokens import Encoder
 SHARD_PIECES = 1 << 16
 #: The same where the pieces carry their ids.
 SHARD_PIECES_WITH_IDS = 1 << 13
-#: Groups of equal cardinality that the large lengths are rounded in.
-GROUPS = 48
+#: Groups of equal cardinality that the large lengths are rounded in. Few groups leave rooms
+#: that small pieces can fill, many waste less where those are rare; the better one counts.
+GROUPS = (32, 64)
 #: A piece over one in this many of the sequence length is large.
 SMALL_PARTS = 8
 END_ID = 1
@@ -79,41 +80,57 @@ def round_up(lengths: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
     return group, lengths[::each]
 
 
-def fullest(sizes: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
-    """How many of each size fill ``room`` best; larger sizes are tried first."""
-    reach = np.zeros(room + 1, bool)
-    reach[0] = True
-    used = np.zeros((len(sizes), room + 1), np.int16)
-    for k, (size, count) in enumerate(zip(sizes.tolist(), counts.tolist())):
-        for n in range(1, min(count, room // size) + 1):
-            fresh = np.zeros_like(reach)
-            fresh[size:] = (reach & (used[k] == n - 1))[:-size]
-            fresh &= ~reach
-            used[k][fresh] = n
-            reach |= fresh
-    chosen, at = np.zeros(len(sizes), np.int64), int(np.flatnonzero(reach)[-1])
+def best_filling(sizes: np.ndarray, prices: np.ndarray, length: int) -> np.ndarray:
+    """How many of each size to take, at most ``length`` in sum, for the highest price."""
+    worth = np.zeros(length + 1)
+    used = np.zeros((len(sizes), length + 1), np.int8)
+    for k, (size, price) in enumerate(zip(sizes.tolist(), prices.tolist())):
+        if price <= 0:
+            continue
+        before = worth.copy()
+        for n in range(1, length // size + 1):
+            with_n = before[: length + 1 - n * size] + n * price
+            better = with_n > worth[n * size :] + 1e-12
+            worth[n * size :][better] = with_n[better]
+            used[k, n * size :][better] = n
+    chosen, at = np.zeros(len(sizes), np.int64), int(worth.argmax())
     for k in range(len(sizes) - 1, -1, -1):
-        chosen[k] = used[k][at]
+        chosen[k] = used[k, at]
         at -= int(chosen[k] * sizes[k])
     return chosen
 
 
-def configurations(sizes: np.ndarray, counts: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
-    """``(times, how many of each size)`` until no document is left.
+def configurations(
+    sizes: np.ndarray, counts: np.ndarray, length: int, rounds: int = 2000
+) -> list[tuple[int, np.ndarray]]:
+    """``(times, how many of each size)`` of a best fractional covering, times rounded down.
 
-    Each holds the largest size still there and the best filling of the rest of
-    the sequence; it is used until one of its sizes runs out.
+    The linear program over all configurations is solved by generating columns: the
+    prices of the sizes in the present solution make a knapsack problem, whose
+    answer enters the solution until none is worth more than one sequence.
     """
-    counts, found = counts.copy(), []
-    while counts.any():
-        first = int(np.flatnonzero(counts)[0])
-        one = np.zeros(len(sizes), np.int64)
-        one[first] = 1
-        one += fullest(sizes, counts - one, length - int(sizes[first]))
+    if not len(sizes):
+        return []
+    basis = np.diag(length // sizes).astype(float)
+    for _ in range(rounds):
+        amounts = np.linalg.solve(basis, counts)
+        prices = np.linalg.solve(basis.T, np.ones(len(sizes)))
+        column = best_filling(sizes, prices, length).astype(float)
+        if prices @ column <= 1 + 1e-7:
+            break
+        change = np.linalg.solve(basis, column)
+        rising = change > 1e-9
+        ratios = np.where(rising, np.maximum(amounts, 0) / np.where(rising, change, 1), np.inf)
+        basis[:, int(ratios.argmin())] = column
+    amounts = np.linalg.solve(basis, counts)
+    found, left = [], counts.astype(np.int64)
+    for k in np.argsort(-amounts, kind="stable").tolist():
+        one = basis[:, k].astype(np.int64)
         held = one > 0
-        times = int((counts[held] // one[held]).min())
-        found.append((times, one))
-        counts -= times * one
+        times = min(int(np.floor(amounts[k] + 1e-6)), int((left[held] // one[held]).min()))
+        if times > 0:
+            found.append((times, one))
+            left -= times * one
     return found
 
 
@@ -140,8 +157,17 @@ class Rooms:
         return sequence, room
 
 
-def pack(lengths: np.ndarray, length: int = LENGTH, groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
+def pack(
+    lengths: np.ndarray, length: int = LENGTH, groups: tuple[int, ...] = GROUPS
+) -> tuple[np.ndarray, np.ndarray]:
     """The sequence and offset of each piece; ``lengths`` are from 1 to ``length``, descending."""
+    tries = [_dealt(lengths, length, g) for g in groups]
+    sequence = min(tries, key=lambda s: s.max(initial=-1))
+    return sequence, _offsets(lengths, sequence)
+
+
+def _dealt(lengths: np.ndarray, length: int, groups: int) -> np.ndarray:
+    """The sequence of each piece, with so many groups."""
     sequence = np.empty(len(lengths), np.int64)
     whole = int(np.searchsorted(-lengths, -length, "right"))
     large = int(np.searchsorted(-lengths, -(length // SMALL_PARTS), "left"))
@@ -151,31 +177,38 @@ def pack(lengths: np.ndarray, length: int = LENGTH, groups: int = GROUPS) -> tup
 
     group, sizes = round_up(lengths[whole:large], groups)
     counts = np.bincount(group, minlength=len(sizes)).astype(np.int64)
-    waiting = [np.flatnonzero(group == k)[::-1].tolist() for k in range(len(sizes))]
+    waiting = [(whole + np.flatnonzero(group == k)[::-1]).tolist() for k in range(len(sizes))]
     for times, one in configurations(sizes, counts, length):
         for _ in range(times):
             room = length
             for k in np.flatnonzero(one).tolist():
                 for _ in range(int(one[k])):
-                    item = whole + waiting[k].pop()
+                    item = waiting[k].pop()
                     sequence[item] = made
                     room -= int(lengths[item])
             rooms.add(made, room)
             made += 1
-    for item, need in enumerate(lengths[large:].tolist(), large):
+    # What the fractions left over, then the small ones, longest first.
+    for item in [*sorted(sum(waiting, [])), *range(large, len(lengths))]:
+        need = int(lengths[item])
         place = rooms.take(need)
         if place is None:
             place, made = (made, length), made + 1
         sequence[item] = place[0]
         rooms.add(place[0], place[1] - need)
 
+    return sequence
+
+
+def _offsets(lengths: np.ndarray, sequence: np.ndarray) -> np.ndarray:
+    """The pieces of a sequence follow each other without gaps."""
     order = np.argsort(sequence, kind="stable")
     ends = np.cumsum(lengths[order])
     starts = ends - lengths[order]
     first = np.flatnonzero(np.diff(sequence[order], prepend=-1))
     offset = np.empty(len(lengths), np.int64)
     offset[order] = starts - np.repeat(starts[first], np.diff(np.append(first, len(lengths))))
-    return sequence, offset
+    return offset
 
 
 # --- the operator ------------------------------------------------------------
