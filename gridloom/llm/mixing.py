@@ -32,6 +32,20 @@ TINY = 1e-9
 SOURCE = ["no_source", "source"]
 
 
+#: Parts that the rows of one source are dealt into where they meet its figures.
+SALTS = 64
+
+
+def _with_figures(rows: DataFrame, figures: DataFrame) -> DataFrame:
+    """``rows`` joined to the one row of ``figures`` for their source, which is repeated ``SALTS`` times.
+
+    So a source with a third of all rows meets its figures in many tasks.
+    """
+    salted = figures.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("row_hash", "doc_id"), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, [*SOURCE, "salt"]).drop("salt")
+
+
 def _let(value: Column, then) -> Column:
     """``then(value)``, with ``value`` computed once."""
     return F.element_at(F.transform(F.array(value), then), 1)
@@ -188,7 +202,7 @@ def make_good(settled: DataFrame, goals: DataFrame) -> DataFrame:
         (F.col("part") == 0) & F.col("rounds")
     )
     best = (
-        settled.join(over, SOURCE)
+        _with_figures(settled, over)
         .where(turned & (misses < F.abs("over")))
         .groupBy(*SOURCE)
         .agg(F.min(F.struct(misses.alias("miss"), "row_hash", "doc_id")).alias("best"))
@@ -236,7 +250,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, most: float = MOST_COPIES, seed: int
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     wanted = rate * F.col("rows")
     parts = (
-        items.join(goals, SOURCE)
+        _with_figures(items, goals)
         .withColumn("whole", F.floor(wanted + TINY).cast("long"))
         .withColumn("part", F.greatest(wanted - F.floor(wanted + TINY), F.lit(0.0)))
     )
@@ -246,7 +260,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, most: float = MOST_COPIES, seed: int
     rounded = round_copies(parts, seed)
     for _ in range(CORRECTIONS):
         rounded = make_good(checkpoint(rounded), goals)
-    return rounded.join(goals.drop("groups"), SOURCE).select(
+    return _with_figures(rounded, goals.drop("groups")).select(
         *SOURCE,
         "source_size",
         "target",
