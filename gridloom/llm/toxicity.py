@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.languageid import crc_slot
 
-NGRAMS = (4, 5, 6)
+NGRAMS = (3, 4, 5)
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 8
-PASSAGE = 6
+PASSAGE = 4
 #: Labelled texts that the fit reads, at most, of each label.
 SAMPLE_TOXIC = 1500
 SAMPLE_CLEAN = 2500
