@@ -227,7 +227,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     """Each row's ``vec_id, n_links, component_id, kept``.
 
     Vectors that are null, empty, zero or hold null or non-finite components link
-    with nothing, nor do vectors of different lengths. Rows of equal vectors link
+    with nothing, nor do vectors of different lengths. Components are read in single
+    precision, cosines taken in double. Rows of equal vectors link
     with each other. The component id is the smallest ``vec_id`` that links reach,
     nulls aside; a row is ``kept`` if that is its own. An empty table gives an
     empty table.
