@@ -4,13 +4,16 @@ Base spans are e-mail addresses, IP addresses, card and phone numbers. Each
 different value is an entity to protect. A term is a word near a mention of an entity. Over
 the whole corpus, the pointwise mutual information of term and entity says how
 much of the entity's information a reader gains from the term alone (Sánchez and
-Batet, "C-sanitized"): with n documents, n_e with the entity, n_t with the term
-and n_te where the term stands near the entity,
+Batet, "C-sanitized"): with n documents, p_e the share with the entity, n_t documents with
+the term, and n_te where the term stands near the entity, in k different texts,
 
-    disclosure = log(n_te * n / (n_t * n_e)) / log(n / n_e)
+    p = (k * n_te / n_t + WEIGHT * p_e) / (k + WEIGHT)
+    disclosure = log(p / p_e) / log(1 / p_e)
 
+p is how likely the term's documents hold the entity, drawn towards what holds without
+the term as if ``WEIGHT`` more texts said so; copies of a text are one piece of evidence.
 From ``REMOVE`` on a term is removed near that entity, from ``GENERALISE`` on it is replaced by
-a general word. Pairs met in fewer than ``SUPPORT`` different texts say nothing.
+a general word. Every entity and every pair met is rated.
 """
 
 import hashlib
@@ -31,8 +34,8 @@ KINDS = ("email", "ip", "card", "phone")
 NEAR_WORDS, NEAR_CHARACTERS = 6, 240
 #: Shorter words are no terms.
 SHORTEST = 3
-#: Different texts that must hold a pair of entity and term.
-SUPPORT = 3
+#: Texts that speak for chance before any is read.
+WEIGHT = 1.5
 GENERALISE, REMOVE = 0.75, 0.9
 #: Bits of the filter for candidate terms: more terms pass more words, and change nothing else.
 FILTER_BITS = 1 << 23
@@ -221,6 +224,13 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return found.groupBy("term").agg(F.sum("n").alias("n_t")).join(terms, "term", "left_semi")
 
 
+def _disclosure(n_te: Column, texts: Column, n_t: Column, n_e: Column, total: int) -> Column:
+    """The share of the entity's information that the term gives; ``n_e`` is below ``total``."""
+    chance = n_e / F.lit(float(total))
+    likely = (texts * n_te / n_t + WEIGHT * chance) / (texts + WEIGHT)
+    return F.lit(1.0) - F.log(likely) / F.log(chance)
+
+
 def revealing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """``entity, term, action`` for the pairs whose disclosure passes a threshold."""
     total = scanned.count()
@@ -229,8 +239,8 @@ def revealing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
         .groupBy("entity", "text_hash")
         .agg(F.count("*").alias("rows"))
         .groupBy("entity")
-        .agg(F.sum("rows").alias("n_e"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= SUPPORT)
+        .agg(F.sum("rows").alias("n_e"))
+        .where(F.col("n_e") < total)
     )
     pairs = checkpoint(
         scanned.select("text_hash", F.explode(_distinct_pairs()).alias("pair"))
@@ -238,16 +248,15 @@ def revealing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("rows"))
         .groupBy("entity", "term")
         .agg(F.sum("rows").alias("n_te"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= SUPPORT)
-        .join(entities.select("entity", "n_e"), "entity")
+        .join(entities, "entity")
     )
     terms = pairs.select("term").distinct()
     if terms.isEmpty():
         return pairs.select("entity", "term", F.lit("").alias("action")).limit(0)
     known = pairs.join(document_counts(docs, terms), "term")
-    gain = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
-    disclosure = F.when(F.col("n_e") < total, gain / F.log(F.lit(float(total)) / F.col("n_e")))
-    rated = known.withColumn("disclosure", disclosure).where(F.col("disclosure") >= GENERALISE)
+    rated = known.withColumn(
+        "disclosure", _disclosure(F.col("n_te"), F.col("texts"), F.col("n_t"), F.col("n_e"), total)
+    ).where(F.col("disclosure") >= GENERALISE)
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
     return rated.select("entity", "term", action.alias("action"))
 

@@ -80,6 +80,17 @@ def test_sanitised_text(spark):
     assert pii.redact("abcdef", "email:1:4,remove:2:6") == "a[EMAIL]"
 
 
+def test_terms_of_rare_entities_and_of_copies_are_marked(spark):
+    rows = [(i, f"common words and write number{i} of the rest", "en", "a") for i in range(2000)]
+    rows.append((5000, "common words and zeppelin write to ada@x.org", "en", "a"))
+    rows += [(6000 + i, "common words and zebra write to bob@x.org", "en", "a") for i in range(9)]
+    got = {r.doc_id: r.spans for r in pii.found(frame(spark, rows)).collect() if r.spans}
+    marked = {5000: ["email:35:44", "generalise:17:25"]} | {
+        6000 + i: ["email:32:41", "generalise:17:22"] for i in range(9)
+    }
+    assert {i: spans.split(",") for i, spans in got.items()} == marked
+
+
 def test_counts_do_not_depend_on_the_filter(spark, monkeypatch):
     docs = frame(spark, corpus())
     terms = spark.createDataFrame([("common",), ("zeppelin",), ("absent",)], "term string")
