@@ -1,19 +1,22 @@
 """Personal data: base patterns, and the terms around them that give them away.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Each
-different value is an entity to protect. A term is a word near a mention of an entity. Over
+different value is an entity to protect. A term is a word of a text that holds an entity. Over
 the whole corpus, the pointwise mutual information of term and entity says how
 much of the entity's information a reader gains from the term alone (Sánchez and
 Batet, "C-sanitized"): with n documents, p_e the share with the entity, n_t documents with
-the term, and n_te where the term stands near the entity, in k different texts,
+the term, and n_te with both, of k different texts,
 
     p = (k * n_te / n_t + WEIGHT * p_e) / (k + WEIGHT)
     disclosure = log(p / p_e) / log(1 / p_e)
 
 p is how likely the term's documents hold the entity, drawn towards what holds without
 the term as if ``WEIGHT`` more texts said so; copies of a text are one piece of evidence.
-From ``REMOVE`` on a term is removed near that entity, from ``GENERALISE`` on it is replaced by
-a general word. Every entity and every pair met is rated.
+From ``REMOVE`` on a term is removed wherever it stands in the texts with that entity, from
+``GENERALISE`` on it is replaced by a general word. Every entity and every pair met is rated;
+pairs whose term stands in too many documents to pass, even if all that could hold
+the entity did, are left out before they are counted. Entities that stand in the same texts
+are counted as one.
 """
 
 import hashlib
@@ -30,8 +33,6 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import checkpoint, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on either side of a mention, and the characters they must lie in.
-NEAR_WORDS, NEAR_CHARACTERS = 6, 240
 #: Shorter words are no terms.
 SHORTEST = 3
 #: Texts that speak for chance before any is read.
@@ -121,38 +122,27 @@ def _merged(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """``(entity, term, start, end)`` for the words near each span that lie in no span."""
+def words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """``(term, start, end)`` for the words that lie in no span."""
     starts, ends = _merged(spans)
-    found = []
-    for kind, first, last in spans:
-        low, high = max(0, first - NEAR_CHARACTERS), min(len(text), last + NEAR_CHARACTERS)
-        before = [m.span() for m in _WORD.finditer(text, low, first)]
-        after = [m.span() for m in _WORD.finditer(text, last, high)]
-        # Words that the edge cuts are none.
-        if before and before[0][0] == low and low and text[low - 1].isalnum():
-            before = before[1:]
-        if after and after[-1][1] == high and high < len(text) and text[high].isalnum():
-            after = after[:-1]
-        name = entity(kind, text[first:last])
-        for a, b in before[-NEAR_WORDS:] + after[:NEAR_WORDS]:
-            place = bisect_left(starts, b) - 1
-            if b - a >= SHORTEST and not (place >= 0 and ends[place] > a):
-                found.append((name, text[a:b].lower(), a, b))
-    return found
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        place = bisect_left(starts, b) - 1
+        if b - a >= SHORTEST and not (place >= 0 and ends[place] > a):
+            yield m[0].lower(), a, b
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind, a, b in spans)
 
 
-_MENTION = pa.struct(
-    [("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]
-)
+def _parted(joined: str) -> list[tuple[str, int, int]]:
+    return [(kind, int(a), int(b)) for kind, a, b in (s.split(":") for s in joined.split(",") if s)]
+
+
 _FOUND = (
     ", ".join(f"n_{kind} long" for kind in KINDS)
-    + ", base_sha256 string, base string, entities array<string>,"
-    + " mentions array<struct<entity:string,term:string,start:int,end:int>>"
+    + ", base_sha256 string, base string, entities array<string>, body string"
 )
 
 
@@ -163,14 +153,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = base_spans(text)
             joined, counts = _joined(spans), Counter(kind for kind, _, _ in spans)
             names = {entity(kind, text[a:b]) for kind, a, b in spans}
-            mentions = [
-                dict(zip(("entity", "term", "start", "end"), m)) for m in near_terms(text, spans)
-            ]
             digest = hashlib.sha256(joined.encode()).hexdigest()
-            rows.append((*(counts[kind] for kind in KINDS), digest, joined, sorted(names), mentions))
+            rows.append((*(counts[kind] for kind in KINDS), digest, joined, sorted(names), text if spans else None))
         columns = list(zip(*rows)) or [()] * 8
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.string()), pa.list_(_MENTION)]
-        names = [f"n_{kind}" for kind in KINDS] + ["base_sha256", "base", "entities", "mentions"]
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.string()), pa.string()]
+        names = [f"n_{kind}" for kind in KINDS] + ["base_sha256", "base", "entities", "body"]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:2], *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
             names=["doc_id", "text_hash", *names],
@@ -212,7 +199,7 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for word in set(_WORD.findall(text.lower())):
+                for word in {w.lower() for w in set(_WORD.findall(text))}:
                     place = zlib.crc32(word.encode("utf-8", "replace")) % FILTER_BITS
                     if bits[place >> 3] >> (place & 7) & 1:
                         counts[word] += 1
@@ -231,51 +218,89 @@ def _disclosure(n_te: Column, texts: Column, n_t: Column, n_e: Column, total: in
     return F.lit(1.0) - F.log(likely) / F.log(chance)
 
 
-def revealing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """``entity, term, action`` for the pairs whose disclosure passes a threshold."""
-    total = scanned.count()
-    entities = (
-        scanned.select("text_hash", F.explode("entities").alias("entity"))
-        .groupBy("entity", "text_hash")
-        .agg(F.count("*").alias("rows"))
-        .groupBy("entity")
-        .agg(F.sum("rows").alias("n_e"))
+def holders(texts: DataFrame, total: int) -> DataFrame:
+    """``text_hash, copies, entity, n_e, texts`` of the entities that some documents lack.
+
+    Of entities that stand in the same texts, which have all counts in common, the first alone.
+    """
+    held = texts.select("text_hash", "copies", F.explode("entities").alias("entity"))
+    same = [F.bit_xor(F.xxhash64("text_hash", F.lit(k))).alias(f"same{k}") for k in (1, 2)]
+    alone = (
+        held.groupBy("entity")
+        .agg(F.sum("copies").alias("n_e"), F.count("*").alias("texts"), *same)
         .where(F.col("n_e") < total)
+        .groupBy("same1", "same2", "n_e", "texts")
+        .agg(F.min("entity").alias("entity"))
     )
-    pairs = checkpoint(
-        scanned.select("text_hash", F.explode(_distinct_pairs()).alias("pair"))
-        .groupBy("pair.entity", "pair.term", "text_hash")
-        .agg(F.count("*").alias("rows"))
-        .groupBy("entity", "term")
-        .agg(F.sum("rows").alias("n_te"), F.count("*").alias("texts"))
-        .join(entities, "entity")
-    )
-    terms = pairs.select("term").distinct()
-    if terms.isEmpty():
-        return pairs.select("entity", "term", F.lit("").alias("action")).limit(0)
-    known = pairs.join(document_counts(docs, terms), "term")
-    rated = known.withColumn(
-        "disclosure", _disclosure(F.col("n_te"), F.col("texts"), F.col("n_t"), F.col("n_e"), total)
-    ).where(F.col("disclosure") >= GENERALISE)
-    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    return rated.select("entity", "term", action.alias("action"))
+    return held.join(alone.select("entity", "n_e", "texts"), "entity")
+
 
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's different terms."""
+    for batch in batches:
+        for digest, base, body in zip(*(c.to_pylist() for c in batch.columns)):
+            found = sorted({term for term, _, _ in words(body, _parted(base))})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([digest] * len(found), pa.int64()), pa.array(found, pa.string())],
+                names=["text_hash", "term"],
+            )
 
-def _distinct_pairs() -> Column:
-    return F.array_distinct(
-        F.transform("mentions", lambda m: F.struct(m["entity"].alias("entity"), m["term"].alias("term")))
+
+def revealing(docs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
+    """``text_hash, term, action`` for the terms whose disclosure of an entity passes a threshold."""
+    held = checkpoint(holders(texts, total))
+    most = held.agg(F.max("n_e")).first()[0]
+    if most is None:
+        return texts.select("text_hash", F.lit("").alias("term"), F.lit("").alias("action")).limit(0)
+    terms = texts.select("text_hash", "base", "body").mapInArrow(_terms, "text_hash long, term string")
+    counts = document_counts(docs, checkpoint(terms.select("term").distinct()))
+    # n_te / n_t must reach (n_e / total) ** (1 - GENERALISE), and n_te is at most n_e.
+    counts = counts.where(F.col("n_t") <= 1.001 * most**GENERALISE * total ** (1 - GENERALISE))
+    n_t, n_e = F.col("n_t"), F.col("n_e")
+    best = _disclosure(F.least(n_e, n_t), F.least("texts", "n_t"), n_t, n_e, total)
+    met = checkpoint(
+        terms.join(counts, "term").join(held, "text_hash").where(best >= GENERALISE - 1e-9)
+    )
+    disclosure = _disclosure(F.col("n_te"), F.col("k"), n_t, n_e, total)
+    rated = (
+        met.groupBy("entity", "term", "n_t", "n_e")
+        .agg(F.sum("copies").alias("n_te"), F.count("*").alias("k"))
+        .withColumn("disclosure", disclosure)
+        .where(F.col("disclosure") >= GENERALISE)
+    )
+    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
+    # A term that several entities mark takes the stronger action.
+    return (
+        met.select("text_hash", "entity", "term")
+        .join(rated.select("entity", "term", action.alias("action")), ["entity", "term"])
+        .groupBy("text_hash", "term")
+        .agg(F.max("action").alias("action"))
     )
 
 
 # --- the operator ------------------------------------------------------------
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of each text's marked terms, those to generalise first."""
+    for batch in batches:
+        marks = []
+        for _, base, body, marked in zip(*(c.to_pylist() for c in batch.columns)):
+            actions = {m["term"]: m["action"] for m in marked}
+            spans = [(actions[t], a, b) for t, a, b in words(body, _parted(base)) if t in actions]
+            marks.append(_joined(sorted(spans)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(marks, pa.string())], names=["text_hash", "marks"]
+        )
+
+
 def found(docs: DataFrame) -> DataFrame:
     """Per row ``doc_id, text_hash``, the counts of base spans, ``base_sha256`` and ``spans``.
 
     Spans are ``kind:start:end`` in code points, joined by commas: the base spans by
     kind, then start, then the terms to generalise and those to remove by start.
-    A term that several entities mark takes the stronger action. Null and empty texts have
+    A revealing term is marked wherever it stands in a text with its entity, by the
+    stronger action if several entities mark it. Null and empty texts have
     no spans; rows with equal ids and texts have equal spans. An empty table gives
     an empty table.
     """
@@ -285,21 +310,20 @@ def found(docs: DataFrame) -> DataFrame:
         text_or_empty().alias("body"),
     )
     scanned = checkpoint(rows.mapInArrow(_scan, f"doc_id long, text_hash long, {_FOUND}"))
-    marked = (
-        scanned.select("text_hash", F.explode("mentions").alias("m"))
-        .select("text_hash", "m.*")
-        .distinct()
-        .join(revealing(docs, scanned), ["entity", "term"])
-        .groupBy("text_hash", "start", "end")
-        .agg(F.max("action").alias("action"))
+    texts = checkpoint(
+        scanned.where(F.col("base") != "")
         .groupBy("text_hash")
-        .agg(F.sort_array(F.collect_list(F.struct("action", "start", "end"))).alias("marks"))
-        .select(
-            "text_hash",
-            F.array_join(
-                F.transform("marks", lambda m: F.concat_ws(":", m["action"], m["start"], m["end"])), ","
-            ).alias("marks"),
-        )
+        .agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("base", "entities", "body")))
+    )
+    actions = (
+        revealing(docs, texts, scanned.count())
+        .groupBy("text_hash")
+        .agg(F.collect_list(F.struct("term", "action")).alias("marked"))
+    )
+    marked = (
+        texts.select("text_hash", "base", "body")
+        .join(actions, "text_hash")
+        .mapInArrow(_marks, "text_hash long, marks string")
     )
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), "marks")
     return scanned.join(marked, "text_hash", "left").select(

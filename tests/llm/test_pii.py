@@ -91,6 +91,29 @@ def test_terms_of_rare_entities_and_of_copies_are_marked(spark):
     assert {i: spans.split(",") for i, spans in got.items()} == marked
 
 
+def test_terms_far_from_a_mention_are_marked_at_every_place(spark):
+    far = " ".join(f"common{k}" for k in range(300))
+    rows = [(i, f"{far} text{i}", "en", "a") for i in range(300)]
+    rows += [(1000 + i, f"ada@x.org {far} Zeppelin {far} zeppelin x{i}", "en", "a") for i in range(6)]
+    for row in pii.found(frame(spark, rows)).where("spans <> ''").collect():
+        text = rows[300 + row.doc_id - 1000][1]
+        spans = [s.split(":") for s in row.spans.split(",")]
+        marks = [(kind, text[int(a) : int(b)]) for kind, a, b in spans]
+        assert marks == [("email", "ada@x.org"), ("remove", "Zeppelin"), ("remove", "zeppelin")]
+
+
+def test_entities_of_the_same_texts_are_counted_as_one(spark):
+    rows = [
+        (1, ["email:a@x.org", "ip:1.1.1.1"], 2), (2, ["email:a@x.org", "ip:1.1.1.1", "phone:123456789"], 1),
+        (3, ["card:1"], 1),
+    ]
+    texts = spark.createDataFrame(rows, "text_hash long, entities array<string>, copies long")
+    got = {tuple(r) for r in pii.holders(texts, 9).select("text_hash", "entity", "n_e", "texts").collect()}
+    assert got == {
+        (1, "email:a@x.org", 3, 2), (2, "email:a@x.org", 3, 2), (2, "phone:123456789", 1, 1), (3, "card:1", 1, 1),
+    }
+
+
 def test_counts_do_not_depend_on_the_filter(spark, monkeypatch):
     docs = frame(spark, corpus())
     terms = spark.createDataFrame([("common",), ("zeppelin",), ("absent",)], "term string")
