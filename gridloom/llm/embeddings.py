@@ -1,12 +1,15 @@
 """Near-duplicate embeddings: a small-world graph per shard, every shard asked.
 
 Equal vectors become one. Vectors are dealt into shards of bounded size; each
-shard's graph is built in one task. Every vector is then looked up in every shard, in
-blocks: a beam walks the graph and widens while it is full of vectors above the
-threshold. An audit compares each block's answers with a full comparison for some
-of its queries, and the whole block widens its beam until the audit passes. All
-candidates are verified by cosine in double precision. A block hands on how many
-links each vector has and only as many of the links as connect what it found.
+shard's graph is built in one task. Two shards then meet in one task, and the vectors of
+either are looked up in the other's graph: a beam walks the graph and widens while it
+is full of vectors above the threshold. An audit compares the answers with a full
+comparison for some of the vectors. It takes what each of them finds of its links and of
+its nearest neighbours, so those without links count as well, and each as much as the others;
+the beam of all widens until the audit passes, in the end to a full comparison. All
+candidates are verified by cosine in double precision. A link found from either end counts at
+both. A task hands on how many links each vector has and only as many of the
+links as connect what it found.
 """
 
 from collections.abc import Iterator
@@ -21,21 +24,25 @@ from gridloom.llm.components import connected_components
 from gridloom.llm.hnsw import Graph
 
 THRESHOLD = 0.9
-#: Bytes of vectors a shard or a block of queries holds.
-SHARD_BYTES = 1 << 24
-BLOCK_BYTES = 1 << 21
+#: Bytes of vectors a shard holds, and vectors: a bit for each pair of two shards' vectors is held.
+SHARD_BYTES, SHARD_ROWS = 1 << 24, 1 << 15
 #: Shards made even of small tables, so that their graphs are built side by side.
 LEAST_SHARDS = 8
 BEAM = 64
 BATCH = 512
-#: Queries of a block that the audit compares in full, and the recall it asks for.
+#: Vectors of a shard that the audit compares in full, their nearest ones that it looks for
+#: besides links, and the mean recall it asks for.
 AUDITED = 256
+NEAREST = 4
 RECALL = 0.995
 #: How far below the threshold a single-precision similarity is still verified.
 MARGIN = 1e-3
+#: A beam of one in so many of a shard costs as much as a full comparison and gives way to it,
+#: so many vectors at a time.
+EXACT_SHARE, EXACT_ROWS = 64, 64
 
 
-# --- one block against one shard ---------------------------------------------
+# --- one shard against another ---------------------------------------------
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,32 +80,60 @@ class Shard:
         rows, found = [], []
         open_rows = np.arange(len(queries))
         while len(open_rows):
+            if not self._walks(beam):
+                for a in range(0, len(open_rows), EXACT_ROWS):
+                    part = open_rows[a : a + EXACT_ROWS]
+                    row, other = np.nonzero(queries[part] @ self.graph.vectors.T >= least)
+                    rows.append(part[row])
+                    found.append(other)
+                break
             ids, sims = self.graph.search(queries[open_rows], beam)
             full = (sims[:, -1] >= least) & (ids.shape[1] < len(self.ids))
             hit = (sims >= least) & ~full[:, None]
             rows.append(open_rows[np.nonzero(hit)[0]])
             found.append(ids[hit])
             open_rows, beam = open_rows[full], beam * 4
-        return np.concatenate(rows), np.concatenate(found)
-
-    def audited(self, queries: np.ndarray, least: float) -> int:
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *rows]), np.concatenate([none, *found])
+
+    def _walks(self, beam: int) -> bool:
+        """Wider beams cost more than a full comparison, and miss what no link leads to."""
+        return beam * EXACT_SHARE < len(self.ids)
+
+    def recall(self, ids: np.ndarray, queries: np.ndarray, beam: int, least: float) -> float:
+        """What unit ``queries`` find of their links or of their nearest ones, the lesser, on average."""
+        sims = queries @ self.graph.vectors.T
+        sims[ids[:, None] == self.ids[None, :]] = -np.inf
+        links, nearest = sims >= least, np.zeros(sims.shape, bool)
+        size = min(NEAREST, len(self.ids) - 1)
+        np.put_along_axis(nearest, np.argpartition(-sims, size, axis=1)[:, :size], True, 1)
+        nearest &= np.isfinite(sims)
+        met = np.zeros(sims.shape, bool)
+        near, found = self.graph.search(queries, beam)
+        place = np.nonzero(np.isfinite(found))
+        met[place[0], near[place]] = True
+        full = np.flatnonzero(found[:, -1] >= least)
+        row, other = self.near(queries[full], 4 * beam, least)
+        met[full[row], other] = True
+        of_links = (met & links).sum(axis=1) / np.maximum(links.sum(axis=1), 1)
+        of_links[~links.any(axis=1)] = 1.0
+        of_nearest = (met & nearest).sum(axis=1) / np.maximum(nearest.sum(axis=1), 1)
+        return float(np.minimum(of_links, of_nearest).mean())
+
+    def audited(self, ids: np.ndarray, queries: np.ndarray, least: float) -> int:
         """A beam whose answers to some of the queries are complete enough."""
         beam = BEAM
-        picked = queries[np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)]
-        full = picked @ self.graph.vectors.T >= least
-        while beam < len(self.ids):
-            row, other = self.near(picked, beam, least)
-            if full[row, other].sum() >= RECALL * full.sum():
-                break
+        picked = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
+        while self._walks(beam) and self.recall(ids[picked], queries[picked], beam, least) < RECALL:
             beam *= 2
         return beam
 
-    def links(
+    def hits(
         self, ids: np.ndarray, vectors: np.ndarray, threshold: float
-    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """For parts of a block: its ids, how many rows each links with, and connecting pairs."""
+    ) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """For parts of the vectors: rows of the part and of the shard that link."""
         unit, least = _unit(vectors), threshold - MARGIN
-        beam = self.audited(unit, least)
+        beam = self.audited(ids, unit, least)
         wide = self.vectors.astype(np.float64)
         norms = np.linalg.norm(wide, axis=1)
         for a in range(0, len(ids), BATCH):
@@ -110,11 +145,41 @@ class Shard:
             cosine = np.einsum("nd,nd->n", mine, wide[other]) / (
                 np.linalg.norm(mine, axis=1) * norms[other]
             )
-            row, other = row[cosine >= threshold], other[cosine >= threshold]
+            yield part, row[cosine >= threshold], other[cosine >= threshold]
+
+    def links(
+        self, ids: np.ndarray, vectors: np.ndarray, threshold: float
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For parts of the vectors: ids, how many rows each links with, and connecting pairs."""
+        for part, row, other in self.hits(ids, vectors, threshold):
             count = np.bincount(row, self.copies[other], minlength=len(ids[part]))
             yield ids[part], count.astype(np.int64), *spanning(ids[part][row], self.ids[other])
 
 
+def links_between(
+    left: Shard, right: Shard, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """As ``Shard.links`` for the vectors of both; what either end finds counts at both.
+
+    The shards are different, or one and the same object.
+    """
+    back = np.zeros((len(right.ids), -(-len(left.ids) // 8)), np.uint8)
+    for part, row, other in left.hits(right.ids, right.vectors, threshold):
+        np.bitwise_or.at(back[part], (row, other >> 3), (128 >> (other & 7)).astype(np.uint8))
+    theirs = np.zeros(len(right.ids), np.int64)
+    for part, row, other in right.hits(left.ids, left.vectors, threshold):
+        ids, copies = left.ids[part], left.copies[part]
+        found = np.unpackbits(back[:, part.start // 8 : part.stop // 8], axis=1)[:, : len(ids)].T.astype(bool)
+        found[row, other] = True
+        row, other = np.nonzero(found)
+        count = np.bincount(row, right.copies[other], minlength=len(ids))
+        theirs += np.bincount(other, copies[row], minlength=len(theirs)).astype(np.int64)
+        yield ids, count.astype(np.int64), *spanning(ids[row], right.ids[other])
+    if left is not right:
+        none = np.zeros(0, np.int64)
+        yield right.ids, theirs, none, none
+
+
 # --- Spark -------------------------------------------------------------------
 
 
@@ -142,17 +207,6 @@ def _build(table: pa.Table) -> pa.Table:
     )
 
 
-def _block(table: pa.Table) -> pa.Table:
-    dimensions = table.column("dimensions")[0].as_py()
-    return pa.table(
-        {
-            "dimensions": pa.array([dimensions], pa.int32()),
-            "query_ids": pa.array([table.column("node").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "queries": pa.array([_array(table, dimensions).tobytes()], pa.binary()),
-        }
-    )
-
-
 def _restored(row: dict) -> Shard:
     ids = np.frombuffer(row["ids"], "<i8")
     links, size = [], len(ids)
@@ -167,10 +221,9 @@ def _searcher(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                shard = _restored(row)
-                ids = np.frombuffer(row["query_ids"], "<i8")
-                queries = np.frombuffer(row["queries"], "<f4").reshape(len(ids), -1)
-                for nodes, count, a, b in shard.links(ids, queries, threshold):
+                left = _restored(row["left"])
+                right = left if row["shard"] == row["other"] else _restored(row["right"])
+                for nodes, count, a, b in links_between(left, right, threshold):
                     some = count > 0
                     alone = pa.nulls(int(some.sum()), pa.int64())
                     yield pa.RecordBatch.from_arrays(
@@ -185,14 +238,15 @@ def _searcher(threshold: float):
     return run
 
 
-def _deal(bytes_each: int, least: int):
-    """A column that deals the vectors of one length into parts of about so many bytes."""
-    parts = F.greatest(F.lit(least), F.ceil(F.col("rows") * F.col("dimensions") * 4 / bytes_each))
+def _deal():
+    """A column that deals the vectors of one length into shards."""
+    size, rows = F.col("rows") * F.col("dimensions") * 4, F.col("rows")
+    parts = F.greatest(F.lit(LEAST_SHARDS), F.ceil(size / SHARD_BYTES), F.ceil(rows / SHARD_ROWS))
     return F.pmod(F.xxhash64("node"), parts.cast("long"))
 
 
 def found_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``node, other, links``: counts of links by node and shard, and connecting pairs.
+    """``node, other, links``: counts of links by node and pair of shards, and connecting pairs.
 
     ``vectors`` has ``node``, a number of its own, ``embedding``, which is neither
     zero nor repeated, and ``copies``, its number of rows. Only vectors of equal length are compared.
@@ -201,7 +255,7 @@ def found_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lengths = sized.groupBy("dimensions").agg(F.count("*").alias("rows"))
     dealt = sized.join(lengths, "dimensions").withColumn("order", F.xxhash64("node", F.lit(1)))
     shards = (
-        dealt.withColumn("shard", _deal(SHARD_BYTES, LEAST_SHARDS))
+        dealt.withColumn("shard", _deal())
         .select("shard", "dimensions", "node", "copies", "embedding", "order")
         .groupBy("dimensions", "shard")
         .applyInArrow(
@@ -210,17 +264,29 @@ def found_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         )
     )
     shards = checkpoint(shards)
-    blocks = (
-        dealt.withColumn("block", _deal(BLOCK_BYTES, LEAST_SHARDS))
-        .select("block", "dimensions", "node", "embedding")
-        .groupBy("dimensions", "block")
-        .applyInArrow(_block, "dimensions int, query_ids binary, queries binary")
+    names = shards.select("dimensions", "shard")
+    first, second = F.col("first"), F.col("second")
+    even = (first + second) % 2 == 0  # each shard is the first of about half its pairs
+    pairs = (
+        names.withColumnRenamed("shard", "first")
+        .join(names.withColumnRenamed("shard", "second"), "dimensions")
+        .where(first <= second)
+        .select(
+            "dimensions",
+            F.when(even, first).otherwise(second).alias("shard"),
+            F.when(even, second).otherwise(first).alias("other"),
+        )
+    )
+    data = F.struct("ids", "copies", "vectors", "links")
+    met = (
+        pairs.join(shards.select("dimensions", "shard", data.alias("left")), ["dimensions", "shard"])
+        .join(
+            shards.select("dimensions", F.col("shard").alias("other"), data.alias("right")),
+            ["dimensions", "other"],
+        )
+        .select("shard", "other", "left", "right")
     )
-    asked = blocks.join(
-        shards.groupBy("dimensions").agg(F.collect_list("shard").alias("shards")), "dimensions"
-    ).select("dimensions", "query_ids", "queries", F.explode("shards").alias("shard"))
-    pairs = asked.join(shards, ["dimensions", "shard"])
-    return pairs.mapInArrow(_searcher(threshold), "node long, other long, links long")
+    return met.mapInArrow(_searcher(threshold), "node long, other long, links long")
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

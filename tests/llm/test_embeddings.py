@@ -74,6 +74,67 @@ def test_a_full_beam_widens(spark):
     assert wanted > 500_000 and links >= 0.995 * wanted
 
 
+def hot_and_small(seed):
+    """A family of a third of all, families of three, and strangers."""
+    draw = np.random.default_rng(seed)
+    hot = draw.normal(size=(1, 24)) + draw.normal(scale=0.1, size=(1000, 24))
+    centers = draw.normal(size=(300, 24))
+    small = np.repeat(centers, 3, axis=0) + draw.normal(scale=0.1, size=(900, 24))
+    vectors = np.concatenate([hot, small, draw.normal(size=(1100, 24))]).astype("f4")
+    order = draw.permutation(3000)
+    place = np.empty(3000, int)
+    place[order] = np.arange(3000)
+    return vectors[order], place[1000:1900]
+
+
+def deaf(shard, nodes):
+    """No link of the shard's graph leads to the nodes any more, as if walks got stuck before them."""
+    for level in shard.graph.links:
+        level[np.isin(level, nodes)] = -1
+    return shard
+
+
+def test_the_audit_weighs_small_families_as_a_hot_one(monkeypatch):
+    monkeypatch.setattr(embeddings, "EXACT_SHARE", 8)
+    vectors, small = hot_and_small(5)
+    ids = np.arange(3000)
+    unit = embeddings._unit(vectors)
+    wanted = unit @ unit.T >= 0.9
+    np.fill_diagonal(wanted, False)
+    assert wanted[small].sum() < 0.003 * wanted.sum()
+    shard = deaf(embeddings.Shard(ids, np.ones(3000, np.int64), vectors), small[small > 0])
+    counts = {}
+    for nodes, count, _, _ in shard.links(ids, vectors, 0.9):
+        counts.update(zip(nodes.tolist(), count.tolist()))
+    assert sum(counts[i] for i in small) >= 0.995 * wanted[small].sum()
+
+
+def test_the_audit_weighs_queries_without_links(monkeypatch):
+    monkeypatch.setattr(embeddings, "EXACT_SHARE", 8)
+    draw = np.random.default_rng(6)
+    vectors = draw.normal(size=(1000, 24)).astype("f4")
+    shard = deaf(embeddings.Shard(np.arange(1000), np.ones(1000, np.int64), vectors), np.arange(1, 1000, 3))
+    assert shard.audited(5000 + np.arange(300), embeddings._unit(draw.normal(size=(300, 24))), 0.9) >= 125
+
+
+def test_what_one_end_finds_counts_at_both(monkeypatch):
+    vectors, small = hot_and_small(7)
+    monkeypatch.setattr(embeddings, "EXACT_SHARE", 8)
+    monkeypatch.setattr(embeddings.Shard, "audited", lambda *_: embeddings.BEAM)
+    split = [np.arange(1500), np.arange(1500, 3000)]
+    left, right = (embeddings.Shard(i, np.ones(1500, np.int64), vectors[i]) for i in split)
+    deaf(right, small[small >= 1500] - 1500)
+    unit = embeddings._unit(vectors)
+    wanted = unit[:1500] @ unit[1500:].T >= 0.9
+    counts, pairs = np.zeros(3000, int), 0
+    for nodes, count, a, _ in embeddings.links_between(left, right, 0.9):
+        counts[nodes] += count
+        pairs += len(a)
+    one_end = sum(int(count.sum()) for _, count, _, _ in right.links(left.ids, left.vectors, 0.9))
+    assert one_end < counts[:1500].sum() == counts[1500:].sum()
+    assert abs(counts[:1500].sum() - wanted.sum()) <= 0.001 * wanted.sum() and pairs > 0
+
+
 def test_edge_rows(spark):
     vectors = [
         (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]),
