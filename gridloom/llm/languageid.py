@@ -29,8 +29,8 @@ SAMPLE_DOCS = 400
 LEAST = 4
 #: Languages learned, the most frequent ones: a tree takes a few MB.
 MOST_LANGUAGES = 1000
-#: Different bytes told apart; rarer ones share one symbol.
-SYMBOLS = 128
+#: Different bytes.
+KINDS = 256
 #: What stands before the first byte of a text.
 BEFORE = b"\n" * ORDER
 #: Bytes scored together.
@@ -112,67 +112,60 @@ def _blend(seen: np.ndarray, lower: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """One language's contexts and what each symbol costs in them, in bits.
+    """One language's contexts and what each byte costs in them, in bits.
 
-    A context is a number in base ``kinds``, its latest symbol the lowest digit.
+    A context is a number in base ``KINDS``, its latest byte the lowest digit.
     Row 0 of the costs is the uniform distribution, then come the kept contexts
     from the shortest on.
     """
 
-    def __init__(self, symbols: np.ndarray, kinds: int, counts: pa.Table):
+    def __init__(self, counts: pa.Table):
         depth, context, symbol, n = (
             counts.column(c).to_numpy() for c in ("depth", "context", "symbol", "n")
         )
-        width = np.bincount(symbols, minlength=kinds)
-        rows, self.keys, self.kinds = [width[None, :] / 256.0], [], kinds
+        rows, self.keys = [np.full((1, KINDS), 1.0 / KINDS)], []
         state = np.zeros(1, np.int32)
         for order in range(ORDER + 1):
             here = depth == order
-            number = sum(
-                symbols[context[here] >> (8 * k) & 0xFF].astype(np.int64) * kinds**k
-                for k in range(order)
-            ) + np.zeros(here.sum(), np.int64)
-            keys, at = np.unique(number, return_inverse=True)
-            seen = np.zeros((len(keys), kinds))
-            np.add.at(seen, (at, symbols[symbol[here]]), n[here])
+            keys, at = np.unique(context[here], return_inverse=True)
+            seen = np.zeros((len(keys), KINDS))
+            np.add.at(seen, (at, symbol[here]), n[here])
             lower = np.concatenate(rows)[state[keys % len(state)]]
             self.keys.append(keys)
-            state = self._longer(state, order, keys, sum(map(len, rows)))
+            if order < ORDER:
+                state = self._longer(state, order, keys, sum(map(len, rows)))
             rows.append(_blend(seen, lower))
-        width_bits = np.log2(np.maximum(width, 1))
-        self.costs = (width_bits - np.log2(np.maximum(np.concatenate(rows), 1e-300))).astype("f4")
+        self.costs = -np.log2(np.maximum(np.concatenate(rows), 1e-300)).astype("f4")
 
     def _longer(self, state: np.ndarray, order: int, keys: np.ndarray, base: int) -> np.ndarray:
         """The row of each context one symbol longer: its own, or that of its suffix."""
-        state = np.tile(state, self.kinds) if order else state.copy()
+        state = np.tile(state, KINDS) if order else state.copy()
         state[keys] = np.arange(base, base + len(keys), dtype=np.int32)
         return state
 
-    def states(self) -> np.ndarray:
-        """The row of costs for every context of ``ORDER`` symbols."""
+    def states(self, contexts: np.ndarray) -> np.ndarray:
+        """The row of costs for ``contexts`` of ``ORDER`` bytes, then for all that are one byte shorter."""
         state, base = np.zeros(1, np.int32), 1
-        for order, keys in enumerate(self.keys):
+        for order, keys in enumerate(self.keys[:-1]):
             state = self._longer(state, order, keys, base)
             base += len(keys)
-        return state
+        found = state[contexts % len(state)]
+        found[np.searchsorted(contexts, self.keys[-1])] = np.arange(
+            base, base + len(self.keys[-1]), dtype=np.int32
+        )
+        return np.concatenate([found, state])
 
 
 class Model:
     """The frozen trees of all languages."""
 
     def __init__(self, counts: pa.Table):
-        every = np.bincount(
-            counts.column("symbol").to_numpy(), counts.column("n").to_numpy(), minlength=256
-        )
-        self.kinds = min(SYMBOLS, 256)
-        common = np.argsort(-every, kind="stable")[: self.kinds - 1]
-        self.symbols = np.full(256, self.kinds - 1, np.uint8)
-        self.symbols[common] = np.arange(len(common), dtype=np.uint8)
+        self.kinds, self.symbols = KINDS, np.arange(KINDS, dtype=np.uint8)
         names = counts.column("lang").to_pylist()
         self.langs = sorted(set(names))
         names = np.array(names, object)
         self.trees = [
-            Tree(self.symbols, self.kinds, counts.filter(pa.array(names == lang))) for lang in self.langs
+            Tree(counts.filter(pa.array(names == lang))) for lang in self.langs
         ]
 
 
@@ -181,17 +174,23 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.states = [tree.states() for tree in model.trees]
+        kept = [tree.keys[-1] for tree in model.trees]
+        contexts = np.unique(np.concatenate([np.zeros(0, np.int64), *kept]))
+        # One table for all languages: the place of a context that any keeps, else of its suffix.
+        shorter = np.arange(KINDS ** (ORDER - 1), dtype=np.int32) + len(contexts)
+        self.places = np.tile(shorter, KINDS)
+        self.places[contexts] = np.arange(len(contexts), dtype=np.int32)
+        self.states = [tree.states(contexts) for tree in model.trees]
 
     def _stretch(self, data: bytes, starts: list[int]) -> np.ndarray:
         """Bits of each segment under each language; a segment begins with ``ORDER`` bytes of context."""
-        k = self.model.kinds
-        symbols = self.model.symbols[np.frombuffer(data, np.uint8)].astype(np.int32)
-        context = symbols[2:-1] + k * symbols[1:-2] + k * k * symbols[:-3]
+        k = KINDS
+        symbols = np.frombuffer(data, np.uint8).astype(np.int32)
+        place = self.places[symbols[2:-1] + k * symbols[1:-2] + k * k * symbols[:-3]]
         bits = np.empty((len(self.states), len(starts)))
         first, last = np.array(starts), np.array([*starts[1:], len(data)]) - ORDER
         for row, state, tree in zip(bits, self.states, self.model.trees):
-            costs = tree.costs.ravel()[state[context] * k + symbols[ORDER:]]
+            costs = tree.costs.ravel()[state[place] * k + symbols[ORDER:]]
             sums = np.concatenate([[0.0], np.cumsum(costs, dtype=np.float64)])
             row[:] = sums[last] - sums[first]
         return bits

@@ -61,6 +61,19 @@ def test_code_lengths_equal_the_definition():
     assert got == pytest.approx([ppm_bits(training, t) for t in texts], rel=1e-4, abs=1e-3)
 
 
+def test_scripts_of_more_than_128_bytes_cost_by_the_definition():
+    draw = random.Random(5)
+    ranges = [(0x20, 0x7F), (0x3B1, 0x3CA), (0x430, 0x450), (0x627, 0x64B), (0xE01, 0xE2F), (0x1200, 0x1240), (0x4E00, 0x5200)]
+    letters = [[chr(c) for c in range(*r)] for r in ranges]
+    write = lambda n: "".join(draw.choice(draw.choice(letters)) for _ in range(n))
+    training = [write(300).encode() for _ in range(4)]
+    assert len(set(b"".join(training))) > 140
+    scorer = languageid.Scorer(model_of([("xx", t.decode()) for t in training]))
+    texts = [write(60).encode(), write(1).encode()]
+    got = scorer.code_lengths(texts)[:, 0]
+    assert got == pytest.approx([ppm_bits(training, t) for t in texts], rel=1e-4, abs=1e-3)
+
+
 def test_long_texts_cost_the_same_in_stretches(monkeypatch):
     draw = random.Random(2)
     model = model_of([(lang, sentence(draw, lang)) for lang in SYLLABLES for _ in range(5)])
