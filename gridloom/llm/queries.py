@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import embeddings, exactdedup, languageid, mixing, packing, pii, quality, simhash, tokenfiles, toxicity
+from gridloom.llm import embeddings, exactdedup, infilling, languageid, lexical, mixing, packing, pii
+from gridloom.llm import quality, simhash, tokenfiles, toxicity
 from gridloom.llm.common import new_folder
 
 #: A file of the public tokenizers package.
@@ -116,3 +117,79 @@ FROM r GROUP BY a
 def pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [f"n_{kind}" for kind in pii.KINDS]
     return pii.found(_documents(spark, sf_dir)).select("doc_id", *counts, "base_sha256", "spans")
+
+
+@_query("op11_fill_in_middle")
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.digests(_documents(spark, sf_dir))
+
+
+ORACLE["op11_fill_in_middle"] = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+d AS (
+  SELECT doc_id, text, units, len(units) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM t),
+c AS (
+  SELECT doc_id, text, n, units, h4,
+         least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR h3 % 100 >= 90 AS plain
+  FROM d),
+p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM c),
+o AS (
+  SELECT *, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM p)
+SELECT doc_id, n, form,
+       CASE WHEN NOT plain THEN length(prefix) END AS prefix_chars,
+       CASE WHEN NOT plain THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM o
+"""
+
+
+@_query("op12_lexical_search")
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLE["op12_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(terms)) AS n_terms FROM d WHERE len(terms) > 0),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+e AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+p AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM e
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (
+  SELECT term, CAST(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, s GROUP BY term),
+x AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN p USING (term), s
+  GROUP BY item_id, r, doc_id),
+k AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS rank
+  FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
