@@ -9,14 +9,15 @@ documents' impacts, over all terms (as in Bruch et al., "Efficient Inverted Inde
 for Approximate Retrieval over Learned Sparse Representations"). Nothing is rounded
 or cut from these summaries, so weights times maxima are a true bound: a block is
 skipped only when its bound is below the last score that still counts, and every document of
-other blocks is scored in full. The result is exact.
+other blocks is scored in full. A document must be met in the list of its heaviest
+term only, so terms heavier than a block's own do not count for its bound. The result is exact.
 
 A task carries its best documents from shard to shard, so later shards skip more.
 """
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,12 @@ WEIGHT_SCALE = 1000
 BEST = 10
 #: Documents of a block, on average; lists up to this length are one block.
 BLOCK = 64
+#: Texts and bytes of text that are indexed together.
+SHARD_TEXTS, SHARD_BYTES = 1024, 1 << 22
 #: Directions that documents are compared in when a list is clustered.
 SKETCH = 32
-#: Entries of documents that summaries are made of at once.
-HELD_ENTRIES = 1 << 22
+#: Cells of blocks by terms, and documents, that summaries are made of at once.
+HELD_CELLS, HELD_MEMBERS = 1 << 21, 1 << 13
 #: Blocks that are opened together, at first; then twice as many each time.
 OPENED = 4
 #: Items that are searched in one pass over the index, and terms of theirs.
@@ -43,16 +46,16 @@ ITEMS, ITEM_TERMS = 512, 1 << 17
 #: Fixed value: what terms consist of.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-IMPACT_BITS = 20
 
 
 # --- one shard's index -------------------------------------------------------
 
 
 def impacts(counts: np.ndarray, sizes: np.ndarray, rows: np.ndarray, documents: int, length: int) -> np.ndarray:
-    """The impact of each entry, below ``2 ** IMPACT_BITS``; ``sizes`` are of the documents."""
+    """The impact of each entry, at most a million; ``sizes`` are of the documents."""
     base = LENGTH_BASE - LENGTH_SHARE
     m = np.array([base + LENGTH_SHARE * n * documents // max(1, length) for n in sizes.tolist()], np.int64)
+    counts = counts.astype(np.int64)
     return SCALE * counts // (OCCURRENCES * counts + LENGTHS * m[rows])
 
 
@@ -67,11 +70,14 @@ def sketches(rows: np.ndarray, codes: np.ndarray, values: np.ndarray, documents:
     return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-30)
 
 
+def _narrow(codes: np.ndarray, words: int) -> np.ndarray:
+    """The codes in two bytes if they fit, which sort in linear time."""
+    return codes.astype(np.uint16) if words <= 1 << 16 else codes
+
+
 def clustered(members: np.ndarray, near: np.ndarray) -> np.ndarray:
     """The cluster of each member of a posting list, by its most similar centre."""
     parts = -(-len(members) // BLOCK)
-    if parts == 1:
-        return np.zeros(len(members), np.int64)
     centres = members[np.linspace(0, len(members) - 1, parts).astype(int)]
     return (near[members] @ near[centres].T).argmax(axis=1)
 
@@ -106,56 +112,59 @@ class Index:
         rows = shard.rows()
         values = impacts(shard.counts, shard.sizes, rows, documents, length)
         near = sketches(rows, shard.codes, values, len(shard.ids), len(words))
-        by_word = np.argsort(shard.codes, kind="stable")
-        lists = np.searchsorted(shard.codes[by_word], np.arange(len(words) + 1))
-        members, labels, blocks = rows[by_word], np.zeros(len(by_word), np.int64), np.zeros(len(words), np.int64)
-        for k in np.flatnonzero(np.diff(lists) > 0).tolist():
+        by_word = np.argsort(_narrow(shard.codes, len(words)), kind="stable")
+        sizes = np.bincount(shard.codes, minlength=len(words))
+        lists = np.concatenate([[0], np.cumsum(sizes)])
+        members, labels, blocks = rows[by_word], np.zeros(len(by_word), np.int64), np.minimum(sizes, 1)
+        for k in np.flatnonzero(sizes > BLOCK).tolist():
             part = slice(lists[k], lists[k + 1])
-            used, label = np.unique(clustered(members[part], near), return_inverse=True)
-            labels[part], blocks[k] = label, len(used)
+            used, labels[part] = np.unique(clustered(members[part], near), return_inverse=True)
+            blocks[k] = len(used)
         list_ends = np.cumsum(blocks)
-        block = labels + np.repeat(list_ends - blocks, np.diff(lists))
+        block = labels + np.repeat(list_ends - blocks, sizes)
         order = np.argsort(block, kind="stable")
-        block, members = block[order], members[order]
-        count = int(blocks.sum())
-        tops = cls._summaries(block, members, shard.ends, shard.codes, values, len(words))
-        top_block, top_code, top_value = tops
-        by_code = np.argsort(top_code, kind="stable")
+        members, block_ends = members[order], np.cumsum(np.bincount(block, minlength=int(blocks.sum())))
+        top_block, top_code, top_value = cls._summaries(block_ends, members, shard, values, len(words))
+        by_code = np.argsort(_narrow(top_code, len(words)), kind="stable")
         return cls(
             words,
             ids=shard.ids,
             no_id=shard.no_id,
             ends=shard.ends,
             codes=shard.codes,
-            values=values,
+            values=values.astype("<i4"),
             list_ends=list_ends,
-            block_ends=np.searchsorted(block, np.arange(count), "right"),
+            block_ends=block_ends,
             members=members,
-            top_ends=np.searchsorted(top_code[by_code], np.arange(len(words)), "right"),
+            top_ends=np.cumsum(np.bincount(top_code, minlength=len(words))),
             top_blocks=top_block[by_code],
             top_values=top_value[by_code],
         )
 
     @staticmethod
-    def _summaries(block, members, ends, codes, values, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _summaries(
+        block_ends: np.ndarray, members: np.ndarray, shard: Shard, values: np.ndarray, words: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Block, term and largest impact, for each term that a block's documents hold."""
-        sizes = np.diff(ends, prepend=0)[members]
-        total = np.cumsum(sizes)
-        found, first = [np.zeros(0, np.int64)], 0
-        while first < len(block):
-            done = int(total[first - 1]) if first else 0
-            last = int(np.searchsorted(total, done + HELD_ENTRIES)) + 1
-            last = int(np.searchsorted(block, block[min(last, len(block)) - 1], "right"))
-            at, size = entries(ends, members[first:last])
-            key = np.repeat(block[first:last], size) * words + codes[at]
-            # The impact in the low bits: of equal keys the last one holds the maximum.
-            packed = np.sort((key << IMPACT_BITS) | values[at])
-            key = packed >> IMPACT_BITS
-            found.append(packed[np.append(key[1:] != key[:-1], True)])
-            first = last
-        packed = np.concatenate(found)
-        key = packed >> IMPACT_BITS
-        return key // max(1, words), key % max(1, words), packed & ((1 << IMPACT_BITS) - 1)
+        values = values.astype(np.int32)
+        step = max(1, HELD_CELLS // max(1, words))
+        blocks, codes, tops = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for first in range(0, len(block_ends), step):
+            ends = block_ends[first : first + step]
+            start = int(block_ends[first - 1]) if first else 0
+            owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=start))
+            most = np.zeros(len(ends) * words, np.int32)
+            # A few documents of these blocks at a time, however many they have.
+            for a in range(start, int(ends[-1]), HELD_MEMBERS):
+                part = members[a : min(a + HELD_MEMBERS, int(ends[-1]))]
+                at, sizes = entries(shard.ends, part)
+                row = owner[a - start : a - start + len(part)] * words
+                np.maximum.at(most, np.repeat(row, sizes) + shard.codes[at], values[at])
+            cells = np.flatnonzero(most)
+            blocks.append((cells // words + first).astype(np.int32))
+            codes.append((cells % words).astype(np.int32))
+            tops.append(most[cells])
+        return np.concatenate(blocks), np.concatenate(codes), np.concatenate(tops)
 
     def columns(self) -> list[pa.Array]:
         parts = ((getattr(self, name), kind) for name, kind in self.KINDS.items())
@@ -166,14 +175,20 @@ class Index:
         return cls(row["words"], **{name: np.frombuffer(row[name], kind) for name, kind in cls.KINDS.items()})
 
     def bounds(self, codes: list[int], weights: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """The blocks of the terms' lists and what no document of theirs can score above."""
+        """The blocks of the terms' lists, and a bound for the scores that begin there.
+
+        A document is looked for in the list of its heaviest term. So lighter terms alone, and the
+        list's own, count for a block's bound, and blocks of light terms seldom need opening.
+        """
         bound = np.zeros(len(self.block_ends), np.int64)
-        for code, weight in zip(codes, weights):
+        blocks, bounds = [], []
+        for weight, code in sorted(zip(weights, codes)):
             part = slice(self.top_ends[code - 1] if code else 0, self.top_ends[code])
             bound[self.top_blocks[part]] += weight * self.top_values[part].astype(np.int64)
-        starts = [self.list_ends[c - 1] if c else 0 for c in codes]
-        blocks = np.concatenate([np.arange(a, self.list_ends[c]) for a, c in zip(starts, codes)])
-        return blocks, bound[blocks]
+            own = slice(self.list_ends[code - 1] if code else 0, self.list_ends[code])
+            blocks.append(np.arange(own.start, own.stop))
+            bounds.append(bound[own])
+        return np.concatenate(blocks), np.concatenate(bounds)
 
     def scores(self, documents: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """The full score of each document; ``weight`` is by term."""
@@ -218,10 +233,11 @@ def search(index: Index, place: dict[str, int], terms: list[tuple[str, int]], be
         last = min(first + step, int(np.searchsorted(-bound, -best.least(), "right")))
         opened = blocks[first:last]
         starts = np.where(opened > 0, index.block_ends[opened - 1], 0)
-        members = [index.members[a:b] for a, b in zip(starts, index.block_ends[opened])]
-        documents = np.unique(np.concatenate(members))
-        documents = documents[~seen[documents]]
-        seen[documents] = True
+        fresh = np.zeros(len(seen), bool)
+        for a, b in zip(starts.tolist(), index.block_ends[opened].tolist()):
+            fresh[index.members[a:b]] = True
+        documents = np.flatnonzero(fresh & ~seen)
+        seen |= fresh
         scores = index.scores(documents, weight)
         good = scores >= best.least()
         found = documents[good]
@@ -253,7 +269,7 @@ def term_shards(docs: DataFrame, terms: DataFrame) -> DataFrame:
         place = zlib.crc32(word) % FILTER_BITS
         return bool(bits[place >> 3] >> (place & 7) & 1)
 
-    return checkpoint(shards(docs, ALPHANUMERIC, passes=passes))
+    return checkpoint(shards(docs, ALPHANUMERIC, passes=passes, texts=SHARD_TEXTS, size=SHARD_BYTES))
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,17 +285,20 @@ def statistics(parts: DataFrame) -> tuple[int, int]:
     return sums[0] or 0, sums[1] or 0
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield from batch.slice(k, 1).to_pylist()
+
+
 def build_index(parts: DataFrame, documents: int, length: int) -> DataFrame:
     """One row per shard, with the columns of :class:`Index`; it can be stored and asked again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                (row,) = batch.slice(k, 1).to_pylist()
-                index = Index.build(Shard.read(row), row["words"], documents, length)
-                names = ["words", *Index.KINDS]
-                words = pa.array([row["words"]], pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays([words, *index.columns()], names=names)
+        for row in _rows(batches):
+            index = Index.build(Shard.read(row), row["words"], documents, length)
+            words = pa.array([row["words"]], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([words, *index.columns()], names=["words", *Index.KINDS])
 
     return parts.select(*Shard.KINDS, "words").mapInArrow(run, INDEX_COLUMNS)
 
@@ -287,16 +306,14 @@ def build_index(parts: DataFrame, documents: int, length: int) -> DataFrame:
 Item = tuple[int, int | None, list[tuple[str, int]]]
 
 
-def _searcher(items: list[Item], size: int):
+def _searcher(items: list[Item], size: int, index_of: Callable[[dict], Index]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(size) for _ in items]
-        for batch in batches:
-            for k in range(batch.num_rows):
-                (row,) = batch.slice(k, 1).to_pylist()
-                index = Index.read(row)
-                place = {word: code for code, word in enumerate(index.words)}
-                for (_, _, terms), mine in zip(items, best):
-                    search(index, place, terms, mine)
+        for row in _rows(batches):
+            index = index_of(row)
+            place = {word: code for code, word in enumerate(index.words)}
+            for (_, _, terms), mine in zip(items, best):
+                search(index, place, terms, mine)
         rows = [
             (item, item_id, None if no_id else -number, score)
             for (item, item_id, _), mine in zip(items, best)
@@ -309,9 +326,21 @@ def _searcher(items: list[Item], size: int):
     return run
 
 
+FOUND = "item long, item_id long, doc_id long, score long"
+
+
 def found(index: DataFrame, items: list[Item], best: int = BEST) -> DataFrame:
-    """``item, item_id, doc_id, score`` of the best documents that each task has found."""
-    return index.mapInArrow(_searcher(items, best), "item long, item_id long, doc_id long, score long")
+    """``item, item_id, doc_id, score`` of the best documents that each task finds in a stored index."""
+    return index.mapInArrow(_searcher(items, best, Index.read), FOUND)
+
+
+def found_once(parts: DataFrame, documents: int, length: int, items: list[Item], best: int = BEST) -> DataFrame:
+    """As :func:`found`, by an index that each task builds shard by shard and then lets go."""
+
+    def index_of(row: dict) -> Index:
+        return Index.build(Shard.read(row), row["words"], documents, length)
+
+    return parts.select(*Shard.KINDS, "words").mapInArrow(_searcher(items, best, index_of), FOUND)
 
 
 def weighted(terms: DataFrame, parts: DataFrame, documents: int) -> DataFrame:
@@ -346,16 +375,15 @@ def ranked(docs: DataFrame, items: DataFrame, best: int = BEST) -> DataFrame:
     # Items go to the tasks in parts of bounded size, each by a pass over the same index.
     sizes = weights.agg(F.count("*").alias("items"), F.sum(F.size("weights")).alias("terms")).first()
     passes = max(1, -(-sizes["items"] // ITEMS), -(-(sizes["terms"] or 0) // ITEM_TERMS))
-    index = build_index(parts, documents, length)
-    if passes > 1:
+    if passes > 1:  # an index that is asked more than once is stored
         path = new_folder(docs.sparkSession, "lexical-index")
-        index.write.parquet(path)
+        build_index(parts, documents, length).write.parquet(path)
         index = docs.sparkSession.read.parquet(path)
     met = None
     for k in range(passes):
         asked = weights.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k).orderBy("item").toArrow().to_pylist()
         part = [(r["item"], r["item_id"], [(w["word"], w["weight"]) for w in r["weights"]]) for r in asked]
-        rows = found(index, part, best)
+        rows = found(index, part, best) if passes > 1 else found_once(parts, documents, length, part, best)
         met = rows if met is None else met.union(rows)
     order = [F.desc("score"), F.col("doc_id").asc_nulls_last()]
     rank = F.row_number().over(Window.partitionBy("item").orderBy(*order))

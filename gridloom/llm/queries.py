@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import embeddings, exactdedup, infilling, languageid, lexical, mixing, packing, pii
+from gridloom.llm import embeddings, exactdedup, infilling, languageid, lexical, lmscore, mixing, packing, pii
 from gridloom.llm import quality, simhash, tokenfiles, toxicity
 from gridloom.llm.common import new_folder
 
@@ -193,3 +193,8 @@ k AS (
   FROM x WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
 """
+
+
+@_query("op13_lm_score")
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.scored(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))

@@ -64,7 +64,7 @@ class Shard:
     codes: np.ndarray
     counts: np.ndarray
 
-    KINDS = {"ids": "<i8", "no_id": "u1", "marked": "u1", "sizes": "<i8", "ends": "<i8", "codes": "<i4", "counts": "<i8"}
+    KINDS = {"ids": "<i8", "no_id": "u1", "marked": "u1", "sizes": "<i8", "ends": "<i8", "codes": "<i4", "counts": "<i4"}
 
     @classmethod
     def read(cls, row: dict) -> "Shard":
