@@ -75,6 +75,34 @@ def scan_csv_semicolon(t: Tables):
     return scans.read_csv(t.spark, path, events.schema, free_text=True, null_text=NULL_TEXT)
 
 
+@query("scan_json_array_split", EVENTS_SQL)
+def scan_json_array_split(t: Tables):
+    """One array over many lines, whose parts several tasks can read."""
+    path = new_folder(t.spark, "landing")
+    sinks.write_json_array(t.events.coalesce(1), path, records_per_line=100)
+    return scans.read_json_array(t.spark, path, t.events.schema)
+
+
+@query("scan_csv_split", """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value,
+       CASE event_id % 4 WHEN 0 THEN props || chr(10) || ';"' || event_type || '", ' || chr(10)
+            WHEN 1 THEN '' WHEN 2 THEN NULL ELSE props END AS props FROM events
+       WHERE event_type <> 'error'""")
+def scan_csv_split(t: Tables):
+    """Files of two column orders, with broken lines and with rows that do not fit, which are set aside."""
+    path, aside = new_folder(t.spark, "landing"), new_folder(t.spark, "aside")
+    kind, broken = F.col("event_id") % 4, F.col("event_type") == "error"
+    text = F.when(kind == 0, F.concat("props", F.lit('\n;"'), "event_type", F.lit('", \n')))
+    text = text.when(kind == 1, "").when(kind == 3, F.col("props"))
+    events = t.events.withColumn("props", text)
+    number = F.when(broken, "no number").otherwise(F.col("user_id").cast("string"))
+    for part, columns in enumerate((events.columns, sorted(events.columns))):
+        rows = events.where(F.col("event_id") % 2 == part).withColumn("user_id", number)
+        sinks.write_csv(rows.select(*columns), f"{path}/{part}", null_text=NULL_TEXT)
+    return scans.read_csv(
+        t.spark, f"{path}/*", t.events.schema, free_text=True, null_text=NULL_TEXT, quarantine=aside
+    )
+
+
 @query("voltage_from_files", """SELECT CAST(day AS VARCHAR) AS "DATA_GERACAO",
        minute AS "HORA_MINUTO_GERACAO", month AS "ANO_MES_GERACAO", zone AS "ZONA_GERACAO",
        CAST(moment AS VARCHAR) AS "DATA_HORA_GERACAO", volts AS "TENSAO_VALOR"
@@ -83,7 +111,7 @@ def voltage_from_files(t: Tables):
     """Voltage documents land as JSON arrays and are read from there."""
     path = new_folder(t.spark, "landing")
     sinks.write_json_array(t.voltage_raw, path)
-    landed = scans.read_json_documents(t.spark, path, schemas.VOLTAGE_RAW)
+    landed = scans.read_json_array(t.spark, path, schemas.VOLTAGE_RAW)
     return voltage.voltage_trusted(landed, CUTOFF)
 
 

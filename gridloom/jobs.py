@@ -64,7 +64,7 @@ def voltage_to_trusted(
 ) -> str:
     """The newest landed file, or all files of the path given."""
     path = path or _newest_file(spark, zones.raw, c.RAW_VOLTAGE)
-    raw = scans.read_json_documents(spark, path, schemas.VOLTAGE_RAW)
+    raw = scans.read_json_array(spark, path, schemas.VOLTAGE_RAW)
     table = voltage.voltage_trusted(raw, now)
     return publish(table, zones.trusted, _dated(c.TRUSTED_VOLTAGE, now), now)
 

@@ -1,8 +1,14 @@
 """Scans of landed files and the choice of the newest one."""
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+from gridloom.sources import records
+from gridloom.staging import stage
 
 # Keep microseconds, and read instants with or without a fraction.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
@@ -31,6 +37,75 @@ def read_json_documents(
     )
 
 
+def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Objects of JSON arrays, one array per file; a file of several lines is read by many tasks.
+
+    The same rows as :func:`read_json_documents`. Elements that do not fit the schema are null
+    in what does not fit. Only lines can be told apart: an array on a single line is one task's.
+    """
+    lines = records.json_lines(spark, path)
+    found = records.records(lines, records.open_starts(lines, records.splits_of(lines)))
+    # A record is one element or several, with the array's own brackets and commas around it.
+    text = F.regexp_replace(F.btrim("text", F.lit(" \t\r")), r"^,|,$", "")
+    text = F.when(F.col("first"), F.regexp_replace(text, r"^\s*\[", "")).otherwise(text)
+    closed = F.regexp_replace(text, r"^\s*\]?\s*$|(?<=[}\s])\s*\]\s*$", "")
+    options = {"timestampNTZFormat": TIMESTAMP_FORMAT}
+    elements = F.from_json(F.concat(F.lit("["), closed, F.lit("]")), ArrayType(schema), options)
+    return found.select(F.explode(elements).alias("row")).select("row.*")
+
+
+def _csv_options(sep: str, null_text: str) -> dict:
+    return {"sep": sep, "escape": '"', "nullValue": null_text, "timestampNTZFormat": TIMESTAMP_FORMAT}
+
+
+def _header(line: str, sep: str) -> list[str]:
+    return next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")], delimiter=sep), [])
+
+
+def parse_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    sep: str = ";",
+    free_text: bool = False,
+    null_text: str = "",
+) -> DataFrame:
+    """The rows of CSV files and, in ``_malformed``, the text of those that do not fit the schema.
+
+    Each file is read by its own header: it names the columns of the schema in any order, or it
+    is an error. One file is read by many tasks, also where quoted text holds line breaks.
+    """
+    lines = records.csv_lines(spark, path, free_text)
+    splits = records.splits_of(lines).persist()
+    try:
+        starts = records.open_starts(lines, splits) if free_text else {}
+        # Files with the usual header need no entry; the others are few, or are an error.
+        usual = sep.join(schema.names)
+        unusual = splits.where((F.col("block") == 0) & (F.rtrim("first", F.lit("\r")) != usual))
+        layouts: dict[tuple[str, ...], list[int]] = {}
+        for row in unusual.select("file", "first", "path").toLocalIterator():
+            names = _header(row["first"], sep)
+            if sorted(names) != sorted(schema.names):
+                raise ValueError(f"{row['path']} has the columns {names}, not {schema.names}")
+            if names != schema.names:
+                layouts.setdefault(tuple(names), []).append(row["file"])
+    finally:
+        splits.unpersist()
+    found = records.records(lines, starts)
+    body = found.where(~F.col("first") & (F.rtrim("text", F.lit("\r")) != ""))
+    options = _csv_options(sep, null_text) | {"columnNameOfCorruptRecord": MALFORMED, "mode": "PERMISSIVE"}
+
+    def parsed(names: list[str]) -> Column:
+        marked = StructType([*(schema[n] for n in names), StructField(MALFORMED, StringType())])
+        row = F.from_csv(F.rtrim("text", F.lit("\r")), marked.simpleString(), options)
+        return F.struct(*(row[n].alias(n) for n in (*schema.names, MALFORMED)))
+
+    row = parsed(schema.names)
+    for names, files in layouts.items():
+        row = F.when(F.col("file").isin(*files), parsed(list(names))).otherwise(row)
+    return body.select(row.alias("row")).select("row.*")
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -42,34 +117,22 @@ def read_csv(
 ) -> DataFrame:
     """A file whose header names other columns than the schema is an error.
 
-    With ``free_text``, quoted text may hold line breaks; such a file cannot be
-    split, so land many of them. Unquoted ``null_text`` is null; where it is not
+    With ``free_text``, quoted text may hold line breaks, and each file is one task's; see
+    :func:`parse_csv` for large ones. Unquoted ``null_text`` is null; where it is not
     empty, empty text stays empty. Rows that do not fit the schema are null in what
-    does not fit; with ``quarantine`` they are left out and their lines stored there.
+    does not fit; with ``quarantine`` they are left out and their lines stored there, in
+    a folder that belongs to ``path``: reading it again replaces the folder. Files are
+    then split and may differ in the order of their columns.
     """
-    options = {
-        "header": True,
-        "enforceSchema": False,
-        "sep": sep,
-        "escape": '"',
-        "multiLine": free_text,
-        "nullValue": null_text,
-        "timestampNTZFormat": TIMESTAMP_FORMAT,
-    }
     if quarantine is None:
-        return spark.read.options(**options).schema(schema).csv(path)
-    # With a column for malformed lines the header is checked here, not by the scan.
-    found = spark.read.options(**options).csv(path).columns
-    if found != schema.names:
-        raise ValueError(f"{path} has the columns {found}, not {schema.names}")
-    options |= {"enforceSchema": True, "columnNameOfCorruptRecord": MALFORMED}
-    marked = StructType([*schema.fields, StructField(MALFORMED, StringType())])
-    rows = spark.read.options(**options).schema(marked).csv(path)
-    # The scan refuses plans that need the malformed lines alone, as a count would.
-    read = F.length(F.concat_ws("", F.col(schema.names[0]).cast("string"))) >= 0
-    bad = rows.where(read & F.col(MALFORMED).isNotNull()).select(MALFORMED)
-    bad.write.mode("append").text(quarantine)
-    return rows.where(read & F.col(MALFORMED).isNull()).drop(MALFORMED)
+        options = {"header": True, "enforceSchema": False, "multiLine": free_text}
+        return spark.read.options(**options, **_csv_options(sep, null_text)).schema(schema).csv(path)
+    # Parsed once; both outputs read what was kept.
+    rows = stage(parse_csv(spark, path, schema, sep, free_text, null_text))
+    source = hashlib.sha256(path.encode()).hexdigest()[:16]
+    bad = rows.where(F.col(MALFORMED).isNotNull()).select(MALFORMED)
+    bad.write.mode("overwrite").text(f"{quarantine}/source={source}")
+    return rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,15 +1,20 @@
 """File sinks and publication into a zone."""
 
+import sys
 from collections.abc import Iterator
 from datetime import datetime
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gridloom.sources.scans import TIMESTAMP_FORMAT
 
+# Executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Lines of a JSON array file, and the most records that a line holds.
 LINES_PER_FILE = 50
 RECORDS_PER_LINE = 10_000
