@@ -9,8 +9,9 @@ from checks.registry import query
 from checks.tables import CUTOFF, HIGHEST, LOWEST, Tables
 from gridloom import schemas
 from gridloom.plans import external, facts, voltage
-from gridloom.sources import scans, sinks
+from gridloom.sources import manifest, scans, sinks
 from gridloom.staging import new_folder
+from gridloom.streaming import means
 from gridloom.streaming.refresh import landed_parquet, read_fact, refresh
 
 # Stands for null in CSV files that also hold empty text.
@@ -37,6 +38,20 @@ def latest_file_scan(t: Tables):
     return t.spark.read.schema(t.orders.schema).parquet(path)
 
 
+@query("latest_of_many_files", EVENTS_SQL + " WHERE event_type = 'click'")
+def latest_of_many_files(t: Tables):
+    """Thousands of files have landed and are noted; the newest by its key is read, without a listing."""
+    zone = new_folder(t.spark, "zone")
+    many = t.events.where("event_type <> 'click'").write.option("maxRecordsPerFile", 4)
+    many.option("timestampNTZFormat", scans.TIMESTAMP_FORMAT).json(f"{zone}/telemetry_old")
+    manifest.feed(t.spark, zone)
+    sinks.write_json(t.events.where("event_type = 'click'").coalesce(1), f"{zone}/telemetry_new")
+    sinks.write_json(t.events.limit(1), f"{zone}/other")
+    manifest.feed(t.spark, zone)
+    path = manifest.latest_file(t.spark, zone, "telemetry_")
+    return scans.read_json_lines(t.spark, path, t.events.schema)
+
+
 @query("scan_json_lines", EVENTS_SQL)
 def scan_json_lines(t: Tables):
     path = new_folder(t.spark, "landing")
@@ -208,3 +223,38 @@ def incremental_refresh(t: Tables):
         landed = landed_parquet(spark, landing, raw.schema)
         refresh(landed, rows, fact, schema, month, checkpoint)
     return read_fact(spark, fact, schema).drop(month)
+
+
+@query("refresh_with_state", "SELECT DISTINCT " + COMPLAINTS_SQL, "complaints_trusted")
+def refresh_with_state(t: Tables):
+    """Three loads, the last a replay of the first; repeats end at the stream's state or the fact's filter."""
+    spark = t.spark
+    landing, fact, checkpoint = (new_folder(spark, label) for label in ("landing", "fact", "checkpoint"))
+    schema, month, raw = schemas.STORED_COMPLAINTS, "ANO_MES_RECLAMACAO", t.complaints_raw
+    low, high = raw.where(F.col("Avaliação") < "3"), raw.where(F.col("Avaliação") > "1")
+    for load in (low, high, low):
+        load.write.mode("append").parquet(landing)
+        landed = landed_parquet(spark, landing, raw.schema)
+        refresh(
+            landed,
+            lambda batch: facts.complaints_rows(external.complaints_trusted(batch)),
+            fact,
+            schema,
+            month,
+            checkpoint,
+            remembered="1 day",
+        )
+    return read_fact(spark, fact, schema).drop(month)
+
+
+@query("voltage_from_partial_sums", """SELECT CAST(day AS VARCHAR) AS "DATA_GERACAO",
+       minute AS "HORA_MINUTO_GERACAO", month AS "ANO_MES_GERACAO", zone AS "ZONA_GERACAO",
+       CAST(moment AS VARCHAR) AS "DATA_HORA_GERACAO", volts AS "TENSAO_VALOR"
+       FROM voltage""", "voltage")
+def voltage_from_partial_sums(t: Tables):
+    """Readings of the same minutes land in three loads, out of order; late ones amend the means."""
+    path = new_folder(t.spark, "sums")
+    for load in (2, 0, 1, 2):
+        raw = t.voltage_raw.where(F.pmod(F.xxhash64("valor"), F.lit(3)) == load)
+        means.store(voltage.voltage_sums(raw, CUTOFF), path, load)
+    return voltage.voltage_from_sums(means.read(t.spark, path, voltage.VOLTAGE_KEYS))

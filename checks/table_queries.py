@@ -10,12 +10,13 @@ from checks.tables import CUTOFF, HIGHEST, LOWEST, Tables
 from gridloom.constants import SINE_STEP
 from gridloom.functions import numbers
 from gridloom.functions.dates import wall_clock
-from gridloom.operators import aggregates, filters, sets, sorts
+from gridloom.operators import aggregates, filters, sets, sketches, sorts
 from gridloom.operators.quantiles import approx_quartiles as quartiles
 from gridloom.operators.rowindex import with_row_index
 from gridloom.plans import harmonics as harmonic_plans
 from gridloom.plans import voltage as voltage_plans
 from gridloom.sources.consumption import distinct_directory
+from gridloom.staging import new_folder
 
 
 @query("filter_equals", "SELECT event_id, value FROM events WHERE event_type = 'view'")
@@ -118,6 +119,16 @@ def limit_violations_by_zone(t: Tables):
     return aggregates.limit_violations(readings, "zone", "value", LOWEST, HIGHEST)
 
 
+@query("quartiles_of_runs", """SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3,
+       count(value) AS rows FROM events""")
+def quartiles_of_runs(t: Tables):
+    """Each day's events are a run with a stored sketch; the quartiles of all come from the sketches."""
+    path = new_folder(t.spark, "sketches")
+    days = t.events.withColumn("day", F.to_date("ts"))
+    sketches.sketched(days, "value", "day", sketches.LARGEST).write.parquet(path)
+    return sketches.quartiles(sketches.merged(t.spark.read.parquet(path), sketches.LARGEST))
+
+
 @query("approx_quartiles", """SELECT quantile_disc(value, 0.25) AS events_q1,
        quantile_disc(value, 0.75) AS events_q3,
        (SELECT quantile_disc(l_extendedprice, 0.25) FROM lineitem) AS lineitem_q1,

@@ -16,7 +16,7 @@ from gridloom import constants as c
 from gridloom import schemas
 from gridloom.plans import external, facts, harmonics, sensors, voltage
 from gridloom.operators.filters import last_day
-from gridloom.sources import scans
+from gridloom.sources import manifest, scans
 from gridloom.sources.consumption import consumption_query
 from gridloom.sources.sinks import publish
 from gridloom.streaming.refresh import append_new_rows, landed_parquet, read_fact, refresh
@@ -46,7 +46,12 @@ def _newest(spark: SparkSession, zone: str, contains: str) -> str:
 
 
 def _newest_file(spark: SparkSession, zone: str, contains: str) -> str:
-    return _found(scans.latest_file(spark, zone, contains), zone, contains)
+    return _found(manifest.latest_file(spark, zone, contains), zone, contains)
+
+
+def note_landed(spark: SparkSession, zones: Zones) -> None:
+    """Note what has landed in the raw zone since the last time; the other jobs go by these notes."""
+    manifest.feed(spark, zones.raw)
 
 
 def _trusted(

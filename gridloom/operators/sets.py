@@ -41,3 +41,8 @@ def rows_not_in(new: DataFrame, history: DataFrame) -> DataFrame:
     a single row.
     """
     return _match(new.dropDuplicates(), history, "left_anti")
+
+
+def rows_in(new: DataFrame, history: DataFrame) -> DataFrame:
+    """Different rows of ``new`` that the history holds; nulls compare equal."""
+    return _match(new.dropDuplicates(), history, "left_semi")

@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridloom.constants import NORMAL, VIOLATION_MAX, VIOLATION_MIN, VOLTS
 from gridloom.functions import dates, numbers
@@ -15,6 +16,7 @@ from gridloom.operators.aggregates import (
 )
 from gridloom.operators.filters import above, keep_numeric, up_to
 from gridloom.schemas import VOLTAGE_TRUSTED
+from gridloom.streaming.means import means_of, partial_sums
 
 # Landed names and their trusted names.
 RENAMES = {
@@ -52,11 +54,26 @@ def voltage_trusted(raw: DataFrame, cutoff: datetime | None = None) -> DataFrame
     The day, month and minute follow from the instant, so the mean is grouped
     by instant and zone only and the parts are added to the finished groups.
     """
+    means = mean_by(_rounded(raw, cutoff), VOLTAGE_KEYS.names, "TENSAO_VALOR")
+    return with_date_parts(means).select(*VOLTAGE_TRUSTED.names)
+
+
+VOLTAGE_KEYS = StructType([VOLTAGE_TRUSTED["ZONA_GERACAO"], VOLTAGE_TRUSTED["DATA_HORA_GERACAO"]])
+
+
+def _rounded(raw: DataFrame, cutoff: datetime | None) -> DataFrame:
     readings = up_to(parse_readings(raw), "DATA_HORA_GERACAO", cutoff)
-    rounded = readings.withColumn(
-        "TENSAO_VALOR", numbers.one_decimal_half_even(F.col("TENSAO_VALOR"))
-    )
-    means = mean_by(rounded, ["ZONA_GERACAO", "DATA_HORA_GERACAO"], "TENSAO_VALOR")
+    return readings.withColumn("TENSAO_VALOR", numbers.one_decimal_half_even(F.col("TENSAO_VALOR")))
+
+
+def voltage_sums(raw: DataFrame, cutoff: datetime | None = None) -> DataFrame:
+    """What one load adds to the means per zone and instant, to be stored."""
+    return partial_sums(_rounded(raw, cutoff), VOLTAGE_KEYS.names, "TENSAO_VALOR")
+
+
+def voltage_from_sums(sums: DataFrame) -> DataFrame:
+    """The same table as :func:`voltage_trusted`, from the stored sums of all loads."""
+    means = means_of(sums, VOLTAGE_KEYS.names, "TENSAO_VALOR")
     return with_date_parts(means).select(*VOLTAGE_TRUSTED.names)
 
 

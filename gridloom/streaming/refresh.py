@@ -1,7 +1,7 @@
 """Pick up newly landed files and append what the fact does not hold yet.
 
 The stored fact is partitioned by a month column. A batch reads only the months
-it touches, and files already written are never rewritten. How the batch meets
+in which a filter of digests says that some of its rows may be, and files already written are never rewritten. How the batch meets
 those months is left to the planner, which goes by sizes. A batch that is replayed, also one
 that failed half way through its write, finds its own rows in the history and
 appends only the rest.
@@ -13,7 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridloom.operators.sets import rows_not_in
+from gridloom.operators.sets import rows_in, rows_not_in
+from gridloom.streaming import digests
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
 def _touched(history: DataFrame, batch: DataFrame, month: str) -> DataFrame:
@@ -38,24 +44,41 @@ def append_new_rows(
 ) -> None:
     """Append the different rows of ``new`` that the stored fact lacks.
 
-    Files are written in descending order of ``latest_first``.
+    The filter of the fact's rows says which rows may be there already; only their months
+    are read, and only they are compared. A fact without the filter is read in all months of
+    the batch. Files are written in descending order of ``latest_first``.
     """
     order = [F.col(month), *([F.desc(latest_first)] if latest_first else [])]
     spark = new.sparkSession
-    rows = new.select(*schema.names).dropDuplicates().persist()
+    columns = schema.names
+    rows = new.select(*columns).dropDuplicates().persist()
     try:
-        # An empty write makes the folder on the first run and adds no file later.
         nothing = spark.createDataFrame([], schema)
+        if not _exists(spark, fact_path):
+            digests.add(nothing, fact_path, month, columns)
+        # An empty write makes the folder on the first run and adds no file later.
         nothing.write.mode("append").partitionBy(month).parquet(fact_path)
-        history = _touched(read_fact(spark, fact_path, schema), rows, month)
+        filtered = digests.exists(spark, fact_path)
+        asked = rows
+        if filtered:
+            asked = digests.maybe_stored(rows, digests.stored(spark, fact_path), month, columns).persist()
+        history = _touched(read_fact(spark, fact_path, schema), asked, month)
+        if filtered:
+            known = rows_in(asked, history).persist()
+            missing = rows_not_in(rows, known)
+            digests.add(missing, fact_path, month, columns)
+        else:
+            missing = rows_not_in(rows, history)
         (
-            rows_not_in(rows, history)
-            .hint("rebalance", month)
+            missing.hint("rebalance", month)
             .sortWithinPartitions(*order)
             .write.mode("append")
             .partitionBy(month)
             .parquet(fact_path)
         )
+        if filtered:
+            known.unpersist()
+            asked.unpersist()
     finally:
         rows.unpersist()
 
@@ -68,12 +91,18 @@ def refresh(
     month: str,
     checkpoint: str,
     latest_first: str | None = None,
+    remembered: str | None = None,
 ) -> None:
     """Run every landed file not seen before through to the stored fact.
 
     ``landed`` is a streaming scan of the landing folder. The call returns when
-    the files present at its start are done; call it again for later ones.
+    the files present at its start are done; call it again for later ones. With ``remembered``, an
+    interval such as ``7 days``, the stream's state keeps the digests of landed rows that long
+    after their arrival: a row that arrives again meanwhile goes no further, in this run or after
+    a restart. Later repeats, and rows of any age, are met by the fact as without it.
     """
+    if remembered is not None:
+        landed = first_arrivals(landed, remembered)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         append_new_rows(to_fact_rows(batch), fact_path, schema, month, latest_first)
@@ -87,5 +116,20 @@ def refresh(
     query.awaitTermination()
 
 
+def first_arrivals(landed: DataFrame, remembered: str) -> DataFrame:
+    """The rows of a stream without repeats that arrive within ``remembered`` of each other.
+
+    State is keyed by two digests of the row and goes by the time of arrival, which only
+    grows; so rows of old instants are never too late.
+    """
+    columns = landed.columns
+    nulls = F.concat(*(F.col(f"`{c}`").isNull().cast("string") for c in columns))
+    quoted = [F.col(f"`{c}`") for c in columns]
+    digest = {f"_digest{k}": F.xxhash64(*quoted, nulls, F.lit(k)) for k in (1, 2)}
+    arrived = landed.withColumns({**digest, "_arrived": F.current_timestamp()})
+    fresh = arrived.withWatermark("_arrived", remembered).dropDuplicatesWithinWatermark(list(digest))
+    return fresh.drop(*digest, "_arrived")
+
+
 def landed_parquet(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     return spark.readStream.schema(schema).parquet(folder)
