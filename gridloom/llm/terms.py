@@ -64,14 +64,18 @@ class Shard:
     codes: np.ndarray
     counts: np.ndarray
 
-    KINDS = {"ids": "<i8", "no_id": "u1", "marked": "u1", "sizes": "<i8", "ends": "<i8", "codes": "<i4", "counts": "<i4"}
+    #: Counts take as many bytes each as the largest of them needs.
+    KINDS = {"ids": "<i8", "no_id": "u1", "marked": "u1", "sizes": "<i8", "ends": "<i8", "codes": "<i4", "counts": ""}
 
     @classmethod
     def read(cls, row: dict) -> "Shard":
-        return cls(**{name: np.frombuffer(row[name], kind) for name, kind in cls.KINDS.items()})
+        kinds = {**cls.KINDS, "counts": f"<u{4 * len(row['counts']) // max(4, len(row['codes'])) or 1}"}
+        return cls(**{name: np.frombuffer(row[name], kind) for name, kind in kinds.items()})
 
     def columns(self) -> list[pa.Array]:
-        parts = ((getattr(self, name), kind) for name, kind in self.KINDS.items())
+        largest = int(self.counts.max(initial=0))
+        kinds = {**self.KINDS, "counts": "u1" if largest < 1 << 8 else "<u2" if largest < 1 << 16 else "<u4"}
+        parts = ((getattr(self, name), kind) for name, kind in kinds.items())
         return [pa.array([x.astype(kind).tobytes()], pa.binary()) for x, kind in parts]
 
     def rows(self) -> np.ndarray:
