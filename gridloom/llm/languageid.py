@@ -8,9 +8,11 @@ statistics are frozen after training, so each context is a fixed distribution an
 the code length of a text is the sum of its bytes' costs. The language with the
 shortest code wins; the score is its share of the languages' probabilities.
 
-The fit uses at most ``SAMPLE_DOCS`` documents of each language, and keeps contexts
-met ``LEAST`` times or more. The model so grows with the number of languages
-alone, up to ``MOST_LANGUAGES``. Scoring reads every byte of every text.
+The fit uses at most ``SAMPLE_DOCS`` documents of each language, and keeps all contexts
+met in them. The model so grows with the number of languages alone. Languages
+whose trees do not fit into one task together are dealt into parts of bounded size; the
+documents pass one part after the other and carry the best code length along. Scoring
+reads every byte of every text.
 """
 
 from collections.abc import Iterator
@@ -25,10 +27,8 @@ from gridloom.llm.common import checkpoint
 ORDER = 3
 #: Labelled documents that each language's tree is grown from.
 SAMPLE_DOCS = 400
-#: Times that a context must occur to be kept.
-LEAST = 4
-#: Languages learned, the most frequent ones: a tree takes a few MB.
-MOST_LANGUAGES = 1000
+#: Bytes of trees that a task holds, and what a language takes besides its contexts.
+PART_BYTES, LANGUAGE_BYTES = 1 << 27, 1 << 19
 #: Different bytes.
 KINDS = 256
 #: What stands before the first byte of a text.
@@ -49,10 +49,10 @@ def crc_slot(parts: int) -> Column:
 def sample(docs: DataFrame, learn: Column, size: int = SAMPLE_DOCS) -> DataFrame:
     """``lang, body`` of at most ``size`` rows of each language that ``learn`` allows, by hash."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = rows.groupBy("lang").count()
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
     likely = (
-        rows.join(F.broadcast(counts), "lang")
+        rows.join(counts, "lang")
         .select("lang", F.col("text").alias("body"), draw.alias("draw"), "count")
         .where(F.col("draw") * F.col("count") < 2.0 * size)
     )
@@ -89,16 +89,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def count_contexts(rows: DataFrame, least: int = LEAST) -> DataFrame:
+def count_contexts(rows: DataFrame) -> DataFrame:
     """``lang, depth, context, symbol, n``; a context is its bytes, the latest lowest."""
     kinds = "lang string, depth int, context long, symbol int, n long"
-    counts = rows.mapInArrow(_counted, kinds).groupBy("lang", "depth", "context", "symbol").agg(
-        F.sum("n").alias("n")
-    )
-    context = Window.partitionBy("lang", "depth", "context")
-    return counts.withColumn("total", F.sum("n").over(context)).where(
-        (F.col("depth") == 0) | (F.col("total") >= least)
-    ).drop("total")
+    return rows.mapInArrow(_counted, kinds).groupBy("lang", "depth", "context", "symbol").agg(F.sum("n").alias("n"))
 
 
 def _blend(seen: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -220,44 +214,77 @@ class Scorer:
         return found
 
 
-def fit(docs: DataFrame, learn: Column, size: int = SAMPLE_DOCS) -> Model:
-    """The trees of the languages in ``lang``, from the rows that ``learn`` allows."""
-    rows = checkpoint(sample(docs, learn, size))
-    return Model(count_contexts(rows).orderBy("lang", "depth", "context", "symbol").toArrow())
+def fit(docs: DataFrame, learn: Column, size: int = SAMPLE_DOCS) -> tuple[DataFrame, int]:
+    """Context counts of the languages in ``lang``, from the rows that ``learn`` allows, each language
+    with its ``part``, and the number of parts; 0 if there is nothing to learn from."""
+    counts = checkpoint(count_contexts(checkpoint(sample(docs, learn, size))))
+    contexts = counts.select("lang", "depth", "context").distinct()
+    sizes = contexts.groupBy("lang").agg((F.count("*") * (4 * KINDS) + LANGUAGE_BYTES).alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    parts = -(-total // PART_BYTES)
+    return counts.withColumn("part", F.pmod(F.xxhash64("lang"), F.lit(max(1, parts)))), parts
+
+
+def _model(counts: DataFrame, part: int) -> Model:
+    rows = counts.where(F.col("part") == part).drop("part")
+    return Model(rows.orderBy("lang", "depth", "context", "symbol").toArrow())
+
 
+def _passes(model: Model):
+    """Each row's best language so far with its bits, and all languages' probabilities beside it."""
 
-def _predictions(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            langs, scores = [], []
             texts = batch.column(batch.num_columns - 1)
-            bits = scorer.code_lengths(texts.cast(pa.binary()).fill_null(b"").to_pylist())
-            for text, row in zip(texts.to_pylist(), bits):
-                if not model.langs or text is None or not any(map(str.isalpha, text)):
-                    langs.append(UNDETERMINED)
-                    scores.append(0.0)
+            found = scorer.code_lengths(texts.cast(pa.binary()).fill_null(b"").to_pylist())
+            langs, best, mass = (batch.column(k).to_pylist() for k in range(batch.num_columns - 4, batch.num_columns - 1))
+            for k, (text, row) in enumerate(zip(texts.to_pylist(), found)):
+                if text is None or not any(map(str.isalpha, text)):
                     continue
-                best = int(row.argmin())
-                langs.append(model.langs[best])
-                scores.append(float(1.0 / np.exp2(np.maximum(row.min() - row, -1000.0)).sum()))
+                first = int(row.argmin())
+                bits, lang = float(row[first]), model.langs[first]
+                share = float(np.exp2(np.maximum(bits - row, -1000.0)).sum())
+                if langs[k] is not None and (best[k], langs[k]) < (bits, lang):
+                    bits, lang, share, other, weight = best[k], langs[k], mass[k], bits, share
+                else:
+                    other, weight = best[k], mass[k]
+                if langs[k] is not None:
+                    share += weight * float(np.exp2(max(bits - other, -1000.0)))
+                langs[k], best[k], mass[k] = lang, bits, share
+            columns = [pa.array(langs, pa.string()), pa.array(best, pa.float64()), pa.array(mass, pa.float64())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"],
+                [*batch.columns[:-4], *columns, texts], names=batch.schema.names
             )
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, *keep: Column) -> DataFrame:
+def predict(docs: DataFrame, model: tuple[DataFrame, int], *keep: Column) -> DataFrame:
     """``keep``, ``lang_pred`` and ``score`` of each row.
 
     ``und`` with score 0 where the text is null or has no letter, or no language
     was learned. Equal code lengths go to the first language by name.
     """
-    rows = docs.select(*keep, F.col("text").cast("string").alias("body"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_predictions(model), f"{kinds}lang_pred string, score double")
+    counts, parts = model
+    rows = docs.select(
+        *keep,
+        F.lit(None).cast("string").alias("lang_pred"),
+        F.lit(None).cast("double").alias("bits"),
+        F.lit(None).cast("double").alias("mass"),
+        F.col("text").cast("string").alias("body"),
+    )
+    for part in range(parts):
+        learned = _model(counts, part)
+        if learned.langs:
+            rows = rows.mapInArrow(_passes(learned), rows.schema)
+            if part + 1 < parts:  # else all parts' trees would be held together
+                rows = checkpoint(rows)
+    return rows.select(
+        *rows.columns[:-4],
+        F.coalesce("lang_pred", F.lit(UNDETERMINED)).alias("lang_pred"),
+        F.coalesce(1.0 / F.col("mass"), F.lit(0.0)).alias("score"),
+    )
 
 
 def identified(docs: DataFrame, folds: int = 4, held: int = 2, size: int = SAMPLE_DOCS) -> DataFrame:
@@ -272,11 +299,17 @@ def identified(docs: DataFrame, folds: int = 4, held: int = 2, size: int = SAMPL
 
 
 def with_language(docs: DataFrame, size: int = SAMPLE_DOCS) -> DataFrame:
-    """The rows of ``docs`` in which a language was found; ``und`` goes."""
+    """The rows of ``docs`` in which a language was found; those without a letter go.
+
+    Where no row has a ``lang`` to learn from, every text with a letter stays.
+    """
     model = fit(docs, F.lit(True), size)
     kept = [F.col(f"`{c}`") for c in docs.columns]
     names = [f"__{k}" for k in range(len(kept))]
     body = F.col("text").cast("string").alias("text")
-    found = predict(docs.select(*(c.alias(n) for c, n in zip(kept, names)), body), model, *names)
-    rows = found.where(F.col("lang_pred") != UNDETERMINED)
+    rows = docs.select(*(c.alias(n) for c, n in zip(kept, names)), body)
+    if model[1]:
+        rows = predict(rows, model, *names).where(F.col("lang_pred") != UNDETERMINED)
+    else:
+        rows = rows.where(F.col("text").rlike(r"\p{L}"))
     return rows.select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))

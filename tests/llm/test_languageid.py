@@ -16,7 +16,7 @@ def sentence(draw, lang, words=30):
     return " ".join("".join(draw.choice(SYLLABLES[lang]) for _ in range(draw.randint(1, 3))) for _ in range(words))
 
 
-def model_of(texts, least=1):
+def model_of(texts):
     rows = pa.RecordBatch.from_arrays(
         [pa.array([l for l, _ in texts]), pa.array([t for _, t in texts])], names=["lang", "body"]
     )
@@ -120,3 +120,35 @@ def test_no_labels_and_no_rows(spark, nothing):
     rows = frame(spark, [(1, "some text", None, "a")])
     assert [tuple(r)[2:] for r in languageid.identified(rows).collect()] == [("und", 0.0)]
     assert languageid.identified(nothing).count() == 0
+
+
+def test_every_language_is_learned_in_parts_of_bounded_size(spark, monkeypatch):
+    """A thousand languages and one, all but a few met in two short texts only."""
+    draw = random.Random(6)
+    rows = []
+    for k in range(1001):
+        own = f"{chr(0x4E00 + 7 * k)}{chr(0x4E00 + 7 * k + 1)}"
+        rows += [(2 * k + n, f"{own} {own}{own} " + sentence(draw, "en", 2), f"l{k:04}", "a") for n in (0, 1)]
+    docs = frame(spark, rows, clashes=False).coalesce(2)
+    model = languageid.fit(docs, languageid.F.lit(True))
+    assert 3 < model[1] < 20
+    got = {r.doc_id: r for r in languageid.predict(docs, model, "doc_id").collect()}
+    assert sum(got[i].lang_pred == lang for i, _, lang, _ in rows) >= 0.99 * len(rows)
+    assert all(0.0 < r.score <= 1.0 for r in got.values())
+
+
+def test_parts_change_no_prediction(spark, monkeypatch):
+    draw = random.Random(7)
+    rows = [(i, sentence(draw, list(SYLLABLES)[i % 3], 12), list(SYLLABLES)[i % 3], "a") for i in range(60)]
+    docs = frame(spark, rows, clashes=False)
+    whole = {r.doc_id: (r.lang_pred, r.score) for r in languageid.identified(docs).collect()}
+    monkeypatch.setattr(languageid, "PART_BYTES", 1 << 19)
+    assert languageid.fit(docs, languageid.F.lit(True))[1] > 2
+    parts = {r.doc_id: (r.lang_pred, r.score) for r in languageid.identified(docs).collect()}
+    assert {i: p for i, (p, _) in parts.items()} == {i: p for i, (p, _) in whole.items()}
+    assert [s for _, (_, s) in sorted(parts.items())] == pytest.approx([s for _, (_, s) in sorted(whole.items())])
+
+
+def test_texts_with_letters_stay_where_no_language_is_known(spark):
+    rows = [(1, "some text", None, "a"), (2, "12 !!", None, "a"), (3, None, None, "a"), (4, "ñ", None, "b")]
+    assert sorted(r.doc_id for r in languageid.with_language(frame(spark, rows)).collect()) == [1, 4]
