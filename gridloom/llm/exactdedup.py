@@ -5,7 +5,8 @@ bits. In each shard a minimal perfect hash (bit arrays by level, a key that
 collides moves on to the next level) gives every digest a slot of its own; the
 slot holds the full digest and where the winner of its group is. A lookup goes
 to one slot and compares all 32 bytes, so a digest that the index does not know
-is never mistaken for another. Such nonmembers are grouped among themselves.
+is never mistaken for another. Such nonmembers are grouped among themselves. Without an
+earlier corpus, a part of the table's own rows is the history.
 
 Rows reach the shards as a stream behind their shard's index, in as many salted
 lanes as the shard's rows ask for: a group that holds a third of all rows spreads
@@ -29,6 +30,8 @@ SHARD_DIGESTS = 4096
 #: A shard's rows go to lanes of one in this many of all rows.
 LANES = 1024
 DIGEST_BYTES = 32
+#: One in so many rows, by hash, is the history that the others are looked up in.
+HISTORY = 2
 #: Positions in a level of the hash, per digest that reaches it.
 LOAD = 2
 #: What a shard stores besides its hash and digests: one value per slot.
@@ -297,13 +300,30 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_groups(rows: DataFrame, index: DataFrame | None) -> DataFrame:
+    """One row per digest of ``rows``, with its winner over them and the earlier corpus.
+
+    A part of the rows is the history: its digests are indexed. The others are looked up there, so
+    their repeats of the history are known without meeting each other's digests;
+    only members are added to their groups, and only nonmembers are grouped among themselves.
+    """
+    part = F.pmod(F.xxhash64("doc_id", "row_hash"), F.lit(HISTORY)) == 0
+    past = checkpoint(_groups(rows.where(part)))
+    history = checkpoint(build_index(past))
+    asked = checkpoint(lookup(rows.where(~part), history).select(*rows.columns, "member"))
+    new = _groups(asked.where(~F.col("member")))
+    repeats = _groups(asked.where("member"))
+    # Every repeat's digest is one of the history's.
+    again = _merged(repeats, history)
+    known = past.join(again.select("digest"), "digest", "left_anti").unionByName(again)
+    own = checkpoint(known.unionByName(new))
+    return own if index is None else checkpoint(_merged(own, index))
+
+
 def _with_winners(docs: DataFrame, index: DataFrame | None) -> DataFrame:
     """Every row with its group's winner over ``docs`` and the earlier corpus."""
     rows = checkpoint(_rows(docs))
-    own = checkpoint(_groups(rows))
-    if index is not None:
-        own = checkpoint(_merged(own, index))
-    found = lookup(rows, checkpoint(build_index(own)))
+    found = lookup(rows, checkpoint(build_index(_with_groups(rows, index))))
     return found.withColumn(
         "kept",
         F.col("doc_id").eqNullSafe(F.col("winner"))
@@ -351,7 +371,7 @@ def exact_duplicates(docs: DataFrame, index: DataFrame | None = None) -> DataFra
     ``doc_id``, a null id last, then the smallest row hash; repeats of that very
     row all say ``kept``. With an ``index`` of an earlier corpus its groups take
     part: its winner stays unless a new row beats it, and the group size counts
-    both. Without one, the index covers the table itself. An empty table gives
+    both. An empty table gives
     an empty table.
     """
     return _with_winners(docs, index).select(

@@ -73,3 +73,19 @@ def test_one_row_of_each_text_stays(spark, edges):
 def test_empty(spark, nothing):
     assert exactdedup.exact_duplicates(nothing).count() == 0
     assert exactdedup.one_per_text(nothing).count() == 0
+
+
+def test_no_group_by_meets_all_digests(spark, monkeypatch):
+    """Rows that repeat the history leave through the lookup, the rest are grouped apart."""
+    rows = [(i, f"text {i % 40}" if i % 3 else f"own {i}", "en", "a") for i in range(300)]
+    sizes = []
+    groups = exactdedup._groups
+
+    def counted(part):
+        sizes.append(part.count())
+        return groups(part)
+
+    monkeypatch.setattr(exactdedup, "_groups", counted)
+    assert listed(exactdedup.exact_duplicates(frame(spark, rows))) == brute(rows)
+    past, new, repeats = sizes
+    assert past + new + repeats == 300 and 100 < past < 200 and new > 30 and repeats > 60
