@@ -52,6 +52,19 @@ def numbered(texts: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np.nda
     return found.indices.to_numpy().astype(np.int64), np.searchsorted(starts, ends), found.dictionary
 
 
+def narrowed(values: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32 in as many bytes each as the largest needs."""
+    width = -(-int(values.max(initial=1)).bit_length() // 8)
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def widened(data: bytes, many: int) -> np.ndarray:
+    found = np.zeros((many, 4), np.uint8)
+    if many:
+        found[:, : len(data) // many] = np.frombuffer(data, np.uint8).reshape(many, -1)
+    return found.view("<u4").ravel().astype(np.int32)
+
+
 @dataclass
 class Shard:
     """Documents by row, words by column; entries are sorted by both."""
@@ -64,19 +77,17 @@ class Shard:
     codes: np.ndarray
     counts: np.ndarray
 
-    #: Counts take as many bytes each as the largest of them needs.
-    KINDS = {"ids": "<i8", "no_id": "u1", "marked": "u1", "sizes": "<i8", "ends": "<i8", "codes": "<i4", "counts": ""}
+    KINDS = {"ids": "<i8", "no_id": "u1", "marked": "u1", "sizes": "<i8", "ends": "<i8", "codes": "", "counts": ""}
 
     @classmethod
     def read(cls, row: dict) -> "Shard":
-        kinds = {**cls.KINDS, "counts": f"<u{4 * len(row['counts']) // max(4, len(row['codes'])) or 1}"}
-        return cls(**{name: np.frombuffer(row[name], kind) for name, kind in kinds.items()})
+        found = {name: np.frombuffer(row[name], kind) for name, kind in cls.KINDS.items() if kind}
+        many = int(found["ends"][-1]) if len(found["ends"]) else 0
+        return cls(**found, **{name: widened(row[name], many) for name, kind in cls.KINDS.items() if not kind})
 
     def columns(self) -> list[pa.Array]:
-        largest = int(self.counts.max(initial=0))
-        kinds = {**self.KINDS, "counts": "u1" if largest < 1 << 8 else "<u2" if largest < 1 << 16 else "<u4"}
-        parts = ((getattr(self, name), kind) for name, kind in kinds.items())
-        return [pa.array([x.astype(kind).tobytes()], pa.binary()) for x, kind in parts]
+        parts = ((getattr(self, name), kind) for name, kind in self.KINDS.items())
+        return [pa.array([x.astype(kind).tobytes() if kind else narrowed(x)], pa.binary()) for x, kind in parts]
 
     def rows(self) -> np.ndarray:
         """The document of each entry."""
