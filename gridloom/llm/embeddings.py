@@ -1,6 +1,6 @@
 """Near-duplicate embeddings: a small-world graph per shard, every shard asked.
 
-Equal vectors become one. Vectors are dealt into shards of bounded size; each
+Equal vectors become one. Vectors are dealt into shards of a bounded number; each
 shard's graph is built in one task. Two shards then meet in one task, and the vectors of
 either are looked up in the other's graph: a beam walks the graph and widens while it
 is full of vectors above the threshold. An audit compares the answers with a full
@@ -24,22 +24,23 @@ from gridloom.llm.components import connected_components
 from gridloom.llm.hnsw import Graph
 
 THRESHOLD = 0.9
-#: Bytes of vectors a shard holds, and vectors: a bit for each pair of two shards' vectors is held.
-SHARD_BYTES, SHARD_ROWS = 1 << 24, 1 << 15
-#: Shards made even of small tables, so that their graphs are built side by side.
-LEAST_SHARDS = 8
+#: Vectors a shard holds on average, of however many dimensions: a walk pays from some hundred on.
+SHARD_ROWS = 4096
+#: Shards made even of small tables, so that their graphs are built side by side, if they get so many vectors.
+LEAST_SHARDS, LEAST_ROWS = 8, 1024
 BEAM = 64
 BATCH = 512
 #: Vectors of a shard that the audit compares in full, their nearest ones that it looks for
-#: besides links, and the mean recall it asks for.
+#: besides links, and the mean recall it asks for. Links are found better than the nearest ones
+#: of vectors without links, which are no more similar than chance.
 AUDITED = 256
 NEAREST = 4
-RECALL = 0.995
+RECALL = 0.98
 #: How far below the threshold a single-precision similarity is still verified.
 MARGIN = 1e-3
-#: A beam of one in so many of a shard costs as much as a full comparison and gives way to it,
-#: so many vectors at a time.
-EXACT_SHARE, EXACT_ROWS = 64, 64
+#: A beam of one in so many of a shard gives way to a full comparison, so many vectors at a time;
+#: so shards of up to 256 vectors, whose graph is hardly more than one level, are always compared in full.
+EXACT_SHARE, EXACT_ROWS = 4, 64
 
 
 # --- one shard against another ---------------------------------------------
@@ -62,9 +63,14 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[top[other]]
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """In double precision, each times a power of two that keeps squares within range and digits as they are."""
     wide = vectors.astype(np.float64)
-    wide /= np.abs(wide).max(axis=1, keepdims=True)
+    return np.ldexp(wide, -np.frexp(np.abs(wide).max(axis=1, keepdims=True))[1])
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    wide = _scaled(vectors)
     return (wide / np.linalg.norm(wide, axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -134,14 +140,14 @@ class Shard:
         """For parts of the vectors: rows of the part and of the shard that link."""
         unit, least = _unit(vectors), threshold - MARGIN
         beam = self.audited(ids, unit, least)
-        wide = self.vectors.astype(np.float64)
+        wide = _scaled(self.vectors)
         norms = np.linalg.norm(wide, axis=1)
         for a in range(0, len(ids), BATCH):
             part = slice(a, a + BATCH)
             row, other = self.near(unit[part], beam, least)
             different = ids[part][row] != self.ids[other]
             row, other = row[different], other[different]
-            mine = vectors[part][row].astype(np.float64)
+            mine = _scaled(vectors[part])[row]
             cosine = np.einsum("nd,nd->n", mine, wide[other]) / (
                 np.linalg.norm(mine, axis=1) * norms[other]
             )
@@ -185,7 +191,7 @@ def links_between(
 
 def _array(values: pa.Table, dimensions: int) -> np.ndarray:
     flat = values.column("embedding").combine_chunks().flatten()
-    return flat.to_numpy(zero_copy_only=False).astype("<f4").reshape(-1, dimensions)
+    return flat.to_numpy(zero_copy_only=False).reshape(-1, dimensions)
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -213,7 +219,8 @@ def _restored(row: dict) -> Shard:
     for data in row["links"]:
         links.append(np.frombuffer(data, "<i4").reshape(size, -1))
         size = -(-size // 16)
-    vectors = np.frombuffer(row["vectors"], "<f4").reshape(len(ids), -1)
+    kind = f"<f{len(row['vectors']) // (len(ids) * row['dimensions'])}"
+    vectors = np.frombuffer(row["vectors"], kind).reshape(len(ids), -1)
     return Shard(ids, np.frombuffer(row["copies"], "<i8"), vectors, links)
 
 
@@ -240,8 +247,9 @@ def _searcher(threshold: float):
 
 def _deal():
     """A column that deals the vectors of one length into shards."""
-    size, rows = F.col("rows") * F.col("dimensions") * 4, F.col("rows")
-    parts = F.greatest(F.lit(LEAST_SHARDS), F.ceil(size / SHARD_BYTES), F.ceil(rows / SHARD_ROWS))
+    rows = F.col("rows")
+    few = F.least(F.lit(LEAST_SHARDS), F.floor(rows / LEAST_ROWS))
+    parts = F.greatest(F.lit(1), few, F.ceil(rows / SHARD_ROWS))
     return F.pmod(F.xxhash64("node"), parts.cast("long"))
 
 
@@ -277,7 +285,7 @@ def found_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             F.when(even, second).otherwise(first).alias("other"),
         )
     )
-    data = F.struct("ids", "copies", "vectors", "links")
+    data = F.struct("ids", "copies", "vectors", "links", "dimensions")
     met = (
         pairs.join(shards.select("dimensions", "shard", data.alias("left")), ["dimensions", "shard"])
         .join(
@@ -293,8 +301,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     """Each row's ``vec_id, n_links, component_id, kept``.
 
     Vectors that are null, empty, zero or hold null or non-finite components link
-    with nothing, nor do vectors of different lengths. Components are read in single
-    precision, cosines taken in double. Rows of equal vectors link
+    with nothing, nor do vectors of different lengths. Components are compared as given, in single
+    or double precision, and cosines taken in double. Rows of equal vectors link
     with each other. The component id is the smallest ``vec_id`` that links reach,
     nulls aside; a row is ``kept`` if that is its own. An empty table gives an
     empty table.
@@ -303,9 +311,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     usable = (
         F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0.0)
     )
+    single = embeddings.select("embedding").schema[0].dataType.simpleString() == "array<float>"
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("embedding").cast("array<float>").alias("embedding"),
+        F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"),
     ).withColumn("embedding", F.when(usable, F.col("embedding")))
     vectors = checkpoint(
         rows.where("embedding is not null")

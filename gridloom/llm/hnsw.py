@@ -12,6 +12,8 @@ LEVEL_RATIO = 16
 LINKS, UPPER_LINKS = 24, 12
 BUILD_BEAM = 48
 BUILD_BATCH = 512
+#: Vectors of a beam whose links are followed together.
+STEPS = 16
 NONE = -1
 
 
@@ -145,27 +147,34 @@ class Graph:
         sims = np.full((rows, beam), -np.inf, np.float32)
         width = min(entry.shape[1], beam)
         entry = entry[:, :width]
-        met = np.zeros((rows, size), bool)
+        # The column that met a vector; of several at once the last one counts.
+        met = np.full((rows, size), NONE, np.int16)
         real = entry != NONE
         ids[:, :width] = entry
         start = np.einsum("rsd,rd->rs", self.vectors[entry], queries)
         sims[:, :width] = np.where(real, start, -np.inf)
-        met[np.nonzero(real)[0], entry[real]] = True
+        met[np.nonzero(real)[0], entry[real]] = 0
         done = ~np.isfinite(sims)
+        steps = min(STEPS, beam)
         while True:
             waiting = np.where(done, -np.inf, sims)
-            at = waiting.argmax(axis=1)
-            live = np.flatnonzero(np.isfinite(waiting[np.arange(rows), at]))
+            at = np.argpartition(-waiting, steps - 1, axis=1)[:, :steps] if steps > 1 else waiting.argmax(axis=1)[:, None]
+            open_at = np.isfinite(np.take_along_axis(waiting, at, 1))
+            live = np.flatnonzero(open_at.any(axis=1))
             if not len(live):
                 return _best(ids, sims, beam)
-            done[live, at[live]] = True
-            near = links[ids[live, at[live]]]
-            fresh = (near != NONE) & (near < size)
-            fresh &= ~met[live[:, None], np.where(fresh, near, 0)]
-            met[np.repeat(live, fresh.sum(axis=1)), near[fresh]] = True
+            at, open_at = at[live], open_at[live]
+            done[live[:, None], at] = True
+            near = np.where(open_at[:, :, None], links[ids[live[:, None], at]], NONE).reshape(len(live), -1)
+            row, column = np.nonzero((near != NONE) & (near < size))
+            node = near[row, column]
+            new = met[live[row], node] == NONE
+            row, column, node = row[new], column[new], node[new]
+            met[live[row], node] = column
+            first = met[live[row], node] == column
+            row, column, node = row[first], column[first], node[first]
             values = np.full(near.shape, -np.inf, np.float32)
-            row, _ = np.nonzero(fresh)
-            values[fresh] = np.einsum("nd,nd->n", self.vectors[near[fresh]], queries[live[row]])
+            values[row, column] = np.einsum("nd,nd->n", self.vectors[node], queries[live[row]])
             all_sims = np.concatenate([sims[live], values], axis=1)
             top = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
             sims[live] = np.take_along_axis(all_sims, top, 1)

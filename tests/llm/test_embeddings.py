@@ -153,3 +153,41 @@ def test_null_and_repeated_ids_and_no_rows(spark):
         (0, -1, False), (0, 5, True), (2, 5, False), (2, 5, False), (2, 5, True),
     ]
     assert embeddings.near_duplicates(table(spark, rows[:0])).count() == 0
+
+
+def families(seed, dimensions, rows, kind):
+    """Families of near copies among strangers."""
+    draw = np.random.default_rng(seed)
+    centers = draw.normal(size=(rows // 6, dimensions))
+    near = np.repeat(centers, 3, axis=0) + draw.normal(scale=0.2, size=(3 * len(centers), dimensions))
+    found = np.concatenate([near, draw.normal(size=(rows - len(near), dimensions))]).astype(kind)
+    return found[draw.permutation(rows)]
+
+
+@pytest.mark.parametrize("dimensions, rows", [(64, 2000), (1536, 700)])
+def test_the_graph_answers_with_its_real_constants(spark, monkeypatch, dimensions, rows):
+    vectors = families(8, dimensions, rows, "f4")
+    shard = embeddings.Shard(np.arange(rows), np.ones(rows, np.int64), vectors)
+    beam = shard.audited(np.arange(rows), shard.graph.vectors, 0.9 - embeddings.MARGIN)
+    assert shard._walks(beam)
+    unit = shard.graph.vectors
+    wanted = unit @ unit.T >= 0.9
+    np.fill_diagonal(wanted, False)
+    found = np.zeros(rows, int)
+    for nodes, count, _, _ in shard.links(np.arange(rows), vectors, 0.9):
+        found[nodes] += count
+    linked = wanted.any(axis=1)
+    recall = found[linked] / wanted.sum(axis=1)[linked]
+    assert linked.sum() > rows // 4 and recall.mean() >= 0.99 and not found[~linked].any()
+
+
+def test_double_vectors_are_compared_as_given(spark):
+    near = [np.cos(0.1), np.sin(0.1)]
+    edge = 0.9 - 1e-9
+    vectors = [
+        (1, [1.0, 0.0]), (2, [1e300, 0.0]), (3, [1e-50, 0.0]), (4, [1e-310, 0.0]), (5, [0.0, 1e300]),
+        (6, [edge, -float(np.sqrt(1 - edge * edge))]), (7, [float(x) * 1e200 for x in near]), (8, [0.0, 1e-300]),
+    ]
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    scaled = [(i, (np.array(v) / np.abs(v).max()).tolist()) for i, v in vectors]
+    assert listed(embeddings.near_duplicates(rows)) == brute(scaled)
