@@ -8,15 +8,19 @@ drown in its mean: a document scores as its most toxic passage of ``PASSAGE`` wo
 and training goes back and forth between choosing each document's passage and
 fitting on those. Two numbers then turn a passage's margin into a probability.
 
+Letters, marks and digits of every script make words. A long run without blanks, as scripts
+without spaces have, counts as a word per ``LONGEST`` letters, so that its passages are short as well.
+
 The fit takes a bounded sample of labelled texts; scoring reads every passage of
 every whole text.
 """
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.languageid import crc_slot
@@ -29,8 +33,10 @@ PASSAGE = 4
 #: Labelled texts that the fit reads, at most, of each label.
 SAMPLE_TOXIC = 1500
 SAMPLE_CLEAN = 2500
-#: Labelled texts of more bytes than this are not fitted on; they are scored like all.
-SAMPLE_BYTES = 1 << 15
+#: Bytes of text of each label that the fit reads: a text is taken whole if those before it leave room.
+SAMPLE_BYTES = 10 << 20
+#: Letters after which a run without blanks counts as the next word.
+LONGEST = 16
 EPOCHS, ROUNDS, BATCH, RATE = 8, 3, 128, 0.5
 #: Characters scored together.
 STRETCH = 1 << 19
@@ -45,13 +51,25 @@ _BLANK = np.uint32(32)
 # --- n-grams -----------------------------------------------------------------
 
 
+#: By code point of the basic plane, whether it belongs to a word; all beyond do.
+WORD = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(1 << 16)])
+
+
 def _characters(text: str) -> np.ndarray:
-    """Lower-cased code points, with ASCII blanks, controls and marks as one kind of blank."""
+    """Lower-cased code points, with blanks, controls and punctuation as one kind of blank."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    word = (points > 127) | ((points >= 97) & (points <= 122)) | ((points >= 48) & (points <= 57))
+    word = WORD[np.minimum(points, len(WORD) - 1)] | (points >= len(WORD))
     return np.where(word, points, _BLANK)
 
 
+def _starts(blank: np.ndarray) -> np.ndarray:
+    """Where words begin, by the place before: after a blank, and within long runs."""
+    starts = ~blank[1:] & blank[:-1]
+    place = np.arange(len(blank))
+    since = place - np.maximum.accumulate(np.where(blank, place, 0))
+    return starts | (~blank[1:] & (since[1:] > 1) & (since[1:] % LONGEST == 1))
+
+
 def grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Word number and bucket of each n-gram, and the number of words.
 
@@ -59,7 +77,7 @@ def grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     ``points`` starts and ends with a blank.
     """
     blank = points == _BLANK
-    words = np.cumsum(~blank[1:] & blank[:-1])
+    words = np.cumsum(_starts(blank))
     before = np.concatenate([[0], np.cumsum(blank)])
     value, power = np.zeros(len(points), np.uint64), 1
     owners, buckets = [], []
@@ -267,7 +285,11 @@ def _held_out(folds: int) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
-    """A model from a bounded sample, by hash, of the labelled rows that are not held out."""
+    """A model from a bounded sample, by hash, of the labelled rows that are not held out.
+
+    Texts of any length take part; of each label the first in the order of the hash, until
+    ``SAMPLE_BYTES`` are read, and one at least.
+    """
     known = (
         labels.where(~_held_out(folds) & F.col("toxic").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("label_id"))
@@ -279,15 +301,17 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
         known.where(F.col("toxic") == kind).orderBy(order, "label_id").limit(size)
         for kind, size in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
     ]
-    texts = (
-        docs.where(F.octet_length(F.col("text").cast("string")) <= SAMPLE_BYTES)
+    rows = (
+        docs.where(F.col("text").isNotNull())
         .select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").cast("string").alias("body"))
         .join(F.broadcast(chosen[0].union(chosen[1])), "label_id")
         .groupBy("label_id", "toxic")
         .agg(F.min("body").alias("body"))
-        .orderBy("label_id")
-        .toArrow()
     )
+    # A few thousand rows at most.
+    before = Window.partitionBy("toxic").orderBy(order, "label_id").rowsBetween(Window.unboundedPreceding, -1)
+    read = F.coalesce(F.sum(F.octet_length("body")).over(before), F.lit(0))
+    texts = rows.withColumn("read", read).where(F.col("read") < SAMPLE_BYTES).orderBy("label_id").toArrow()
     return train(texts.column("body").to_pylist(), texts.column("toxic").to_pylist(), float(share))
 
 
@@ -296,7 +320,8 @@ def scored(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
 
     A row is held out if the CRC-32 of its id is 0 modulo ``folds``, or its id is
     null. Null and empty texts, and those without letters or digits, score the
-    share of toxic texts among the labelled. An empty table gives an empty table.
+    share of toxic texts among the labelled; so do all texts where no labelled text has
+    letters, or all such have one label. An empty table gives an empty table.
     """
     model = fit(docs, labels, folds)
 
