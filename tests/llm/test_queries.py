@@ -22,16 +22,17 @@ def oracle():
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_whole_tables(spark, oracle, name):
     got = queries.QUERIES[name](spark, SF_DIR)
-    key = "vec_id" if "embedding" in name else "doc_id"
-    rows = sorted((r.asDict() for r in got.collect()), key=lambda r: (r[key], r.get("piece")))
-    source = "embeddings" if "embedding" in name else "documents"
+    key = {"op4_embedding_near_dedup": "vec_id", "op12_lexical_search": "item_id"}.get(name, "doc_id")
+    order = lambda r: (r[key], r.get("piece") or r.get("rank"))
+    rows = sorted((r.asDict() for r in got.collect()), key=order)
+    source = {"vec_id": "embeddings", "item_id": "benchmark"}.get(key, "documents")
     ids = [i for (i,) in oracle.execute(f"SELECT {key} FROM {source} ORDER BY 1").fetchall()]
     assert sorted({r[key] for r in rows}) == ids
     if name in queries.ORACLE:
         result = oracle.execute(queries.ORACLE[name])
         names = [column[0] for column in result.description]
         assert sorted(names) == sorted(got.columns)
-        wanted = sorted((dict(zip(names, r)) for r in result.fetchall()), key=lambda r: r[key])
+        wanted = sorted((dict(zip(names, r)) for r in result.fetchall()), key=order)
         assert rows == wanted
 
 
