@@ -17,6 +17,10 @@ From ``REMOVE`` on a term is removed wherever it stands in the texts with that e
 pairs whose term stands in too many documents to pass, even if all that could hold
 the entity did, are left out before they are counted. Entities that stand in the same texts
 are counted as one.
+
+A pair that meets in one text only is rated by the text's figures and the entity's count alone.
+So a text's terms are rated against the different counts of its entities, not against each
+entity; only terms and entities that both stand in several texts are paired to be counted.
 """
 
 import hashlib
@@ -29,12 +33,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.llm.common import checkpoint, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-#: Shorter words are no terms.
-SHORTEST = 3
 #: Texts that speak for chance before any is read.
 WEIGHT = 1.5
 GENERALISE, REMOVE = 0.75, 0.9
@@ -128,7 +131,7 @@ def words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, i
     for m in _WORD.finditer(text):
         a, b = m.span()
         place = bisect_left(starts, b) - 1
-        if b - a >= SHORTEST and not (place >= 0 and ends[place] > a):
+        if not (place >= 0 and ends[place] > a):
             yield m[0].lower(), a, b
 
 
@@ -160,7 +163,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f"n_{kind}" for kind in KINDS] + ["base_sha256", "base", "entities", "body"]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:2], *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
-            names=["doc_id", "text_hash", *names],
+            names=["doc_id", "digest", *names],
         )
 
 
@@ -256,26 +259,40 @@ def revealing(docs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
     counts = document_counts(docs, checkpoint(terms.select("term").distinct()))
     # n_te / n_t must reach (n_e / total) ** (1 - GENERALISE), and n_te is at most n_e.
     counts = counts.where(F.col("n_t") <= 1.001 * most**GENERALISE * total ** (1 - GENERALISE))
-    n_t, n_e = F.col("n_t"), F.col("n_e")
+    known = checkpoint(terms.join(counts, "term"))
+    n_t, n_e, copies = F.col("n_t"), F.col("n_e"), F.col("copies")
+    # Met in this text alone, or at least here: the figures of one text.
+    levels = held.select("text_hash", "copies", "n_e").distinct()
+    once = _disclosure(F.least(copies, n_t), F.lit(1), n_t, n_e, total)
+    alone = (
+        known.join(levels, "text_hash")
+        .groupBy("text_hash", "term")
+        .agg(F.max(once).alias("disclosure"))
+        .where(F.col("disclosure") >= GENERALISE)
+    )
+    # Met in several texts: counted.
+    several = known.groupBy("term").agg(F.count("*").alias("k")).where("k > 1").select("term")
     best = _disclosure(F.least(n_e, n_t), F.least("texts", "n_t"), n_t, n_e, total)
     met = checkpoint(
-        terms.join(counts, "term").join(held, "text_hash").where(best >= GENERALISE - 1e-9)
+        known.join(several, "term")
+        .join(held.where("texts > 1"), "text_hash")
+        .where(best >= GENERALISE - 1e-9)
+        .select("text_hash", "entity", "term", "copies", "n_t", "n_e")
     )
     disclosure = _disclosure(F.col("n_te"), F.col("k"), n_t, n_e, total)
     rated = (
         met.groupBy("entity", "term", "n_t", "n_e")
         .agg(F.sum("copies").alias("n_te"), F.count("*").alias("k"))
         .withColumn("disclosure", disclosure)
-        .where(F.col("disclosure") >= GENERALISE)
+        .where((F.col("disclosure") >= GENERALISE) & (F.col("k") > 1))
     )
-    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    # A term that several entities mark takes the stronger action.
-    return (
-        met.select("text_hash", "entity", "term")
-        .join(rated.select("entity", "term", action.alias("action")), ["entity", "term"])
-        .groupBy("text_hash", "term")
-        .agg(F.max("action").alias("action"))
+    together = met.select("text_hash", "entity", "term").join(
+        rated.select("entity", "term", "disclosure"), ["entity", "term"]
     )
+    # A term that several entities mark takes the stronger action.
+    action = F.when(F.max("disclosure") >= REMOVE, "remove").otherwise("generalise")
+    marked = alone.union(together.select("text_hash", "term", "disclosure"))
+    return marked.groupBy("text_hash", "term").agg(action.alias("action"))
 
 
 # --- the operator ------------------------------------------------------------
@@ -295,7 +312,7 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """Per row ``doc_id, text_hash``, the counts of base spans, ``base_sha256`` and ``spans``.
+    """Per row ``doc_id``, the text's SHA-256 ``digest``, the counts of base spans, ``base_sha256`` and ``spans``.
 
     Spans are ``kind:start:end`` in code points, joined by commas: the base spans by
     kind, then start, then the terms to generalise and those to remove by start.
@@ -305,15 +322,14 @@ def found(docs: DataFrame) -> DataFrame:
     an empty table.
     """
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(text_or_empty()).alias("text_hash"),
-        text_or_empty().alias("body"),
+        F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), text_or_empty().alias("body")
     )
-    scanned = checkpoint(rows.mapInArrow(_scan, f"doc_id long, text_hash long, {_FOUND}"))
+    scanned = checkpoint(rows.mapInArrow(_scan, f"doc_id long, digest binary, {_FOUND}"))
     texts = checkpoint(
         scanned.where(F.col("base") != "")
-        .groupBy("text_hash")
+        .groupBy("digest")
         .agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("base", "entities", "body")))
+        .withColumn("text_hash", F.monotonically_increasing_id())
     )
     actions = (
         revealing(docs, texts, scanned.count())
@@ -326,11 +342,17 @@ def found(docs: DataFrame) -> DataFrame:
         .mapInArrow(_marks, "text_hash long, marks string")
     )
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), "marks")
-    return scanned.join(marked, "text_hash", "left").select(
-        "doc_id", "text_hash", *(f"n_{kind}" for kind in KINDS), "base_sha256", spans.alias("spans")
+    named = marked.join(texts.select("text_hash", "digest"), "text_hash").select("digest", "marks")
+    return scanned.join(named, "digest", "left").select(
+        "doc_id", "digest", *(f"n_{kind}" for kind in KINDS), "base_sha256", spans.alias("spans")
     )
 
 
+def _digest() -> Column:
+    """The SHA-256 of a text, by which texts are told apart."""
+    return F.unhex(F.sha2(text_or_empty(), 256))
+
+
 def redact(text: str, spans: str) -> str:
     """``text`` with each span replaced; of overlapping ones the first to start, then the longest."""
     parts = [s.split(":") for s in spans.split(",") if s]
@@ -345,19 +367,16 @@ def redact(text: str, spans: str) -> str:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with all spans of their ``text`` replaced; a null text becomes empty."""
-    spans = found(docs).where("spans <> ''").select("text_hash", "spans").distinct()
+    spans = found(docs).where("spans <> ''").select("digest", "spans").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                redact(t, s or "")
-                for t, s in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist())
-            ]
-            place = batch.schema.names.index("text")
-            clean = batch.set_column(place, "text", pa.array(texts, pa.string()))
-            yield clean.select([n for n in clean.schema.names if n != "__spans"])
-
-    named = spans.select(F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
-    rows = docs.withColumn("text", text_or_empty()).withColumn("__hash", F.xxhash64("text"))
-    joined = rows.join(named, "__hash", "left").drop("__hash")
-    return joined.mapInArrow(run, joined.drop("__spans").schema)
+            texts = [redact(t, s or "") for t, s in zip(*(c.to_pylist() for c in batch.columns[1:]))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "clean"])
+
+    rows = docs.select(F.struct("*").alias("row"), text_or_empty().alias("body"), _digest().alias("digest"))
+    joined = rows.join(spans, "digest", "left").select("row", "body", "spans")
+    kept = joined.select("row").schema
+    clean = joined.mapInArrow(run, T.StructType([*kept.fields, T.StructField("clean", T.StringType())]))
+    columns = [F.col("clean").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return clean.select(*columns)

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -81,7 +82,7 @@ def test_sanitised_text(spark):
 
 
 def test_terms_of_rare_entities_and_of_copies_are_marked(spark):
-    rows = [(i, f"common words and write number{i} of the rest", "en", "a") for i in range(2000)]
+    rows = [(i, f"common words and write to number{i} of the rest", "en", "a") for i in range(2000)]
     rows.append((5000, "common words and zeppelin write to ada@x.org", "en", "a"))
     rows += [(6000 + i, "common words and zebra write to bob@x.org", "en", "a") for i in range(9)]
     got = {r.doc_id: r.spans for r in pii.found(frame(spark, rows)).collect() if r.spans}
@@ -94,7 +95,7 @@ def test_terms_of_rare_entities_and_of_copies_are_marked(spark):
 def test_terms_far_from_a_mention_are_marked_at_every_place(spark):
     far = " ".join(f"common{k}" for k in range(300))
     rows = [(i, f"{far} text{i}", "en", "a") for i in range(300)]
-    rows += [(1000 + i, f"ada@x.org {far} Zeppelin {far} zeppelin x{i}", "en", "a") for i in range(6)]
+    rows += [(1000 + i, f"ada@x.org {far} Zeppelin {far} zeppelin text{i}", "en", "a") for i in range(6)]
     for row in pii.found(frame(spark, rows)).where("spans <> ''").collect():
         text = rows[300 + row.doc_id - 1000][1]
         spans = [s.split(":") for s in row.spans.split(",")]
@@ -124,6 +125,86 @@ def test_counts_do_not_depend_on_the_filter(spark, monkeypatch):
         assert {r.term: r.n_t for r in pii.document_counts(docs, terms).collect()} == wanted
 
 
+def disclosures(rows):
+    """By definition: every entity, every term, over all texts; the action of each term of each text."""
+    texts, total = {}, len(rows)
+    for _, text, *_ in rows:
+        texts[text] = texts.get(text, 0) + 1
+    entities, terms = {}, {}
+    for text in texts:
+        spans = pii.base_spans(text)
+        for kind, a, b in spans:
+            entities.setdefault(pii.entity(kind, text[a:b]), set()).add(text)
+        for term in {w.lower() for w in pii._WORD.findall(text)}:
+            terms.setdefault(term, set()).add(text)
+    marks = {}
+    for held in entities.values():
+        n_e = sum(texts[t] for t in held)
+        if n_e == total:
+            continue
+        for term in {t for text in held for t, _, _ in pii.words(text, pii.base_spans(text))}:
+            both = [t for t in held if term in {w for w, _, _ in pii.words(t, pii.base_spans(t))}]
+            n_t, n_te, k = sum(texts[t] for t in terms[term]), sum(texts[t] for t in both), len(both)
+            likely = (k * n_te / n_t + pii.WEIGHT * n_e / total) / (k + pii.WEIGHT)
+            disclosure = 1 - math.log(likely) / math.log(n_e / total)
+            if disclosure >= pii.GENERALISE:
+                action = "remove" if disclosure >= pii.REMOVE else "generalise"
+                for t in both:
+                    marks[t, term] = max(action, marks.get((t, term), ""))
+    return marks
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_marks_equal_the_definition_on_random_corpora(spark, seed):
+    draw = random.Random(seed)
+    people = [f"p{k}@x.org" for k in range(8)] + ["10.0.0.1", "+49 30 1234567"]
+    vocabulary = [f"v{k}" for k in range(25)] + ["of", "a", "x", "né"]
+    rows = []
+    for i in range(120):
+        words = draw.choices(vocabulary, [1 / (k + 1) for k in range(len(vocabulary))], k=draw.randint(2, 9))
+        for k in draw.sample(range(len(people)), draw.choice([0, 0, 0, 0, 1, 2])):
+            words += [people[k]] + [f"nick{k}"] * draw.randint(0, 2) + [f"alias{k}"] * (draw.random() < 0.2)
+        words += [f"own{i}"] * draw.randint(0, 1)
+        draw.shuffle(words)
+        rows.append((i, " ".join(words), "en", "a"))
+    rows += [(200 + k, rows[k % 7][1], "en", "a") for k in range(20)]
+    wanted = disclosures(rows)
+    assert {"remove", "generalise"} <= set(wanted.values())
+    for r in pii.found(frame(spark, rows, clashes=False)).collect():
+        text = {i: t for i, t, *_ in rows}[r.doc_id]
+        spans = [s.split(":") for s in r.spans.split(",") if s][len(brute(text)) :]
+        got = {text[int(a) : int(b)].lower(): kind for kind, a, b in spans}
+        assert got == {term: action for (t, term), action in wanted.items() if t == text}
+
+
+def test_a_directory_of_many_entities_and_words_is_not_paired(spark, monkeypatch):
+    """Three hundred addresses that each stand in one other text, and as many rare words."""
+    many = 300
+    directory = " ".join(f"p{k}@x.org rare{k}" for k in range(many))
+    rows = [(0, directory, "en", "a")] + [(1 + k, f"write to p{k}@x.org own{k}", "en", "a") for k in range(many)]
+    rows += [(1000 + k, f"plain words number{k}", "en", "a") for k in range(500)]
+    sizes = []
+    keep = pii.checkpoint
+
+    def kept(df):
+        found = keep(df)
+        if "entity" in df.columns and "term" in df.columns:
+            sizes.append(found.count())
+        return found
+
+    monkeypatch.setattr(pii, "checkpoint", kept)
+    got = {r.doc_id: r.spans for r in pii.found(frame(spark, rows, clashes=False)).collect()}
+    assert sizes and sizes[0] < 5 * many
+    assert sum("generalise" in s or "remove" in s for s in got[0].split(",")) == many
+
+
+def test_words_of_one_and_two_letters_are_terms(spark):
+    rows = [(i, f"common words and write to number{i} of the rest", "en", "a") for i in range(2000)]
+    rows.append((5000, "common words and qz write to ada@x.org", "en", "a"))
+    got = {r.doc_id: r.spans for r in pii.found(frame(spark, rows, clashes=False)).collect() if r.spans}
+    assert got == {5000: "email:29:38,generalise:17:19"}
+
+
 def test_edge_rows(spark, edges, nothing):
     got = pii.found(edges).collect()
     assert len(got) == len(EDGES)
