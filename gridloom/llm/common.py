@@ -1,7 +1,8 @@
 """What the operators share: checkpoints, row identity, keeping chosen rows.
 
 Every operator reads only the columns it needs, under names of its own, so
-extra columns of the input can neither clash nor travel through a shuffle.
+extra columns of the input can neither clash nor travel through a shuffle. Where whole rows
+are kept, they travel as one column.
 """
 
 import tempfile
@@ -74,8 +75,13 @@ def row_key(docs: DataFrame) -> list[Column]:
     ]
 
 
+def named_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as one column ``row`` beside their key, so that no name of theirs can clash."""
+    return docs.select(F.struct("*").alias("row"), *row_key(docs))
+
+
 def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``keys``, each once however often it repeats."""
-    chosen = docs.select("*", *row_key(docs)).join(keys.select(*ROW_KEY), ROW_KEY, "left_semi")
+    chosen = named_rows(docs).join(keys.select(*ROW_KEY), ROW_KEY, "left_semi")
     repeat = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(ROW_KEY[1]))
-    return chosen.withColumn("__repeat", repeat).where("__repeat = 1").drop("__repeat", *ROW_KEY)
+    return chosen.withColumn("repeat", repeat).where("repeat = 1").select("row.*")

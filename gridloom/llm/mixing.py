@@ -17,7 +17,7 @@ of a source, so a source with a third of all rows is spread like any other.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import ROW_KEY, checkpoint, row_key
+from gridloom.llm.common import ROW_KEY, checkpoint, named_rows, row_key
 
 #: Documents that a chunk holds on average.
 CHUNK = 32
@@ -296,12 +296,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_COPIES, seed: int =
     chosen = plan(docs, weights, most, seed).select(
         F.coalesce("doc_id", F.lit(0).cast("long")).alias(ROW_KEY[0]),
         F.col("row_hash").alias(ROW_KEY[1]),
-        F.col("rows").alias("__rows"),
-        F.col("copies").alias("__copies"),
+        "rows",
+        "copies",
     )
     place = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(ROW_KEY[1]))
-    joined = docs.select("*", *row_key(docs)).join(chosen.where("__copies > 0"), ROW_KEY)
-    times = joined.withColumn("__times", _share("__copies", "__rows", place)).where("__times > 0")
-    return times.withColumn(
-        "__time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))
-    ).drop(*ROW_KEY, "__rows", "__copies", "__times", "__time")
+    joined = named_rows(docs).join(chosen.where("copies > 0"), ROW_KEY)
+    times = joined.withColumn("times", _share("copies", "rows", place)).where("times > 0")
+    return times.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")

@@ -41,15 +41,21 @@ def numbered(texts: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np.nda
     """
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     word = inside[data]
-    edges = np.flatnonzero(np.diff(word, prepend=False))
-    starts, lengths = edges[::2], edges[1::2] - edges[::2]
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")
     kept = LOWER[data[word]]
+    del data
+    edges = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if word[0]:
+        edges = np.concatenate([[0], edges])
+    del word
+    starts = edges[::2].copy()
+    offsets = np.zeros(len(starts) + 1, "<i8")
+    np.cumsum(edges[1::2] - starts, out=offsets[1:])
+    del edges
     found = pa.Array.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]
     ).dictionary_encode()
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    return found.indices.to_numpy().astype(np.int64), np.searchsorted(starts, ends), found.dictionary
+    ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+    return found.indices.to_numpy(), ends, found.dictionary
 
 
 def narrowed(values: np.ndarray) -> bytes:
@@ -112,8 +118,13 @@ def _shard(ids: pa.Array, marked: np.ndarray, texts: list[bytes], inside: np.nda
         some = kept[codes]
         owner, codes, words = owner[some], place[codes[some]], words.filter(pa.array(kept))
     width = max(1, len(words))
-    pairs, counts = np.unique(owner * width + codes, return_counts=True)
-    rows, columns = pairs // width, pairs % width
+    owner *= width
+    owner += codes
+    owner.sort()
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    counts = np.diff(first, append=len(owner))
+    rows, columns = np.divmod(owner[first], width)
+    del owner, first
     ids64 = ids.fill_null(0).to_numpy()
     no_id = ids.is_null().to_numpy(zero_copy_only=False)
     shard = Shard(ids64, no_id, marked, sizes, np.searchsorted(rows, np.arange(len(texts)), "right"), columns, counts)

@@ -1,8 +1,10 @@
 """Documents with every odd row the operators must take."""
 
 CLASHES = (
-    "fp cluster least body digest length shard lane row index size rows copies part source_size target "
-    "lang_pred score held_out good draw key place kept spans text_hash node other links"
+    "fp cluster least body length lane index size rows part source_size target "
+    "lang_pred score held_out good draw key place kept spans text_hash node other links "
+    "__row_id __row_hash __rows __copies __times __hash __spans __repeat __0 row repeat times copies clean digest shard words "
+    "marked item term form n bits mass"
 ).split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 

@@ -1,11 +1,16 @@
 """Every registered query over the smallest driver tables, and the pipeline."""
 
+import zlib
 from pathlib import Path
 
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from edge_rows import frame
 from gridloom.llm import exactdedup, languageid, queries, simhash
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,3 +59,28 @@ def test_pipeline_equals_its_stages_one_by_one(spark):
         assert r.offset == ends.get(r.sequence_id, 0)
         ends[r.sequence_id] = r.offset + r.length
     assert max(ends.values()) <= 4096
+
+
+def test_pipeline_writes_sequences_that_decode_to_kept_texts(spark, tmp_path):
+    """Odd rows: null, empty, repeated, without language, with columns of any name."""
+    text = "the quick brown fox jumps over the lazy dog number"
+    rows = [(i, f"{text} {i} {'word ' * (i % 9)}and again {i * 7919}", None, "ab"[i % 2]) for i in range(30)]
+    rows += [(40, None, None, "a"), (41, "", None, None), (42, "12 34", None, "a"), (7, rows[7][1], None, "b")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    plain = lambda t: "".join(t.split())
+    texts = {i: plain(t) for i, t, *_ in rows if t}
+    sequences = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        ids = np.frombuffer(r.ids, "<u4")
+        assert len(ids) == r.length and zlib.crc32(r.ids) == r.ids_crc32
+        sequences.setdefault(r.sequence_id, []).extend(ids.tolist())
+        assert plain(tokenizer.decode(ids[:-1].tolist()).replace("</w>", "")) == texts[r.doc_id] and ids[-1] == 1
+    assert all(len(s) <= 4096 for s in sequences.values())
+    assert {r.doc_id for r in got} <= set(range(30)) and len({r.doc_id for r in got}) > 10
+
+
+def test_pipeline_without_rows(spark, tmp_path):
+    frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
