@@ -21,7 +21,8 @@ from gridloom.operators import joins
 from gridloom.operators.columns import replace_value
 from gridloom.plans import external, facts, harmonics, sensors, voltage
 from gridloom.sources.consumption import consumption_query
-from gridloom.sources.weather import hourly_rows
+from gridloom.sources.weather import fitting, hourly_rows
+from gridloom.staging import new_folder
 
 TIE = ["event_id"]
 
@@ -70,6 +71,18 @@ def weather_trusted(t: Tables):
     return _weather(t)
 
 
+@query("weather_set_aside", """SELECT CAST(moment AS VARCHAR) AS "DATA_HORA_CLIMA",
+       temp AS "CLIMA_TEMPERATURA", rain AS "CLIMA_CHUVA", wind AS "CLIMA_VENTO"
+       FROM weather WHERE day(moment) % 3 > 0""", "weather")
+def weather_set_aside(t: Tables):
+    """Documents of every third day lack a measurement; they are stored apart and the others go on."""
+    third = F.substring(F.col("hourly.time")[0], 9, 2).cast("int") % 3 == 0
+    rain = F.when(third, F.slice("hourly.rain", 2, 100)).otherwise(F.col("hourly.rain"))
+    landed = t.weather_documents.select(F.col("hourly").withField("rain", rain).alias("hourly"))
+    good, _ = fitting(landed, new_folder(t.spark, "aside"), "weather")
+    return external.weather_trusted(good)
+
+
 COMPLAINTS_SQL = """rating AS "AVALIACAO", CAST(moment AS VARCHAR) AS "DATA_HORA_RECLAMACAO",
        CAST(day AS VARCHAR) AS "DATA_RECLAMACAO", time AS "HORA_RECLAMACAO"
        FROM complaints_trusted"""

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.sql import harmonics, voltage
 from checks.tables import CUTOFF, HIGHEST, LOWEST, Tables
+from gridloom import constants as c
 from gridloom.constants import SINE_STEP
 from gridloom.functions import numbers
 from gridloom.functions.dates import wall_clock
-from gridloom.operators import aggregates, filters, sets, sketches, sorts
+from gridloom.operators import aggregates, filters, joins, sets, sketches, sorts
 from gridloom.operators.quantiles import approx_quartiles as quartiles
 from gridloom.operators.rowindex import with_row_index
 from gridloom.plans import harmonics as harmonic_plans
 from gridloom.plans import voltage as voltage_plans
 from gridloom.sources.consumption import distinct_directory
 from gridloom.staging import new_folder
+from gridloom.streaming.latest import keep_latest, read_latest
 
 
 @query("filter_equals", "SELECT event_id, value FROM events WHERE event_type = 'view'")
@@ -157,6 +159,36 @@ def latest_per_zone(t: Tables):
     return harmonic_plans.latest_harmonic_per_zone(trusted, ["event_id"])
 
 
+@query("latest_per_zone_stream", f"""SELECT zone, arg_max(TRY_CAST(value AS DOUBLE), (instant, event_id)) AS value
+       FROM telemetry WHERE zone IN {c.ZONES} 
+       AND TRY_CAST(value AS DOUBLE) IS NOT NULL GROUP BY zone""", "telemetry")
+def latest_per_zone_stream(t: Tables):
+    """Readings land the latest first; the stored table has the latest of each zone after every batch."""
+    landing, path, checkpoint = (new_folder(t.spark, label) for label in ("landing", "latest", "checkpoint"))
+    readings = filters.keep_numeric(t.telemetry, "value")
+    for share in (2, 0, 1):
+        part = readings.where(F.pmod(F.hour(F.to_timestamp("instant")), F.lit(3)) == share)
+        part.write.mode("append").parquet(landing)
+        landed = t.spark.readStream.schema(readings.schema).parquet(landing)
+        keep_latest(landed, "value", "instant", ["event_id"], path, checkpoint)
+    schema = aggregates.latest_per_zone(readings, "value", "instant", ["event_id"]).schema
+    return read_latest(t.spark, path, schema)
+
+
+@query("hot_instant_join", """SELECT hour, a.event_id AS first_id, b.event_id AS second_id
+       FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'busy' ELSE CAST(user_id AS VARCHAR) END AS hour FROM events) a
+       JOIN (SELECT event_id, CASE WHEN event_id % 4000 = 0 THEN 'busy' ELSE CAST(user_id AS VARCHAR) END AS hour
+             FROM events WHERE event_id % 5 = 0) b USING (hour)""")
+def hot_instant_join(t: Tables):
+    """One key holds a third of the rows of a side; its rows are dealt over many tasks."""
+    key, number = F.col("user_id").cast("string"), F.col("event_id")
+    first = t.events.select(number.alias("first_id"), F.when(number % 3 == 0, "busy").otherwise(key).alias("hour"))
+    second = t.events.where(number % 5 == 0).select(
+        number.alias("second_id"), F.when(number % 4000 == 0, "busy").otherwise(key).alias("hour")
+    )
+    return joins.inner_join_all([first, second], ["hour"])
+
+
 @query("row_count", "SELECT count(*) AS rows FROM lineitem")
 def row_count(t: Tables):
     return aggregates.row_count(t.lineitem)

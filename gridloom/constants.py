@@ -56,6 +56,7 @@ GENERATION_SOURCES = ("hydroeletric", "wind", "nuclear", "solar", "thermal")
 RAW_VOLTAGE = "telemetry_"
 RAW_COMPLAINTS = "ReclameAqui_Raw_"
 QUARANTINE_COMPLAINTS = "quarantine/complaints"
+QUARANTINE_WEATHER = "quarantine/weather"
 TRUSTED_VOLTAGE = "Tensao_TRUSTED_"
 TRUSTED_WEATHER = "TRUSTED_clima"
 TRUSTED_COMPLAINTS = "ReclameAqui_TRUSTED_"

@@ -19,6 +19,7 @@ from gridloom.operators.filters import last_day
 from gridloom.sources import manifest, scans
 from gridloom.sources.consumption import consumption_query
 from gridloom.sources.sinks import publish
+from gridloom.sources.weather import fitting
 from gridloom.streaming.refresh import append_new_rows, landed_parquet, read_fact, refresh
 
 
@@ -77,8 +78,12 @@ def voltage_to_trusted(
 def weather_to_trusted(
     spark: SparkSession, zones: Zones, now: datetime, path: str, day: date | None = None
 ) -> str:
-    """Landed weather documents; with ``day``, that day and the one before."""
-    documents = scans.read_json_documents(spark, path, schemas.WEATHER_DOCUMENT)
+    """Landed weather documents; with ``day``, that day and the one before.
+
+    Documents whose arrays differ in length are stored below ``c.QUARANTINE_WEATHER`` of the raw zone.
+    """
+    landed = scans.read_json_documents(spark, path, schemas.WEATHER_DOCUMENT)
+    documents, _ = fitting(landed, f"{zones.raw}/{c.QUARANTINE_WEATHER}", path)
     table = external.weather_trusted(documents)
     if day is not None:
         table = last_day(table, "DATA_HORA_CLIMA", day)

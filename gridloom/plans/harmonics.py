@@ -14,6 +14,7 @@ from gridloom.constants import (
 )
 from gridloom.operators.aggregates import latest_per_zone
 from gridloom.operators.filters import equals, scenario_by_position
+from gridloom.operators.joins import inner_join_all
 from gridloom.plans.sensors import TIE, clean_sensor, format_value, numeric_sensor
 
 # Share of the readings up to which each scenario is expected,
@@ -44,11 +45,10 @@ def labelled(telemetry: DataFrame, kind: str, label: str, *keys: str) -> DataFra
 
 
 def _versus(harmonics: DataFrame, telemetry: DataFrame, kind: str, label: str) -> DataFrame:
-    """Every pair read at one instant in one scenario; bounded by the sensors that report at once."""
+    """Every pair read at one instant in one scenario; a hot instant is dealt over many tasks."""
     keys = ["instant", "scenery"]
-    return labelled(harmonics, PERCENT, "harmonicas", *keys).join(
-        labelled(clean_sensor(telemetry, kind), kind, label, *keys), keys, "inner"
-    )
+    sides = labelled(harmonics, PERCENT, "harmonicas", *keys), labelled(clean_sensor(telemetry, kind), kind, label, *keys)
+    return inner_join_all(list(sides), keys)
 
 
 def harmonics_vs_voltage(harmonics: DataFrame, telemetry: DataFrame) -> DataFrame:
