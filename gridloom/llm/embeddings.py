@@ -25,17 +25,17 @@ from gridloom.llm.hnsw import Graph
 
 THRESHOLD = 0.9
 #: Vectors a shard holds on average, of however many dimensions: a walk pays from some hundred on.
-SHARD_ROWS = 4096
+SHARD_ROWS = 8192
 #: Shards made even of small tables, so that their graphs are built side by side, if they get so many vectors.
 LEAST_SHARDS, LEAST_ROWS = 8, 1024
 BEAM = 64
 BATCH = 512
-#: Vectors of a shard that the audit compares in full, their nearest ones that it looks for
-#: besides links, and the mean recall it asks for. Links are found better than the nearest ones
-#: of vectors without links, which are no more similar than chance.
+#: Vectors of a shard that the audit compares in full, and their nearest ones that it looks for besides
+#: links. What it asks for, as the mean by vector: of the links almost all; of the nearest ones, which
+#: without links are hardly more similar than chance, enough to show that walks lead there.
 AUDITED = 256
 NEAREST = 4
-RECALL = 0.98
+RECALL, NEAREST_RECALL = 0.995, 0.9
 #: How far below the threshold a single-precision similarity is still verified.
 MARGIN = 1e-3
 #: A beam of one in so many of a shard gives way to a full comparison, so many vectors at a time;
@@ -106,8 +106,8 @@ class Shard:
         """Wider beams cost more than a full comparison, and miss what no link leads to."""
         return beam * EXACT_SHARE < len(self.ids)
 
-    def recall(self, ids: np.ndarray, queries: np.ndarray, beam: int, least: float) -> float:
-        """What unit ``queries`` find of their links or of their nearest ones, the lesser, on average."""
+    def recall(self, ids: np.ndarray, queries: np.ndarray, beam: int, least: float) -> tuple[float, float]:
+        """What unit ``queries`` find of their links, if they have any, and of their nearest ones, on average."""
         sims = queries @ self.graph.vectors.T
         sims[ids[:, None] == self.ids[None, :]] = -np.inf
         links, nearest = sims >= least, np.zeros(sims.shape, bool)
@@ -121,16 +121,19 @@ class Shard:
         full = np.flatnonzero(found[:, -1] >= least)
         row, other = self.near(queries[full], 4 * beam, least)
         met[full[row], other] = True
-        of_links = (met & links).sum(axis=1) / np.maximum(links.sum(axis=1), 1)
-        of_links[~links.any(axis=1)] = 1.0
+        linked = links.any(axis=1)
+        of_links = (met & links)[linked].sum(axis=1) / links[linked].sum(axis=1)
         of_nearest = (met & nearest).sum(axis=1) / np.maximum(nearest.sum(axis=1), 1)
-        return float(np.minimum(of_links, of_nearest).mean())
+        return float(of_links.mean()) if linked.any() else 1.0, float(of_nearest.mean())
 
     def audited(self, ids: np.ndarray, queries: np.ndarray, least: float) -> int:
         """A beam whose answers to some of the queries are complete enough."""
         beam = BEAM
         picked = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
-        while self._walks(beam) and self.recall(ids[picked], queries[picked], beam, least) < RECALL:
+        while self._walks(beam):
+            links, nearest = self.recall(ids[picked], queries[picked], beam, least)
+            if links >= RECALL and nearest >= NEAREST_RECALL:
+                break
             beam *= 2
         return beam
 
