@@ -83,7 +83,7 @@ def parse_csv(
         usual = sep.join(schema.names)
         unusual = splits.where((F.col("block") == 0) & (F.rtrim("first", F.lit("\r")) != usual))
         layouts: dict[tuple[str, ...], list[int]] = {}
-        for row in unusual.select("file", "first", "path").toLocalIterator():
+        for row in unusual.select("file", "first", "path").toArrow().to_pylist():
             names = _header(row["first"], sep)
             if sorted(names) != sorted(schema.names):
                 raise ValueError(f"{row['path']} has the columns {names}, not {schema.names}")
@@ -97,7 +97,8 @@ def parse_csv(
 
     def parsed(names: list[str]) -> Column:
         marked = StructType([*(schema[n] for n in names), StructField(MALFORMED, StringType())])
-        row = F.from_csv(F.rtrim("text", F.lit("\r")), marked.simpleString(), options)
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.fields)
+        row = F.from_csv(F.rtrim("text", F.lit("\r")), kinds, options)
         return F.struct(*(row[n].alias(n) for n in (*schema.names, MALFORMED)))
 
     row = parsed(schema.names)
