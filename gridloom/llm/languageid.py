@@ -27,6 +27,8 @@ from gridloom.llm.common import checkpoint
 ORDER = 3
 #: Labelled documents that each language's tree is grown from.
 SAMPLE_DOCS = 400
+#: Languages whose numbers of documents are sent to every task.
+FEW_LANGUAGES = 100_000
 #: Bytes of trees that a task holds, and what a language takes besides its contexts.
 PART_BYTES, LANGUAGE_BYTES = 1 << 27, 1 << 19
 #: Different bytes.
@@ -49,10 +51,12 @@ def crc_slot(parts: int) -> Column:
 def sample(docs: DataFrame, learn: Column, size: int = SAMPLE_DOCS) -> DataFrame:
     """``lang, body`` of at most ``size`` rows of each language that ``learn`` allows, by hash."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count()
+    counts = checkpoint(rows.groupBy("lang").count())
+    # Else the texts would be shuffled by language only to be thinned out.
+    few = F.broadcast(counts) if counts.count() <= FEW_LANGUAGES else counts
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
     likely = (
-        rows.join(counts, "lang")
+        rows.join(few, "lang")
         .select("lang", F.col("text").alias("body"), draw.alias("draw"), "count")
         .where(F.col("draw") * F.col("count") < 2.0 * size)
     )
