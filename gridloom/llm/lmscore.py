@@ -31,7 +31,7 @@ ROUNDS = 3
 #: Pieces that the first scores count for beside the training documents.
 PRIOR = 1000.0
 #: Texts and bytes of text that share a vocabulary; larger shards ask for fewer words.
-SHARD_TEXTS, SHARD_BYTES = 8192, 3 << 22
+SHARD_TEXTS, SHARD_BYTES = 8192, 5 << 21
 #: Ranks that come before the first piece in Zipf's law, which flattens its head.
 RANKS = 512
 #: The rows whose id's CRC-32 is ``HELD`` modulo ``FOLDS`` are not learned from.
