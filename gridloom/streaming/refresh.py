@@ -52,23 +52,19 @@ def append_new_rows(
     spark = new.sparkSession
     columns = schema.names
     rows = new.select(*columns).dropDuplicates().persist()
+    kept = [rows]
     try:
-        nothing = spark.createDataFrame([], schema)
         if not _exists(spark, fact_path):
-            digests.add(nothing, fact_path, month, columns)
-        # An empty write makes the folder on the first run and adds no file later.
-        nothing.write.mode("append").partitionBy(month).parquet(fact_path)
-        filtered = digests.exists(spark, fact_path)
-        asked = rows
-        if filtered:
+            missing, filtered = rows, True
+        elif filtered := digests.exists(spark, fact_path):
             asked = digests.maybe_stored(rows, digests.stored(spark, fact_path), month, columns).persist()
-        history = _touched(read_fact(spark, fact_path, schema), asked, month)
-        if filtered:
-            known = rows_in(asked, history).persist()
+            known = rows_in(asked, _touched(read_fact(spark, fact_path, schema), asked, month)).persist()
+            kept += [asked, known]
             missing = rows_not_in(rows, known)
-            digests.add(missing, fact_path, month, columns)
         else:
-            missing = rows_not_in(rows, history)
+            missing = rows_not_in(rows, _touched(read_fact(spark, fact_path, schema), rows, month))
+        if filtered:
+            digests.add(missing, fact_path, month, columns)
         (
             missing.hint("rebalance", month)
             .sortWithinPartitions(*order)
@@ -76,11 +72,9 @@ def append_new_rows(
             .partitionBy(month)
             .parquet(fact_path)
         )
-        if filtered:
-            known.unpersist()
-            asked.unpersist()
     finally:
-        rows.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def refresh(
