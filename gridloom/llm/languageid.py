@@ -37,6 +37,8 @@ KINDS = 256
 BEFORE = b"\n" * ORDER
 #: Bytes scored together.
 STRETCH = 1 << 20
+#: Rows scored together.
+ROWS = 1024
 UNDETERMINED = "und"
 
 
@@ -234,42 +236,47 @@ def _model(counts: DataFrame, part: int) -> Model:
     return Model(rows.orderBy("lang", "depth", "context", "symbol").toArrow())
 
 
-def _passes(model: Model):
+def _passes(model: Model, keeps_text: bool):
     """Each row's best language so far with its bits, and all languages' probabilities beside it."""
 
+    def scored(scorer: Scorer, batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(batch.num_columns - 1)
+        found = scorer.code_lengths(texts.cast(pa.binary()).fill_null(b"").to_pylist())
+        langs, best, mass = (batch.column(k).to_pylist() for k in range(batch.num_columns - 4, batch.num_columns - 1))
+        for k, row in enumerate(found):
+            text = texts[k].as_py()
+            if text is None or not any(map(str.isalpha, text)):
+                continue
+            first = int(row.argmin())
+            bits, lang = float(row[first]), model.langs[first]
+            share = float(np.exp2(np.maximum(bits - row, -1000.0)).sum())
+            if langs[k] is not None and (best[k], langs[k]) < (bits, lang):
+                bits, lang, share, other, weight = best[k], langs[k], mass[k], bits, share
+            else:
+                other, weight = best[k], mass[k]
+            if langs[k] is not None:
+                share += weight * float(np.exp2(max(bits - other, -1000.0)))
+            langs[k], best[k], mass[k] = lang, bits, share
+        columns = [pa.array(langs, pa.string()), pa.array(best, pa.float64()), pa.array(mass, pa.float64())]
+        kept = [texts] if keeps_text else []
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[:-4], *columns, *kept], names=batch.schema.names[: None if keeps_text else -1]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = Scorer(model) if model.langs else None
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            found = scorer.code_lengths(texts.cast(pa.binary()).fill_null(b"").to_pylist())
-            langs, best, mass = (batch.column(k).to_pylist() for k in range(batch.num_columns - 4, batch.num_columns - 1))
-            for k, (text, row) in enumerate(zip(texts.to_pylist(), found)):
-                if text is None or not any(map(str.isalpha, text)):
-                    continue
-                first = int(row.argmin())
-                bits, lang = float(row[first]), model.langs[first]
-                share = float(np.exp2(np.maximum(bits - row, -1000.0)).sum())
-                if langs[k] is not None and (best[k], langs[k]) < (bits, lang):
-                    bits, lang, share, other, weight = best[k], langs[k], mass[k], bits, share
-                else:
-                    other, weight = best[k], mass[k]
-                if langs[k] is not None:
-                    share += weight * float(np.exp2(max(bits - other, -1000.0)))
-                langs[k], best[k], mass[k] = lang, bits, share
-            columns = [pa.array(langs, pa.string()), pa.array(best, pa.float64()), pa.array(mass, pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-4], *columns, texts], names=batch.schema.names
-            )
+            if scorer is None:
+                yield batch if keeps_text else batch.select(batch.schema.names[:-1])
+                continue
+            for a in range(0, batch.num_rows, ROWS):
+                yield scored(scorer, batch.slice(a, ROWS))
 
     return run
 
 
-def predict(docs: DataFrame, model: tuple[DataFrame, int], *keep: Column) -> DataFrame:
-    """``keep``, ``lang_pred`` and ``score`` of each row.
-
-    ``und`` with score 0 where the text is null or has no letter, or no language
-    was learned. Equal code lengths go to the first language by name.
-    """
+def _asked(docs: DataFrame, model: tuple[DataFrame, int], keep: list, keeps_text: bool) -> DataFrame:
+    """``keep``, ``lang_pred`` and ``score``, and the text as ``body`` if it is kept."""
     counts, parts = model
     rows = docs.select(
         *keep,
@@ -278,19 +285,30 @@ def predict(docs: DataFrame, model: tuple[DataFrame, int], *keep: Column) -> Dat
         F.lit(None).cast("double").alias("mass"),
         F.col("text").cast("string").alias("body"),
     )
+    names = rows.columns[:-4]
     for part in range(parts):
-        learned = _model(counts, part)
-        if learned.langs:
-            rows = rows.mapInArrow(_passes(learned), rows.schema)
-            if part + 1 < parts:  # else all parts' trees would be held together
-                rows = checkpoint(rows)
+        learned, last = _model(counts, part), part + 1 == parts
+        schema = rows.schema if keeps_text or not last else rows.drop("body").schema
+        rows = rows.mapInArrow(_passes(learned, keeps_text or not last), schema)
+        if not last:  # else all parts' trees would be held together
+            rows = checkpoint(rows)
     return rows.select(
-        *rows.columns[:-4],
+        *names,
         F.coalesce("lang_pred", F.lit(UNDETERMINED)).alias("lang_pred"),
         F.coalesce(1.0 / F.col("mass"), F.lit(0.0)).alias("score"),
+        *(["body"] if keeps_text else []),
     )
 
 
+def predict(docs: DataFrame, model: tuple[DataFrame, int], *keep: Column) -> DataFrame:
+    """``keep``, ``lang_pred`` and ``score`` of each row.
+
+    ``und`` with score 0 where the text is null or has no letter, or no language
+    was learned. Equal code lengths go to the first language by name.
+    """
+    return _asked(docs, model, list(keep), keeps_text=False)
+
+
 def identified(docs: DataFrame, folds: int = 4, held: int = 2, size: int = SAMPLE_DOCS) -> DataFrame:
     """Each row's ``doc_id, held_out, lang_pred, score``, learned from the rows not held out.
 
@@ -308,12 +326,14 @@ def with_language(docs: DataFrame, size: int = SAMPLE_DOCS) -> DataFrame:
     Where no row has a ``lang`` to learn from, every text with a letter stays.
     """
     model = fit(docs, F.lit(True), size)
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    names = [f"__{k}" for k in range(len(kept))]
-    body = F.col("text").cast("string").alias("text")
-    rows = docs.select(*(c.alias(n) for c, n in zip(kept, names)), body)
+    # The text travels once.
+    others = [c for c in docs.columns if c != "text"]
+    names = {c: f"__{k}" for k, c in enumerate(others)} | {"text": "body"}
+    rows = docs.select(*(F.col(f"`{c}`").alias(names[c]) for c in others), "text")
     if model[1]:
-        rows = predict(rows, model, *names).where(F.col("lang_pred") != UNDETERMINED)
+        rows = _asked(rows, model, [names[c] for c in others], keeps_text=True)
+        rows = rows.where(F.col("lang_pred") != UNDETERMINED)
     else:
-        rows = rows.where(F.col("text").rlike(r"\p{L}"))
-    return rows.select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
+        rows = rows.where(F.col("text").cast("string").rlike(r"\p{L}")).withColumnRenamed("text", "body")
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    return rows.select(*(F.col(names[c]).cast(kinds[c]).alias(c) for c in docs.columns))
