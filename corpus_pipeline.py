@@ -30,8 +30,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their ids and their places in training sequences."""
-    return packing.packed(docs, public_tokenizers.path(TOKENIZER), ids=True)
+    """Pieces of documents with their places in training sequences; ``packing.sequences`` joins the ids."""
+    return packing.packed(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
@@ -49,7 +49,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written and read again by the next.
 
-    Rows are the pieces of the mixed corpus with their ``ids``; the pieces of a ``sequence_id``, in the
+    Rows are the pieces of the mixed corpus; the pieces of a ``sequence_id``, in the
     order of ``offset``, are a training sequence. Null texts and those without a letter go in the first stage. Where
     no document has a ``lang``, texts with letters stay. Repeated rows are one
     document. Further columns, of any name, travel along. An empty table gives an empty table.
