@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from edge_rows import frame
-from gridloom.llm import exactdedup, languageid, queries, simhash
+from gridloom.llm import exactdedup, languageid, packing, queries, simhash
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -61,12 +61,15 @@ def test_pipeline_equals_its_stages_one_by_one(spark):
     assert max(ends.values()) <= 4096
 
 
-def test_pipeline_writes_sequences_that_decode_to_kept_texts(spark, tmp_path):
+def test_pipeline_writes_sequences_that_decode_to_kept_texts(spark, tmp_path, monkeypatch):
     """Odd rows: null, empty, repeated, without language, with columns of any name."""
     text = "the quick brown fox jumps over the lazy dog number"
     rows = [(i, f"{text} {i} {'word ' * (i % 9)}and again {i * 7919}", None, "ab"[i % 2]) for i in range(30)]
     rows += [(40, None, None, "a"), (41, "", None, None), (42, "12 34", None, "a"), (7, rows[7][1], None, "b")]
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    path = public_tokenizers.path(corpus_pipeline.TOKENIZER)
+    with_ids = ("packing", lambda spark, docs, sf_dir: packing.packed(docs, path, ids=True))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:-1], with_ids])
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
     plain = lambda t: "".join(t.split())
