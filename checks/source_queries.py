@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.job_queries import COMPLAINTS_SQL, LIMITS_SQL, consumption_trusted
@@ -17,6 +18,10 @@ from gridloom.streaming.refresh import landed_parquet, read_fact, refresh
 # Stands for null in CSV files that also hold empty text.
 NULL_TEXT = "\\N"
 
+# Creating a file takes tens of milliseconds, so a landing zone has about this many files, and beyond
+# so many records a file their number grows with the rows.
+MANY_FILES, FEWEST_RECORDS, MOST_RECORDS, FILES_PER_TASK = 2000, 4, 400, 50
+
 FACT_CONSUMPTION_SQL = """SELECT DISTINCT "TIPO_CONSUMO", "NUMERO_CONSUMIDORES", "CONSUMO",
        CAST("ANO" AS VARCHAR) || '-' || lpad(CAST("MES" AS VARCHAR), 2, '0') AS "ANO_MES_COLETA"
        FROM consumption_trusted"""
@@ -38,14 +43,22 @@ def latest_file_scan(t: Tables):
     return t.spark.read.schema(t.orders.schema).parquet(path)
 
 
+def land_many(rows: DataFrame, path: str) -> None:
+    """Write the rows to thousands of JSON files, some dozens by each task."""
+    held = rows.count()
+    each = min(max(held // MANY_FILES, FEWEST_RECORDS), MOST_RECORDS)
+    tasks = max(1, -(-held // (each * FILES_PER_TASK)))
+    many = rows.repartition(tasks).write.option("maxRecordsPerFile", each)
+    many.option("timestampNTZFormat", scans.TIMESTAMP_FORMAT).json(path)
+
+
 @query("latest_of_many_files", EVENTS_SQL + " WHERE event_type = 'click'")
 def latest_of_many_files(t: Tables):
     """Thousands of files have landed and are noted; the newest by its key is read, without a listing."""
     zone = new_folder(t.spark, "zone")
-    many = t.events.where("event_type <> 'click'").write.option("maxRecordsPerFile", 4)
-    many.option("timestampNTZFormat", scans.TIMESTAMP_FORMAT).json(f"{zone}/telemetry_old")
+    land_many(t.events.where("event_type <> 'click'"), f"{zone}/telemetry_old")
     manifest.feed(t.spark, zone)
-    sinks.write_json(t.events.where("event_type = 'click'").coalesce(1), f"{zone}/telemetry_new")
+    sinks.write_json(t.events.where("event_type = 'click'").repartition(1), f"{zone}/telemetry_new")
     sinks.write_json(t.events.limit(1), f"{zone}/other")
     manifest.feed(t.spark, zone)
     path = manifest.latest_file(t.spark, zone, "telemetry_")

@@ -1,11 +1,13 @@
 """The log of landed files and the newest file by it."""
 
+import re
 from datetime import datetime
 from os import utime
 from pathlib import Path
 
 import pytest
 
+from checks import source_queries
 from gridloom.sources import manifest, scans
 
 
@@ -39,6 +41,15 @@ def test_newest_noted_file(spark, folder):
     assert manifest.entries(spark, zone).count() == 4
 
 
+def test_larger_tables_land_in_larger_files_and_every_row_does(spark, folder, monkeypatch):
+    monkeypatch.setattr(source_queries, "MANY_FILES", 20)
+    for rows in (0, 9, 1000):
+        source_queries.land_many(spark.range(rows), f"{folder}/{rows}")
+        files = list(Path(folder, str(rows)).glob("part-*"))
+        assert len(files) <= max(1, min(rows, 25)) and (rows < 1000 or len(files) >= 20)
+        assert sorted(int(n) for f in files for n in re.findall(r"\d+(?=})", f.read_text())) == list(range(rows))
+
+
 def test_compaction_keeps_one_entry_per_key_and_the_answers(spark, folder):
     zone = f"{folder}/zone"
     for k in (1, 2):
