@@ -28,7 +28,7 @@ def oracle():
 def test_whole_tables(spark, oracle, name):
     got = queries.QUERIES[name](spark, SF_DIR)
     key = {"op4_embedding_near_dedup": "vec_id", "op12_lexical_search": "item_id"}.get(name, "doc_id")
-    order = lambda r: (r[key], r.get("piece") or r.get("rank"))
+    order = lambda r: (r[key], r.get("piece", r.get("rank", 0)))
     rows = sorted((r.asDict() for r in got.collect()), key=order)
     source = {"vec_id": "embeddings", "item_id": "benchmark"}.get(key, "documents")
     ids = [i for (i,) in oracle.execute(f"SELECT {key} FROM {source} ORDER BY 1").fetchall()]
