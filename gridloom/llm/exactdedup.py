@@ -10,7 +10,8 @@ earlier corpus, a part of the table's own rows is the history.
 
 Rows reach the shards as a stream behind their shard's index, in as many salted
 lanes as the shard's rows ask for: a group that holds a third of all rows spreads
-over many tasks, and no task holds more than one shard of bounded size.
+over many tasks, and no task holds more than one shard of bounded size. Each lane gets a copy of
+its shard's index, so a lane has rows enough to be worth it.
 """
 
 import hashlib
@@ -29,6 +30,8 @@ from gridloom.llm.common import BLANKS, ROW_KEY, checkpoint, keep_rows, row_key,
 SHARD_DIGESTS = 4096
 #: A shard's rows go to lanes of one in this many of all rows.
 LANES = 1024
+#: Rows of a lane at least; the copies of the index then take some 250 bytes a row at most.
+LANE_ROWS = 1024
 DIGEST_BYTES = 32
 #: One in so many rows, by hash, is the history that the others are looked up in.
 HISTORY = 2
@@ -232,7 +235,7 @@ def lookup(rows: DataFrame, index: DataFrame) -> DataFrame:
     placed = rows.withColumn("shard", _shard(shards))
     counts = checkpoint(placed.groupBy("shard").count())
     total = counts.agg(F.sum("count")).first()[0] or 0
-    lane_rows = max(1, total // LANES)
+    lane_rows = max(LANE_ROWS, total // LANES)
     # Fewer than LANES shards can hold more than one in LANES of all rows.
     wide = F.broadcast(
         counts.where(F.col("count") > lane_rows).select(

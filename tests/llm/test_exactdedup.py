@@ -2,6 +2,8 @@ import hashlib
 import os
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import exactdedup
 from edge_rows import EDGES, frame
@@ -46,6 +48,26 @@ def test_hot_group_over_many_lanes_and_shards(spark):
     assert listed(exactdedup.exact_duplicates(frame(spark, rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("lane_rows", [1, 7, 100])
+def test_lanes_of_few_rows(spark, monkeypatch, lane_rows):
+    monkeypatch.setattr(exactdedup, "LANE_ROWS", lane_rows)
+    rows = [(i, f" copy{' ' * (i % 5)}" if i % 3 else f"text {i % 50}", "en", "a") for i in range(400)]
+    assert listed(exactdedup.exact_duplicates(frame(spark, rows))) == brute(rows)
+
+
+def test_an_index_is_copied_to_few_lanes(spark, monkeypatch):
+    """A copy is 250 kB, so a small table must not have it sent a thousand times."""
+    wide, broadcast = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: broadcast(wide.append(df) or df))
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('text ', id % 6000) AS text")
+    rows = exactdedup.with_digests(docs, "doc_id")
+    index = exactdedup.index_of(docs.where("doc_id < 6000"))
+    shards = index.count()
+    assert exactdedup.lookup(rows, index).where("member").count() == 9000
+    lanes = [r["lanes"] for r in wide[0].collect()]
+    assert 1 <= max(lanes) and sum(lanes) <= shards + 9
+
+
 def test_an_earlier_index_takes_part(spark):
     old = [(i, f"text {i}", "en", "a") for i in range(50)]
     new = [(100 + i, f"te xt{i}  " if i % 2 else f"text {i}", "en", "a") for i in range(40, 60)]
