@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from edge_rows import EDGES, frame
-from gridloom.llm import packing, tokenfiles
+from gridloom.llm import packing, tokenfiles, tokens
 from gridloom.llm.common import new_folder
 from gridloom.llm.tokens import Encoder
 
@@ -38,6 +38,25 @@ def test_word_by_word_equals_whole_texts(library):
             assert np.frombuffer(ids, "<u4").tolist() == wanted(library, text)
 
 
+def test_words_with_marks_behind_go_to_the_model_directly(library, monkeypatch):
+    """The whole library takes several times as long for a word."""
+    encoder, asked, whole = Encoder(PATH), [], Encoder._whole
+    monkeypatch.setattr(Encoder, "_whole", lambda self, words: whole(self, asked.extend(words) or words))
+    texts = ["les&&& Größe*** ... tion%%%\nde |", 'and), (of "x" a1 it\'s É$$$', "", "les&&& a1"]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == wanted(library, text)
+    assert sorted(asked) == ['"x"', "(of", "a1", "it's"]
+
+
+@pytest.mark.parametrize("stretch", [1, 10, 300])
+def test_texts_over_many_stretches(library, monkeypatch, stretch):
+    monkeypatch.setattr(tokens, "STRETCH", stretch)
+    texts = ["", *ODD, "The the, the. THE? | te ***", " ".join(ODD) * 3, ""]
+    for text, ids in zip(texts, Encoder(PATH, cached_words=30).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == wanted(library, text)
+    assert Encoder(PATH).encode([]) == []
+
+
 @pytest.mark.parametrize("top", [5, 256, 70_000, 1 << 32])
 def test_token_files_give_every_id_back(top):
     draw = random.Random(top)
