@@ -176,17 +176,26 @@ class Scorer:
         self.model = model
         kept = [tree.keys[-1] for tree in model.trees]
         contexts = np.unique(np.concatenate([np.zeros(0, np.int64), *kept]))
-        # One table for all languages: the place of a context that any keeps, else of its suffix.
-        shorter = np.arange(KINDS ** (ORDER - 1), dtype=np.int32) + len(contexts)
-        self.places = np.tile(shorter, KINDS)
-        self.places[contexts] = np.arange(len(contexts), dtype=np.int32)
+        # One table for all languages: the place of a context that any keeps, else of its suffix. Only
+        # suffixes of kept contexts have a row, with an entry for each byte before them.
+        shorter = KINDS ** (ORDER - 1)
+        wide, row = np.unique(contexts % shorter, return_inverse=True)
+        self.first = np.arange(shorter, dtype=np.int32)
+        self.first[wide] = shorter + KINDS * np.arange(len(wide), dtype=np.int32)
+        self.mask = np.zeros(shorter, np.uint8)
+        self.mask[wide] = KINDS - 1
+        others = np.concatenate([np.arange(shorter), np.repeat(wide, KINDS)]) + len(contexts)
+        self.places = others.astype(np.int32)
+        self.places[shorter + KINDS * row + contexts // shorter] = np.arange(len(contexts), dtype=np.int32)
         self.states = [tree.states(contexts) for tree in model.trees]
 
     def _stretch(self, data: bytes, starts: list[int]) -> np.ndarray:
         """Bits of each segment under each language; a segment begins with ``ORDER`` bytes of context."""
         k = KINDS
-        symbols = np.frombuffer(data, np.uint8).astype(np.int32)
-        place = self.places[symbols[2:-1] + k * symbols[1:-2] + k * k * symbols[:-3]]
+        given = np.frombuffer(data, np.uint8)
+        symbols = given.astype(np.int32)
+        suffix = symbols[2:-1] + k * symbols[1:-2]
+        place = self.places[self.first[suffix] + (given[:-3] & self.mask[suffix])]
         bits = np.empty((len(self.states), len(starts)))
         first, last = np.array(starts), np.array([*starts[1:], len(data)]) - ORDER
         for row, state, tree in zip(bits, self.states, self.model.trees):

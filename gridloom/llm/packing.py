@@ -50,11 +50,9 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        for batch in batches:
+        for numbers, found in encoder.encode_batches(batches):
             rows = []
-            for number, data in zip(
-                batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())
-            ):
+            for number, data in zip(numbers, found):
                 data += end
                 for k, at in enumerate(range(0, len(data), step)):
                     part = data[at : at + step]

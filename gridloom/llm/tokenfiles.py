@@ -169,9 +169,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
             made, numbers, ids, size = made + 1, [], [], 0
             return row
 
-        for batch in batches:
-            found = encoder.encode(batch.column(1).to_pylist())
-            for number, data in zip(batch.column(0).to_pylist(), found):
+        for these, found in encoder.encode_batches(batches):
+            for number, data in zip(these, found):
                 numbers.append(number)
                 ids.append(data + end)
                 size += len(ids[-1]) // 4

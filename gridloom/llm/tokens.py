@@ -21,7 +21,9 @@ import pyarrow.compute as pc
 #: Words whose ids a task keeps; about 50 MB.
 CACHED_WORDS = 400_000
 #: Characters whose words are handled together.
-STRETCH = 1 << 22
+STRETCH = 1 << 21
+#: Rows whose ids are held together.
+ROWS = 1024
 #: Marks of which a run behind a word is a piece of its own.
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 #: Letters that normalisation only lower-cases, one code point each.
@@ -129,6 +131,16 @@ class Encoder:
                 held, size = [], 0
         return found + self._encode(held)
 
+    def encode_batches(self, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+        """The first column of some rows at a time, and the ids of the texts in the second."""
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS):
+                values, texts = batch.slice(first, ROWS).columns
+                yield values.to_pylist(), self.encode(texts.to_pylist())
+        # The worker process stays for other tasks.
+        self._forget()
+        pa.default_memory_pool().release_unused()
+
 
 def _stretches(text: str) -> Iterator[str]:
     """Parts of about ``STRETCH`` characters, cut at spaces."""

@@ -152,3 +152,19 @@ def test_parts_change_no_prediction(spark, monkeypatch):
 def test_texts_with_letters_stay_where_no_language_is_known(spark):
     rows = [(1, "some text", None, "a"), (2, "12 !!", None, "a"), (3, None, None, "a"), (4, "ñ", None, "b")]
     assert sorted(r.doc_id for r in languageid.with_language(frame(spark, rows)).collect()) == [1, 4]
+
+
+def test_tables_of_contexts_hold_met_suffixes_only():
+    """A table of all contexts takes 64 MB in each task."""
+    draw = random.Random(4)
+    model = model_of([(lang, sentence(draw, lang)) for lang in SYLLABLES for _ in range(20)])
+    scorer = languageid.Scorer(model)
+    assert sum(x.nbytes for x in vars(scorer).values() if isinstance(x, np.ndarray)) < 2 << 20
+    kept = [set(tree.keys[-1].tolist()) for tree in model.trees]
+    for code in [*set().union(*kept), *draw.sample(range(256**3), 500)]:
+        data = bytes([code >> 16, code >> 8 & 255, code & 255, 65])
+        for tree, bits in zip(model.trees, scorer._stretch(data, [0])):
+            base = 1 + sum(map(len, tree.keys[:-1]))
+            if code in tree.keys[-1]:
+                row = base + int(np.searchsorted(tree.keys[-1], code))
+                assert bits[0] == pytest.approx(float(tree.costs[row, 65]))

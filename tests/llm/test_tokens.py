@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -48,6 +49,16 @@ def test_words_with_marks_behind_go_to_the_model_directly(library, monkeypatch):
     assert sorted(asked) == ['"x"', "(of", "a1", "it's"]
 
 
+def test_rows_of_a_batch_are_encoded_in_parts(library, monkeypatch):
+    monkeypatch.setattr(tokens, "ROWS", 4)
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(9)]), pa.array(ODD[:10])], names=["doc_id", "body"])
+    found = list(Encoder(PATH).encode_batches([batch, batch.slice(0, 0), batch.slice(2, 3)]))
+    assert [len(numbers) for numbers, _ in found] == [4, 4, 2, 3]
+    assert sum((n for n, _ in found), []) == [None, *range(9), 1, 2, 3]
+    ids = [np.frombuffer(i, "<u4").tolist() for _, part in found for i in part]
+    assert ids == [wanted(library, t) for t in [*ODD[:10], *ODD[2:5]]]
+
+
 @pytest.mark.parametrize("stretch", [1, 10, 300])
 def test_texts_over_many_stretches(library, monkeypatch, stretch):
     monkeypatch.setattr(tokens, "STRETCH", stretch)
