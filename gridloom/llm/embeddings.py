@@ -3,7 +3,8 @@
 Equal vectors become one. Vectors are dealt into shards of a bounded number; each
 shard's graph is built in one task. Two shards then meet in one task, and the vectors of
 either are looked up in the other's graph: a beam walks the graph and widens while it
-is full of vectors above the threshold. An audit compares the answers with a full
+is full of vectors above the threshold. Vectors that a bound proves to have no link in that
+shard take no walk. An audit compares the answers with a full
 comparison for some of the vectors. It takes what each of them finds of its links and of
 its nearest neighbours, so those without links count as well, and each as much as the others;
 the beam of all widens until the audit passes, in the end to a full comparison. All
@@ -41,6 +42,10 @@ MARGIN = 1e-3
 #: A beam of one in so many of a shard gives way to a full comparison, so many vectors at a time;
 #: so shards of up to 256 vectors, whose graph is hardly more than one level, are always compared in full.
 EXACT_SHARE, EXACT_ROWS = 4, 64
+#: One in so many of the dimensions, those that hold most, are multiplied for the bound; the lengths of the others complete it.
+BOUND_SHARE = 2
+#: Batches' worth of rows that a part may have where few of them are open.
+SPARSE = 8
 
 
 # --- one shard against another ---------------------------------------------
@@ -74,12 +79,50 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return (wide / np.linalg.norm(wide, axis=1, keepdims=True)).astype(np.float32)
 
 
+def _parts(possible: np.ndarray) -> Iterator[slice]:
+    """Parts of about ``BATCH`` open rows each, ``SPARSE`` times as many rows at most; all begin at whole bytes of bits."""
+    opened = np.concatenate([[0], np.cumsum(possible)])
+    start = 0
+    while start < len(possible):
+        stop = int(np.searchsorted(opened, opened[start] + BATCH, "right")) - 1
+        stop = min(stop, start + SPARSE * BATCH, len(possible))
+        if stop < len(possible):
+            stop = max(start + 8, stop // 8 * 8)
+        yield slice(start, stop)
+        start = stop
+
+
 class Shard:
     """A shard's vectors and graph; finds all that are similar enough to a query."""
 
     def __init__(self, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, links=None):
         self.ids, self.copies, self.vectors = ids, copies, vectors
         self.graph = Graph(_unit(vectors), links)
+        heavy = np.argsort(-np.square(self.graph.vectors).sum(axis=0), kind="stable")
+        self.heavy = np.sort(heavy[: -(-len(heavy) // BOUND_SHARE)])
+        self.short = self._shortened(self.graph.vectors)
+
+    def _shortened(self, unit: np.ndarray) -> np.ndarray:
+        """The heavy dimensions and the length of the rest: no two products are less than those of whole vectors."""
+        kept = unit[:, self.heavy]
+        rest = np.delete(unit, self.heavy, axis=1)
+        return np.concatenate([kept, np.linalg.norm(rest, axis=1, keepdims=True)], axis=1)
+
+    def possible(self, ids: np.ndarray, queries: np.ndarray, least: float) -> np.ndarray:
+        """Which unit ``queries`` may have another vector of the shard that is similar; the others have none.
+
+        A product is the heavy dimensions' and at most, by Cauchy-Schwarz, the lengths' of the rest.
+        """
+        order = np.argsort(self.ids)
+        place = order[np.minimum(np.searchsorted(self.ids, ids, sorter=order), len(order) - 1)]
+        own = self.ids[place] == ids
+        short, most = self._shortened(queries), np.zeros(len(queries), np.float32)
+        for a in range(0, len(queries), EXACT_ROWS):
+            sums = short[a : a + EXACT_ROWS] @ self.short.T
+            here = np.flatnonzero(own[a : a + EXACT_ROWS])
+            sums[here, place[a + here]] = -np.inf
+            most[a : a + EXACT_ROWS] = sums.max(axis=1)
+        return most >= least
 
     def near(self, queries: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray]:
         """Rows of unit ``queries`` and of the shard that are similar; full beams are widened."""
@@ -142,12 +185,14 @@ class Shard:
     ) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """For parts of the vectors: rows of the part and of the shard that link."""
         unit, least = _unit(vectors), threshold - MARGIN
-        beam = self.audited(ids, unit, least)
+        possible = self.possible(ids, unit, least)
+        beam = self.audited(ids, unit, least) if possible.any() else BEAM
         wide = _scaled(self.vectors)
         norms = np.linalg.norm(wide, axis=1)
-        for a in range(0, len(ids), BATCH):
-            part = slice(a, a + BATCH)
-            row, other = self.near(unit[part], beam, least)
+        for part in _parts(possible):
+            open_rows = np.flatnonzero(possible[part])
+            row, other = self.near(unit[part][open_rows], beam, least)
+            row = open_rows[row]
             different = ids[part][row] != self.ids[other]
             row, other = row[different], other[different]
             mine = _scaled(vectors[part])[row]
@@ -178,7 +223,7 @@ def links_between(
     theirs = np.zeros(len(right.ids), np.int64)
     for part, row, other in right.hits(left.ids, left.vectors, threshold):
         ids, copies = left.ids[part], left.copies[part]
-        found = np.unpackbits(back[:, part.start // 8 : part.stop // 8], axis=1)[:, : len(ids)].T.astype(bool)
+        found = np.unpackbits(back[:, part.start // 8 : -(-part.stop // 8)], axis=1)[:, : len(ids)].T.astype(bool)
         found[row, other] = True
         row, other = np.nonzero(found)
         count = np.bincount(row, right.copies[other], minlength=len(ids))

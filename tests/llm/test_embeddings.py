@@ -191,3 +191,49 @@ def test_double_vectors_are_compared_as_given(spark):
     rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
     scaled = [(i, (np.array(v) / np.abs(v).max()).tolist()) for i, v in vectors]
     assert listed(embeddings.near_duplicates(rows)) == brute(scaled)
+
+
+@pytest.mark.parametrize("dimensions", [1, 3, 64, 700])
+def test_the_bound_never_leaves_out_a_link(dimensions):
+    vectors = families(9, dimensions, 1800, "f4")
+    ids = np.random.default_rng(10).permutation(1800)
+    vectors[:, : dimensions // 3] *= 0.1
+    shard = embeddings.Shard(ids[:900], np.ones(900, np.int64), vectors[:900])
+    unit = embeddings._unit(vectors)
+    linked = unit @ unit[:900].T >= 0.9
+    linked[np.arange(900), np.arange(900)] = False
+    possible = shard.possible(ids, unit, 0.9 - embeddings.MARGIN)
+    assert not (linked.any(axis=1) & ~possible).any()
+    assert dimensions < 64 or linked.any() and possible.mean() < 0.7
+    assert not embeddings.Shard(ids[:1], np.ones(1, np.int64), vectors[:1]).possible(ids[:1], unit[:1], 0.9).any()
+
+
+def test_vectors_without_links_take_no_walk(monkeypatch):
+    vectors = families(11, 64, 3000, "f4")
+    split = [np.arange(1500), np.arange(1500, 3000)]
+    left, right = (embeddings.Shard(i, np.ones(1500, np.int64), vectors[i]) for i in split)
+    monkeypatch.setattr(embeddings.Shard, "audited", lambda *_: embeddings.BEAM)
+    walked, search = [], Graph.search
+    monkeypatch.setattr(Graph, "search", lambda self, queries, beam: walked.append(len(queries)) or search(self, queries, beam))
+    unit = embeddings._unit(vectors)
+    for a, b in ((left, right), (left, left)):
+        walked.clear()
+        counts = np.zeros(3000, int)
+        for nodes, count, _, _ in embeddings.links_between(a, b, 0.9):
+            counts[nodes] += count
+        wanted = unit[a.ids] @ unit[b.ids].T >= 0.9
+        alike = wanted.any(axis=1).sum() + wanted.any(axis=0).sum() if a is not b else 2 * (wanted.sum(axis=1) > 1).sum()
+        assert alike > 300 and sum(walked) < 1.3 * alike
+        found = counts[a.ids] if a is b else counts
+        exact = wanted.sum(axis=1) - 1 if a is b else np.concatenate([wanted.sum(axis=1), wanted.sum(axis=0)])
+        assert (found > exact).sum() == 0 and found.sum() >= 0.995 * exact.sum()
+
+
+def test_parts_cover_all_rows_and_begin_at_whole_bytes():
+    draw = np.random.default_rng(12)
+    for share, rows in ((0, 9001), (1, 5003), (0.03, 20001), (0.5, 7), (1, 0)):
+        opened = draw.random(rows) < share
+        parts = list(embeddings._parts(opened))
+        assert np.concatenate([np.arange(rows)[p] for p in parts] or [opened]).tolist() == list(range(rows))
+        assert all(p.start % 8 == 0 and opened[p].sum() <= embeddings.BATCH for p in parts)
+        assert len(parts) <= 2 + rows / embeddings.BATCH / embeddings.SPARSE + 1.1 * opened.sum() / embeddings.BATCH
