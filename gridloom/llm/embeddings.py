@@ -44,6 +44,8 @@ MARGIN = 1e-3
 EXACT_SHARE, EXACT_ROWS = 4, 64
 #: One in so many of the dimensions, those that hold most, are multiplied for the bound; the lengths of the others complete it.
 BOUND_SHARE = 2
+#: Partitions of shards, as a multiple of the session's: few shards seldom meet in one.
+SPREAD = 4
 #: Batches' worth of rows that a part may have where few of them are open.
 SPARSE = 8
 
@@ -308,11 +310,14 @@ def found_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     zero nor repeated, and ``copies``, its number of rows. Only vectors of equal length are compared.
     """
     sized = vectors.withColumn("dimensions", F.size("embedding"))
+    # A number that is given: a shard is few bytes but much work, and tasks must not be merged by size.
+    tasks = SPREAD * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lengths = sized.groupBy("dimensions").agg(F.count("*").alias("rows"))
     dealt = sized.join(lengths, "dimensions").withColumn("order", F.xxhash64("node", F.lit(1)))
     shards = (
         dealt.withColumn("shard", _deal())
         .select("shard", "dimensions", "node", "copies", "embedding", "order")
+        .repartition(tasks, "dimensions", "shard")
         .groupBy("dimensions", "shard")
         .applyInArrow(
             _build,
@@ -336,8 +341,11 @@ def found_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     data = F.struct("ids", "copies", "vectors", "links", "dimensions")
     met = (
         pairs.join(shards.select("dimensions", "shard", data.alias("left")), ["dimensions", "shard"])
+        .repartition(tasks, "dimensions", "other")
         .join(
-            shards.select("dimensions", F.col("shard").alias("other"), data.alias("right")),
+            shards.select("dimensions", F.col("shard").alias("other"), data.alias("right")).repartition(
+                tasks, "dimensions", "other"
+            ),
             ["dimensions", "other"],
         )
         .select("shard", "other", "left", "right")

@@ -1,5 +1,8 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
+from pyspark import TaskContext
 
 from gridloom.llm import embeddings
 from gridloom.llm.components import forest
@@ -237,3 +240,18 @@ def test_parts_cover_all_rows_and_begin_at_whole_bytes():
         assert np.concatenate([np.arange(rows)[p] for p in parts] or [opened]).tolist() == list(range(rows))
         assert all(p.start % 8 == 0 and opened[p].sum() <= embeddings.BATCH for p in parts)
         assert len(parts) <= 2 + rows / embeddings.BATCH / embeddings.SPARSE + 1.1 * opened.sum() / embeddings.BATCH
+
+
+def test_small_shards_are_built_in_several_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(embeddings, "LEAST_ROWS", 50)
+    build = embeddings._build
+
+    def noted(shard):
+        Path(folder, str(TaskContext.get().partitionId())).touch()
+        return build(shard)
+
+    monkeypatch.setattr(embeddings, "_build", noted)
+    vectors = cloud(3)
+    assert listed(embeddings.near_duplicates(table(spark, vectors))) == brute(vectors)
+    # The adaptive planner would merge their few bytes into one task.
+    assert len(list(Path(folder).iterdir())) > 3
